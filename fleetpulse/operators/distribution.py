@@ -1,10 +1,12 @@
 """Exact distribution summaries per group (D6) without per-group gathering.
 
 Quantiles use the linear rule of SQL ``percentile`` / ``quantile_cont``: at
-position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(p − ⌊p⌋).  Ranks
-come from ``global_ordinal`` over (metric, group, value), so no group — even
-one holding a third of all rows — is sorted or buffered in a single task; only
-the handful of rows at the needed ranks are picked out afterwards.
+position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(p − ⌊p⌋).  One
+small job sizes the groups first.  When every group fits in one task
+(``fleetpulse.window.chunkRows``) each group's values are sorted in that task.
+Otherwise ranks come from ``global_ordinal`` over (metric, group, value), so no
+group — even one holding a third of all rows — is sorted or buffered in a
+single task; only the handful of rows at the needed ranks are picked out.
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import columns as C
-from fleetpulse.operators.joins import join_small
+from fleetpulse.operators.joins import join_bounded
 from fleetpulse.operators.ordinal import global_ordinal
+from fleetpulse.operators.windows import chunk_rows
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 FENCE_IQR = 1.5
+RANKS_PER_GROUP = 2 + 2 * len(QUARTILES)
 
 
 def stack_metrics(df: DataFrame, group_col: str, metrics: Sequence[str]) -> DataFrame:
@@ -30,10 +34,29 @@ def stack_metrics(df: DataFrame, group_col: str, metrics: Sequence[str]) -> Data
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
-                decimals: int = 6) -> DataFrame:
-    """min, q1, median, q3, max, 1.5·IQR fences and outlier count per (group, metric)."""
-    long = stack_metrics(df, group_col, metrics)
+def _exact_small(long: DataFrame) -> DataFrame:
+    """Quartiles from each group's sorted values.
+
+    Only taken after the size job proved that no group exceeds the per-task
+    bound: each group's values are sorted in one task (partial lists merge
+    map-side), and the quartiles are read off by position.
+    """
+    grouped = long.groupBy("metric", "group").agg(F.sort_array(F.collect_list("value")).alias("_v"))
+    n = F.size("_v")
+
+    def at(q):
+        pos = (n - 1) * F.lit(q)
+        lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+        v_lo, v_hi = F.element_at("_v", lo + 1), F.element_at("_v", hi + 1)
+        return v_lo + (v_hi - v_lo) * (pos - lo)
+
+    return grouped.select("metric", "group", n.cast("long").alias("n"),
+                          F.element_at("_v", 1).alias("min"), F.element_at("_v", -1).alias("max"),
+                          *[at(q).alias(name) for name, q in QUARTILES])
+
+
+def _exact_ranked(long: DataFrame, n_groups: int) -> DataFrame:
+    """Quartiles by rank arithmetic on a global ordinal (any group size)."""
     ranked = global_ordinal(long, ["metric", "group", "value"], "_g")
     groups = ranked.groupBy("metric", "group").agg(
         F.count(F.lit(1)).alias("n"), F.min("_g").alias("_start"))
@@ -45,38 +68,51 @@ def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
     ranks = groups.select("metric", "group", "n", "_start",
                           F.explode(F.array_distinct(F.array(*wanted))).alias("_r"))
     ranks = ranks.withColumn("_g", F.col("_start") + F.col("_r"))
-    picked = join_small(ranked.select("_g", "value"), ranks, "_g", "inner")
+    picked = join_bounded(ranked.select("_g", "value"), ranks, "_g", "inner",
+                          n_groups * RANKS_PER_GROUP)
 
     def value_at(rank_expr):
         return F.max(F.when(F.col("_r") == rank_expr, F.col("value")))
 
-    summary_aggs = [F.first("n").alias("n"),
-                    value_at(F.lit(0)).alias("min"),
-                    value_at(F.col("n") - 1).alias("max")]
+    aggs = [F.first("n").alias("n"), value_at(F.lit(0)).alias("min"),
+            value_at(F.col("n") - 1).alias("max")]
     for name, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        summary_aggs += [value_at(lo).alias(f"_{name}_lo"), value_at(hi).alias(f"_{name}_hi"),
-                         F.max(pos - lo).alias(f"_{name}_f")]
-    summary = picked.groupBy("metric", "group").agg(*summary_aggs)
+        lo = F.floor(pos)
+        aggs += [value_at(lo).alias(f"_{name}_lo"), value_at(F.ceil(pos)).alias(f"_{name}_hi"),
+                 F.max(pos - lo).alias(f"_{name}_f")]
+    summary = picked.groupBy("metric", "group").agg(*aggs)
     for name, _ in QUARTILES:
         lo, hi, frac = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_f")
         summary = summary.withColumn(name, lo + (hi - lo) * frac)
+    return summary.select("metric", "group", "n", "min", "max", *[q for q, _ in QUARTILES])
+
+
+def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
+                decimals: int = 6, chunk: int | None = None) -> DataFrame:
+    """min, q1, median, q3, max, 1.5·IQR fences and outlier count per (group, metric)."""
+    long = stack_metrics(df, group_col, metrics)
+    # One job, one result row: the largest group and the number of groups.
+    sizes = long.groupBy("metric", "group").agg(F.count(F.lit(1)).alias("_rows"))
+    largest, n_groups = sizes.agg(F.max("_rows"), F.count(F.lit(1))).first()
+    if largest is not None and largest > chunk_rows(long, chunk):
+        summary = _exact_ranked(long, n_groups)
+    else:
+        summary = _exact_small(long)
     iqr = F.col("q3") - F.col("q1")
     summary = (summary.withColumn("lower_fence", F.col("q1") - F.lit(FENCE_IQR) * iqr)
                .withColumn("upper_fence", F.col("q3") + F.lit(FENCE_IQR) * iqr))
     fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
                             "lower_fence", "upper_fence")
-    # Outliers: one pass over the materialised long form against the fences
-    # (a few rows per group, broadcast); NULL groups match null-safely.
-    values = ranked.select("metric", "group", "value")
-    on = (values.metric == fences._fm) & values.group.eqNullSafe(fences._fg)
-    outliers = (join_small(values, fences, on, "inner")
+    # Outliers: one pass over the values against the fences; NULL groups match
+    # null-safely.  The fences have n_groups rows (counted above).
+    on = (long.metric == fences._fm) & long.group.eqNullSafe(fences._fg)
+    outliers = (join_bounded(long, fences, on, "inner", n_groups)
                 .groupBy(F.col("_fm"), F.col("_fg"))
                 .agg(F.count_if((F.col("value") < F.col("lower_fence"))
                                 | (F.col("value") > F.col("upper_fence"))).alias("outliers")))
     on = (summary.metric == outliers._fm) & summary.group.eqNullSafe(outliers._fg)
-    out = summary.join(outliers, on, "left")
+    out = join_bounded(summary, outliers, on, "left", n_groups)
     rnd = [C.half_up_round(c, decimals).alias(c) for c in
            ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")]
     return out.select(F.col("group").alias(group_col), "metric", "n", *rnd,

@@ -22,17 +22,31 @@ def broadcast_rows(df: DataFrame) -> int:
     return conf_int(df.sparkSession, BROADCAST_ROWS_KEY, DEFAULT_BROADCAST_ROWS)
 
 
+_FITS: dict = {}
+
+
+def _plan_key(df: DataFrame, limit: int):
+    """Same plan over the same files → same answer; new files → new check."""
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
+    except Exception:  # noqa: BLE001 - plans without a stable hash are not memoised
+        return None
+
+
+def count_upto(df: DataFrame, limit: int) -> int:
+    """``min(rows, limit + 1)``: every task stops reading after ``limit + 1`` rows."""
+    return df.limit(limit + 1).count()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
+    """True when ``df`` has at most ``max_rows`` rows (one bounded job, memoised)."""
     limit = broadcast_rows(df) if max_rows is None else max_rows
-    memo = getattr(df, "_fleetpulse_fits", None)
-    if memo is not None and memo[0] == limit:
-        return memo[1]
-    fits = df.limit(limit + 1).count() <= limit
-    try:
-        df._fleetpulse_fits = (limit, fits)
-    except AttributeError:  # pragma: no cover - read-only proxy objects
-        pass
+    key = _plan_key(df, limit)
+    if key is not None and key in _FITS:
+        return _FITS[key]
+    fits = count_upto(df, limit) <= limit
+    if key is not None:
+        _FITS[key] = fits
     return fits
 
 
@@ -43,6 +57,12 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(side, on, how)
 
 
+def join_bounded(left: DataFrame, right: DataFrame, on, how: str, right_rows: int) -> DataFrame:
+    """Join where the caller already holds a proven row bound for ``right``."""
+    side = F.broadcast(right) if right_rows <= broadcast_rows(right) else right
+    return left.join(side, on, how)
+
+
 def restrict_to_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows whose ``unit_id`` exists in ``units`` (what an inner join keeps)."""
     return join_small(df, units.select("unit_id"), "unit_id", "left_semi")

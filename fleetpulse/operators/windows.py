@@ -5,29 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetpulse.operators.joins import broadcast_rows, count_upto
 from fleetpulse.operators.ordinal import global_ordinal
 from fleetpulse.session import CHUNK_ROWS_KEY, conf_int
 
 DEFAULT_CHUNK_ROWS = 1_000_000
 
 
+def chunk_rows(df: DataFrame, override: int | None = None) -> int:
+    """Largest group one window/aggregate task may hold (``fleetpulse.window.chunkRows``)."""
+    return int(override or conf_int(df.sparkSession, CHUNK_ROWS_KEY, DEFAULT_CHUNK_ROWS))
+
+
+def hot_keys(df: DataFrame, key_cols, limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows (map-side partial count per key)."""
+    return df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows")).filter(
+        F.col("_rows") > F.lit(limit)).select(*key_cols)
+
+
+def _frame(partition_cols, order, rows: int) -> Window:
+    return Window.partitionBy(*partition_cols).orderBy(*order).rowsBetween(
+        -(rows - 1), Window.currentRow)
+
+
 def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
                 partition_col: str = "unit_id",
                 order_cols=("timestamp", "reading_id"),
-                chunk_rows: int | None = None) -> DataFrame:
+                chunk: int | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS rows-1 PRECEDING)``.
 
-    Skew-safe form: rows get a dense global position ``g`` in (p, o) order and
-    are cut into chunks of ``chunk_rows`` consecutive positions.  The window
-    runs per (p, chunk); each chunk also receives the last ``rows - 1`` rows of
-    the chunk before it (the halo), so a frame that starts in the previous
-    chunk is still complete.  A unit with billions of rows is therefore split
-    over many window tasks of bounded size instead of landing in one.
+    A per-key count (one job, partial aggregation) finds keys with more than
+    ``chunk`` rows.  Other keys use the plain window.  Hot keys get the
+    chunked form: rows receive a dense global position ``g`` in (p, o) order
+    and are cut into chunks of ``chunk`` consecutive positions; the window
+    runs per (p, chunk) and each chunk also receives the last ``rows - 1`` rows
+    of the chunk before it (the halo), so a frame that starts in the previous
+    chunk is still complete.  A unit with billions of rows is thus spread over
+    many window tasks of bounded size instead of landing in one.
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
-    size = chunk_rows or conf_int(df.sparkSession, CHUNK_ROWS_KEY, DEFAULT_CHUNK_ROWS)
-    size = max(int(size), rows)
+    size = max(chunk_rows(df, chunk), rows)
+    hot = hot_keys(df, [partition_col], size)
+    limit = broadcast_rows(df)
+    n_hot = count_upto(hot, limit)
+    plain = _frame([partition_col], order_cols, rows)
+    if n_hot == 0:
+        return df.withColumn(out, F.avg(value_col).over(plain))
+    if n_hot > limit:  # more hot keys than can be broadcast: all rows chunked
+        return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size)
+    hot = F.broadcast(hot)
+    cold = df.join(hot, partition_col, "left_anti").withColumn(out, F.avg(value_col).over(plain))
+    warm = _chunked_moving_mean(df.join(hot, partition_col, "left_semi"), value_col, out, rows,
+                                partition_col, order_cols, size)
+    return cold.unionByName(warm)
+
+
+def _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size):
     ranked = global_ordinal(df, [partition_col, *order_cols], "_g")
     chunk = F.floor(F.col("_g") / F.lit(size)).cast("long")
     home = ranked.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
@@ -36,11 +70,9 @@ def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
         .withColumn("_chunk", chunk + F.lit(1))
         .withColumn("_halo", F.lit(True))
     )
-    frame = (Window.partitionBy(partition_col, "_chunk").orderBy("_g")
-             .rowsBetween(-(rows - 1), Window.currentRow))
     return (
         home.unionByName(halo)
-        .withColumn(out, F.avg(value_col).over(frame))
+        .withColumn(out, F.avg(value_col).over(_frame([partition_col, "_chunk"], ["_g"], rows)))
         .filter(~F.col("_halo"))
         .drop("_chunk", "_halo", "_g")
     )
@@ -50,6 +82,4 @@ def moving_mean_bounded(df: DataFrame, value_col: str, out: str, rows: int = 4,
                         partition_col: str = "unit_id",
                         order_cols=("timestamp", "reading_id")) -> DataFrame:
     """The plain window form, for inputs already cut to a bounded size (top-k)."""
-    frame = (Window.partitionBy(partition_col).orderBy(*order_cols)
-             .rowsBetween(-(rows - 1), Window.currentRow))
-    return df.withColumn(out, F.avg(value_col).over(frame))
+    return df.withColumn(out, F.avg(value_col).over(_frame([partition_col], order_cols, rows)))
