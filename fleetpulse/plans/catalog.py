@@ -113,9 +113,11 @@ def mart_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     from fleetpulse.plans.etl_catalog import etl_queries
+    from fleetpulse.plans.sql_text import sql_queries
 
     out = {}
     out.update(analytics_queries())
     out.update(mart_queries())
     out.update(etl_queries())
+    out.update(sql_queries())
     return out

@@ -290,9 +290,12 @@ def mart_sql() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     from fleetpulse.plans.etl_catalog import etl_sql
+    from fleetpulse.plans.sql_text import FLEET
 
     out = {}
     out.update(analytics_sql())
     out.update(mart_sql())
     out.update(etl_sql())
+    # The SQL-text forms mean the same as their DataFrame twins.
+    out.update({name: out[twin] for name, (_, twin) in FLEET.items()})
     return out
