@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import columns as C
-from fleetpulse.operators.joins import join_bounded
+from fleetpulse.operators.joins import join_bounded, memo_fact
 from fleetpulse.operators.ordinal import global_ordinal
 from fleetpulse.operators.windows import chunk_rows
 
@@ -94,7 +94,8 @@ def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
     long = stack_metrics(df, group_col, metrics)
     # One job, one result row: the largest group and the number of groups.
     sizes = long.groupBy("metric", "group").agg(F.count(F.lit(1)).alias("_rows"))
-    largest, n_groups = sizes.agg(F.max("_rows"), F.count(F.lit(1))).first()
+    largest, n_groups = memo_fact(sizes, "max,count", lambda: tuple(
+        sizes.agg(F.max("_rows"), F.count(F.lit(1))).first()))
     if largest is not None and largest > chunk_rows(long, chunk):
         summary = _exact_ranked(long, n_groups)
     else:

@@ -33,21 +33,27 @@ def _plan_key(df: DataFrame, limit: int):
         return None
 
 
+def memo_fact(df: DataFrame, tag: str, compute):
+    """A size fact about ``df`` (a count, a maximum) computed once per plan and
+    input files.  Only such small facts are memoised, never query results."""
+    key = _plan_key(df, tag)
+    if key is not None and key in _FITS:
+        return _FITS[key]
+    value = compute()
+    if key is not None:
+        _FITS[key] = value
+    return value
+
+
 def count_upto(df: DataFrame, limit: int) -> int:
     """``min(rows, limit + 1)``: every task stops reading after ``limit + 1`` rows."""
-    return df.limit(limit + 1).count()
+    return memo_fact(df, f"count<={limit}", lambda: df.limit(limit + 1).count())
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (one bounded job, memoised)."""
     limit = broadcast_rows(df) if max_rows is None else max_rows
-    key = _plan_key(df, limit)
-    if key is not None and key in _FITS:
-        return _FITS[key]
-    fits = count_upto(df, limit) <= limit
-    if key is not None:
-        _FITS[key] = fits
-    return fits
+    return count_upto(df, limit) <= limit
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",

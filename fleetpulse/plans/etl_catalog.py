@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators import quality as Q
+from fleetpulse.operators.joins import memo_fact
 from fleetpulse.operators import transform as T
 from fleetpulse.sources import standins as S
 from fleetpulse.sources.tables import read_table
@@ -22,7 +23,8 @@ ODD_UNITS = 7  # a unit count that does not divide the cycles: remainder dropped
 
 
 def _n_cycles(spark: SparkSession, sf_dir: str) -> int:
-    return S.embedding_matrix(spark, sf_dir).count()
+    m = S.embedding_matrix(spark, sf_dir)
+    return memo_fact(m, "count", m.count)
 
 
 def matrix_cycle_means(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The reference has no streaming input, state or late data: its 15-minute
+cadence is generated in a batch.  No streaming operator is added here.
+"""
