@@ -272,11 +272,31 @@ def multi_fault(readings: DataFrame, units: DataFrame, top: int | None = 10) ->
 
 
 # ------------------------------------------------------------------ A9 / W1
+MAX_LITERAL_IDS = 1000
+
+
+def unit_ids_for_code(units: DataFrame, unit_code: str, limit: int = MAX_LITERAL_IDS):
+    """The unit_id(s) carrying ``unit_code`` — at most ``limit`` ids (the code is
+    declared UNIQUE, so normally one), or None when there are more."""
+    ids = [r[0] for r in units.filter(F.col("unit_code") == F.lit(unit_code))
+           .select("unit_id").limit(limit + 1).collect()]
+    return ids if len(ids) <= limit else None
+
+
 def readings_of_unit(readings: DataFrame, units: DataFrame, unit_code: str) -> DataFrame:
-    """Readings of the unit(s) with ``unit_code`` (code resolved to unit_id first,
-    so the filter reaches the fact as a key filter below any window)."""
-    chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
-    return join_small(readings, chosen, "unit_id", "left_semi")
+    """Readings of the unit(s) with ``unit_code``.
+
+    The code is resolved to its unit_id first (one lookup on the unit table,
+    a bounded handful of ids) and the fact is filtered by ``unit_id IN (...)``:
+    a literal predicate that reaches the Parquet reader, where row-group
+    statistics of unit-sorted files skip every other unit, and that sits below
+    any window.  Past the bound it falls back to a semi-join.
+    """
+    ids = unit_ids_for_code(units, unit_code)
+    if ids is None:
+        chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
+        return join_small(readings, chosen, "unit_id", "left_semi")
+    return readings.filter(F.col("unit_id").isin(ids) if ids else F.lit(False))
 
 
 def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None = None,

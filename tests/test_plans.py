@@ -38,3 +38,8 @@ def test_topk_before_window_for_single_unit(spark):
     p = plan(spark, "moving_average_unit")
     assert "TakeOrderedAndProject" in p
     assert p.index("Window") < p.index("TakeOrderedAndProject")  # window above the top-k
+
+
+def test_unit_drilldown_pushes_unit_filter_to_scan(spark):
+    p = plan(spark, "unit_raw_readings")
+    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,0)]" in p
