@@ -50,9 +50,19 @@ def _exact_small(long: DataFrame) -> DataFrame:
         v_lo, v_hi = F.element_at("_v", lo + 1), F.element_at("_v", hi + 1)
         return v_lo + (v_hi - v_lo) * (pos - lo)
 
-    return grouped.select("metric", "group", n.cast("long").alias("n"),
-                          F.element_at("_v", 1).alias("min"), F.element_at("_v", -1).alias("max"),
-                          *[at(q).alias(name) for name, q in QUARTILES])
+    out = with_fences(grouped.select(
+        "metric", "group", "_v", n.cast("long").alias("n"),
+        F.element_at("_v", 1).alias("min"), F.element_at("_v", -1).alias("max"),
+        *[at(q).alias(name) for name, q in QUARTILES]))
+    # The values are already at hand: count outliers in the array, no second pass.
+    outside = F.filter("_v", lambda x: (x < F.col("lower_fence")) | (x > F.col("upper_fence")))
+    return out.withColumn("outliers", F.size(outside).cast("long")).drop("_v")
+
+
+def with_fences(summary: DataFrame) -> DataFrame:
+    iqr = F.col("q3") - F.col("q1")
+    return (summary.withColumn("lower_fence", F.col("q1") - F.lit(FENCE_IQR) * iqr)
+            .withColumn("upper_fence", F.col("q3") + F.lit(FENCE_IQR) * iqr))
 
 
 def _exact_ranked(long: DataFrame, n_groups: int) -> DataFrame:
@@ -96,24 +106,21 @@ def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
     sizes = long.groupBy("metric", "group").agg(F.count(F.lit(1)).alias("_rows"))
     largest, n_groups = memo_fact(sizes, "max,count", lambda: tuple(
         sizes.agg(F.max("_rows"), F.count(F.lit(1))).first()))
-    if largest is not None and largest > chunk_rows(long, chunk):
-        summary = _exact_ranked(long, n_groups)
+    if largest is None or largest <= chunk_rows(long, chunk):
+        out = _exact_small(long)
     else:
-        summary = _exact_small(long)
-    iqr = F.col("q3") - F.col("q1")
-    summary = (summary.withColumn("lower_fence", F.col("q1") - F.lit(FENCE_IQR) * iqr)
-               .withColumn("upper_fence", F.col("q3") + F.lit(FENCE_IQR) * iqr))
-    fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
-                            "lower_fence", "upper_fence")
-    # Outliers: one pass over the values against the fences; NULL groups match
-    # null-safely.  The fences have n_groups rows (counted above).
-    on = (long.metric == fences._fm) & long.group.eqNullSafe(fences._fg)
-    outliers = (join_bounded(long, fences, on, "inner", n_groups)
-                .groupBy(F.col("_fm"), F.col("_fg"))
-                .agg(F.count_if((F.col("value") < F.col("lower_fence"))
-                                | (F.col("value") > F.col("upper_fence"))).alias("outliers")))
-    on = (summary.metric == outliers._fm) & summary.group.eqNullSafe(outliers._fg)
-    out = join_bounded(summary, outliers, on, "left", n_groups)
+        summary = with_fences(_exact_ranked(long, n_groups))
+        fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
+                                "lower_fence", "upper_fence")
+        # Outliers: one pass over the values against the fences; NULL groups
+        # match null-safely.  The fences have n_groups rows (counted above).
+        on = (long.metric == fences._fm) & long.group.eqNullSafe(fences._fg)
+        outliers = (join_bounded(long, fences, on, "inner", n_groups)
+                    .groupBy(F.col("_fm"), F.col("_fg"))
+                    .agg(F.count_if((F.col("value") < F.col("lower_fence"))
+                                    | (F.col("value") > F.col("upper_fence"))).alias("outliers")))
+        on = (summary.metric == outliers._fm) & summary.group.eqNullSafe(outliers._fg)
+        out = join_bounded(summary, outliers, on, "left", n_groups)
     rnd = [C.half_up_round(c, decimals).alias(c) for c in
            ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")]
     return out.select(F.col("group").alias(group_col), "metric", "n", *rnd,
