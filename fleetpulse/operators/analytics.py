@@ -302,13 +302,18 @@ def readings_of_unit(readings: DataFrame, units: DataFrame, unit_code: str) -> D
 def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None = None,
                    rows: int = schema.MOVING_AVERAGE_ROWS, round_to: int | None = 2,
                    top: int | None = None, metric: str = "avg_temp_c",
-                   out: str = "temp_moving_avg") -> DataFrame:
+                   out: str = "temp_moving_avg", ordered: bool | None = None) -> DataFrame:
     """Moving mean of ``metric`` over ``rows`` rows per unit.
 
     With ``top`` the first ``top`` rows by (timestamp, reading_id) are taken
     before the window: their frames only reach earlier rows of the same unit,
     which are inside that top set, so the result is exact.
+
+    ``ordered`` (default: only for a single unit) sorts the output by time.
+    For the whole fleet the rows stay clustered by unit in time order as the
+    window leaves them, rather than paying a global sort of the entire fact.
     """
+    ordered = (unit_code is not None) if ordered is None else ordered
     base = (readings_of_unit(readings, units, unit_code) if unit_code is not None
             else join_small(readings, units.select("unit_id"), "unit_id", "left_semi"))
     base = base.select("unit_id", "reading_id", "timestamp", metric, "cooler_condition")
@@ -318,8 +323,10 @@ def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None
     else:
         framed = moving_mean(base, metric, "_mv", rows)
     shown = attach_units(framed, units, columns=("unit_code",))
+    if ordered:
+        shown = shown.orderBy("timestamp", "reading_id")
     rnd = (lambda c: C.half_up_round(c, round_to)) if round_to is not None else (lambda c: F.col(c))
-    return shown.orderBy("timestamp", "reading_id").select(
+    return shown.select(
         "unit_code", "timestamp", rnd(metric).alias("temp_c"), rnd("_mv").alias(out),
         "cooler_condition")
 

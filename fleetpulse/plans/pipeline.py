@@ -16,13 +16,16 @@ def run_etl(spark: SparkSession, raw_dir: str, out_root: str,
             n_units: int = schema.NUM_UNITS) -> dict:
     """Extract, transform, check and load; returns counts read back from the tables.
 
-    Jobs: one validation job (row counts and widths per matrix), the
-    constraint job, the write, and the post-load counts from Parquet footers.
+    Jobs: staging of the narrow per-cycle means (the only scan of the raw
+    text), one validation job on the staged table (row counts and widths per
+    matrix), the constraint job, the write, and post-load counts from footers.
     """
     long = M.read_sensor_set(spark, raw_dir)
     labels = M.read_label_matrix(spark, raw_dir)
-    shape = M.matrix_shape(long, labels)
-    units, readings = T.transform(long, labels, shape["n_cycles"], n_units)
+    staged = T.stage_cycles(long, labels)
+    shape = M.matrix_shape(staged)
+    units = T.fleet_units(spark, n_units)
+    readings = T.to_readings(T.assemble_cycles(staged, None), shape["n_cycles"], n_units)
     counts = sink.write_tables(units, readings, out_root)
     counts["cycles"] = shape["n_cycles"]
     counts["dropped_cycles"] = shape["n_cycles"] - counts["readings"]

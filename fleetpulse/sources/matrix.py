@@ -103,13 +103,14 @@ def read_label_matrix(spark: SparkSession, raw_dir: str) -> DataFrame:
 def matrix_shape(long_df: DataFrame, labels: DataFrame | None = None) -> dict:
     """One small job: rows and widths per sensor (≤ 11 result rows).
 
+    Takes the long frame (with ``samples``) or a staged one (with ``width``).
     Raises ``MatrixError`` on ragged rows or unequal cycle counts; returns
     ``{"n_cycles": ..., "widths": {sensor: width}}``.  The cycle count is
     taken from the first sensor, as the reference does.
     """
+    width = F.col("width") if "width" in long_df.columns else F.size("samples")
     shape = long_df.groupBy("sensor").agg(
-        F.count(F.lit(1)).alias("rows"), F.min(F.size("samples")).alias("lo"),
-        F.max(F.size("samples")).alias("hi"))
+        F.count(F.lit(1)).alias("rows"), F.min(width).alias("lo"), F.max(width).alias("hi"))
     if labels is not None:
         shape = shape.unionByName(labels.agg(
             F.lit("profile").alias("sensor"), F.count(F.lit(1)).alias("rows"),

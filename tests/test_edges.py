@@ -81,7 +81,8 @@ def test_v13_filtered_moving_mean_equals_unfiltered(spark):
     rows = series(1, [1.0, 5.0, 9.0, 3.0, 7.0]) + series(2, [2.0, 4.0, 6.0], 10)
     r, u = frames(spark, rows, [unit(1), unit(2)])
     one = [x.temp_moving_avg for x in A.moving_average(r, u, "CLR-0001").collect()]
-    everyone = [x.temp_moving_avg for x in A.moving_average(r, u).collect()
+    everyone = [x.temp_moving_avg for x in sorted(A.moving_average(r, u).collect(),
+                                                  key=lambda x: x.timestamp)
                 if x.unit_code == "CLR-0001"]
     assert one == everyone == [1.0, 3.0, 5.0, 4.5, 6.0]
 
@@ -166,7 +167,7 @@ def test_zscore_flags_nested_and_affine_invariant(spark):
 def test_moving_mean_within_frame_bounds(spark):
     rows = series(1, [3.0, 8.0, 1.0, 4.0, 6.0, 2.0])
     r, u = frames(spark, rows, [unit(1)])
-    out = A.moving_average(r, u, round_to=None).collect()
+    out = sorted(A.moving_average(r, u, round_to=None).collect(), key=lambda x: x.timestamp)
     temps = [x.temp_c for x in out]
     for i, x in enumerate(out):
         frame = temps[max(0, i - 3): i + 1]

@@ -186,3 +186,16 @@ def test_write_refuses_constraint_violations(spark, tmp_path):
     dup = readings.unionByName(readings.limit(1))
     with pytest.raises(Q.ConstraintViolation, match="primary key"):
         sink.write_tables(units, dup, str(tmp_path / "db"))
+
+
+def test_pipeline_end_to_end(spark, tmp_path):
+    from fleetpulse.plans.pipeline import run_etl
+
+    write_matrices(str(tmp_path / "raw"), 2205, widths=(6, 60))
+    counts = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
+    assert counts == {"units": 20, "readings": 2200, "cycles": 2205, "dropped_cycles": 5}
+    units, readings = sink.read_tables(spark, str(tmp_path / "db"))
+    dates = {r[0] for r in spark.read.parquet(str(tmp_path / "db" / "readings"))
+             .select("reading_date").distinct().collect()}
+    assert dates == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
+    assert readings.filter(F.col("unit_id") == 7).count() == 110
