@@ -38,23 +38,40 @@ def _surplus(df: DataFrame, key: str, label: str) -> DataFrame:
         .alias("violations"))
 
 
-def _orphans(readings: DataFrame, units: DataFrame) -> DataFrame:
-    per_unit = readings.filter(F.col("unit_id").isNotNull()).groupBy("unit_id").agg(
-        F.count(F.lit(1)).alias("n"))
-    missing = join_small(per_unit, units.select("unit_id"), "unit_id", "left_anti")
-    return missing.agg(F.lit("readings.unit_id references units").alias("check"),
-                       F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+def _per_unit_checks(readings: DataFrame, units: DataFrame) -> list[DataFrame]:
+    """NOT NULLs of the fact and the foreign key from one per-unit partial
+    aggregate (one scan of the fact; the two uses share its shuffle)."""
+    per_unit = readings.groupBy("unit_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("reading_id").isNull()).alias("reading_id"),
+        F.count_if(F.col("timestamp").isNull()).alias("timestamp"))
+    null_unit = F.when(F.col("unit_id").isNull(), F.col("n")).otherwise(F.lit(0))
+    totals = per_unit.agg(F.sum("reading_id").alias("reading_id"),
+                          F.sum(null_unit).alias("unit_id"), F.sum("timestamp").alias("timestamp"))
+    pairs = F.array(*[F.struct(F.lit(f"readings.{c} not null").alias("check"),
+                               F.coalesce(F.col(c), F.lit(0)).cast("long").alias("violations"))
+                      for c in READINGS_NOT_NULL])
+    missing = join_small(per_unit.filter(F.col("unit_id").isNotNull()),
+                         units.select("unit_id"), "unit_id", "left_anti")
+    orphans = missing.agg(F.lit("readings.unit_id references units").alias("check"),
+                          F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+    return [totals.select(F.inline(pairs)), orphans]
 
 
 def check_constraints(units: DataFrame, readings: DataFrame) -> DataFrame:
-    """(check STRING, violations BIGINT), one row per declared constraint."""
+    """(check STRING, violations BIGINT), one row per declared constraint.
+
+    Two passes over the fact: the per-unit aggregate (NOT NULLs, foreign key)
+    and the key count (primary key).
+    """
+    nulls, orphans = _per_unit_checks(readings, units)
     parts = [
         _null_counts(units, "units", UNITS_NOT_NULL),
         _surplus(units, "unit_id", "units.unit_id primary key"),
         _surplus(units, "unit_code", "units.unit_code unique"),
-        _null_counts(readings, "readings", READINGS_NOT_NULL),
+        nulls,
         _surplus(readings, "reading_id", "readings.reading_id primary key"),
-        _orphans(readings, units),
+        orphans,
     ]
     return reduce(DataFrame.unionByName, parts)
 
