@@ -9,8 +9,10 @@ from fleetpulse.functions.columns import (  # noqa: F401
     location,
     nan_to_null,
     ordinal_timestamp,
+    parse_timestamp,
     row_mean,
     safe_ratio,
+    timestamp_text,
     unit_code,
     zscore,
 )

@@ -67,6 +67,26 @@ def hour_of_day(ts) -> Column:
     return F.hour(_col(ts))
 
 
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def parse_timestamp(text, strict: bool = True, fmt: str = TIMESTAMP_TEXT) -> Column:
+    """T13 / ledger V9: text → TIMESTAMP_NTZ.
+
+    ``strict`` raises on unparsable text (as a frame parser does); otherwise
+    such values become NULL (as SQL date functions on bad text do).
+    """
+    text = _col(text)
+    if strict:
+        return F.to_timestamp_ntz(text, F.lit(fmt))
+    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+
+
+def timestamp_text(ts, fmt: str = TIMESTAMP_TEXT) -> Column:
+    """F16: timestamp → ``YYYY-MM-DD HH:MM:SS`` text."""
+    return F.date_format(_col(ts), fmt)
+
+
 def safe_ratio(numerator, denominator) -> Column:
     """Division that yields NULL instead of failing on a zero denominator."""
     return F.try_divide(_col(numerator), _col(denominator))

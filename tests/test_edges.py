@@ -172,3 +172,34 @@ def test_moving_mean_within_frame_bounds(spark):
     for i, x in enumerate(out):
         frame = temps[max(0, i - 3): i + 1]
         assert min(frame) <= x.temp_moving_avg <= max(frame)
+
+
+def test_v9_text_timestamps_strict_and_tolerant(spark):
+    import datetime as dt
+
+    from fleetpulse.functions import columns as C
+
+    df = spark.createDataFrame([("2024-01-01 03:15:00",), ("bad",)], "t string")
+    tolerant = [r[0] for r in df.select(C.parse_timestamp("t", strict=False)).collect()]
+    assert tolerant == [dt.datetime(2024, 1, 1, 3, 15), None]
+    with pytest.raises(Exception):
+        df.select(C.parse_timestamp("t", strict=True)).collect()
+    good = df.filter(F.col("t") != "bad").select(C.parse_timestamp("t").alias("ts"))
+    assert good.select(C.timestamp_text("ts")).first()[0] == "2024-01-01 03:15:00"
+    assert good.select(C.hour_of_day("ts")).first()[0] == 3
+
+
+def test_batch_runner_and_sql_views(spark):
+    from fleetpulse.plans.runner import load_query, register_views, run_batch
+
+    rows = series(1, [1.0, 2.0], 0, 3) + series(2, [3.0], 10, 100)
+    r, u = frames(spark, rows, [unit(1), unit(2, region="Dunedin")])
+    register_views(spark, r, u)
+    enriched = load_query(spark, "SELECT unit_code, region, avg_temp_c FROM readings_enriched")
+    assert sorted(map(tuple, enriched.collect())) == [
+        ("CLR-0001", "Auckland", 1.0), ("CLR-0001", "Auckland", 2.0), ("CLR-0002", "Dunedin", 3.0)]
+    lines = []
+    shown = run_batch([("regions", lambda: A.fleet_overview_by_region(r, u)),
+                       ("nothing", r.filter(F.lit(False)))], out=lines.append)
+    assert shown == {"regions": 2, "nothing": 0}
+    assert "  (no results)" in lines and any(line.startswith("Auckland") for line in lines)
