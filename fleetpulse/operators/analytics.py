@@ -66,9 +66,13 @@ def site_failure_summary(readings, units, separator: str = schema.SEPARATOR_SQL,
 # ------------------------------------------------------------- A2 / A4 / A7
 def condition_breakdown(readings: DataFrame, labels: Mapping[int, str] = schema.LABELS_EFFICIENCY,
                         condition_col: str = "cooler_condition") -> DataFrame:
-    """A2: readings per condition level, its label, and its share of all readings."""
-    total = readings.select(F.count(F.lit(1))).scalar()
+    """A2: readings per condition level, its label, and its share of all readings.
+
+    The total is a scalar subquery over the grouped counts, so the fact is
+    scanned once: the subquery reuses the grouping's shuffle.
+    """
     counts = readings.groupBy(condition_col).agg(F.count(F.lit(1)).alias("reading_count"))
+    total = counts.select(F.sum("reading_count")).scalar()
     return counts.select(
         F.col(condition_col).alias("condition_pct"),
         C.condition_label(condition_col, labels).alias("label"),
