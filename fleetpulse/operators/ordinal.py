@@ -9,6 +9,9 @@ to the reliable checkpoint directory so both uses below see the same ids and
 lineage is cut, and adds each partition's starting offset from a prefix sum
 over the per-partition counts (one row per partition).
 
+Rows that tie on every order column are interchangeable for both uses below;
+a per-row id breaks such ties so that no single key value is too big to split.
+
 The positions feed the skew-safe moving average (chunks of a fixed row count
 instead of one window partition per unit) and the exact quantiles of the box
 summary (rank arithmetic instead of a per-group sort in one task).
@@ -30,9 +33,12 @@ def global_ordinal(df: DataFrame, order_cols, name: str = "_ord",
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    # A per-row tie-breaker makes the order total, so even one value repeated
+    # across a third of all rows can be split between range partitions.
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols] + [F.col("_tie")]
     staged = (
-        df.repartitionByRange(n, *order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
