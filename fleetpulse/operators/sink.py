@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse.operators.joins import fits_broadcast
 from fleetpulse.operators.quality import assert_constraints
-from fleetpulse.session import shuffle_partitions
+from fleetpulse.session import conf_int
 from fleetpulse.sources.tables import table_exists
 
 PARTITION_COLUMN = "reading_date"
+ROWS_PER_FILE_KEY = "fleetpulse.write.rowsPerFile"
+DEFAULT_ROWS_PER_FILE = 5_000_000  # ~100 B per reading → files of a few hundred MB
+
+
+def write_partitions(readings: DataFrame, rows_per_file: int | None = None) -> int:
+    """Write tasks for the readings: one per ``rows_per_file`` rows (one count job)."""
+    per_file = rows_per_file or conf_int(readings.sparkSession, ROWS_PER_FILE_KEY,
+                                         DEFAULT_ROWS_PER_FILE)
+    return max(1, -(-readings.count() // per_file))
 
 
 def write_tables(units: DataFrame, readings: DataFrame, root: str,
@@ -17,16 +27,18 @@ def write_tables(units: DataFrame, readings: DataFrame, root: str,
     """Full refresh of ``<root>/units`` and ``<root>/readings``.
 
     The constraint job runs first and a violation stops the write.  Readings
-    are range-partitioned on (date, unit, time) – balanced by sampling even
-    when one day or one unit dominates – sorted the same way inside each task
-    and written partitioned by date, so date filters prune directories and
-    unit/time filters prune row groups.
+    are range-partitioned on (date, unit, time) into as many tasks as the row
+    count asks for – balanced by sampling even when one day or one unit
+    dominates – sorted the same way inside each task and written partitioned
+    by date, so date filters prune directories and unit/time filters prune
+    row groups.  The unit table goes to one file only when it is proven small.
     """
     if check:
         assert_constraints(units, readings)
-    n = num_partitions or shuffle_partitions(readings.sparkSession)
+    n = num_partitions or write_partitions(readings)
     root = root.rstrip("/")
-    units.coalesce(1).write.mode("overwrite").parquet(f"{root}/units")
+    (units.coalesce(1) if fits_broadcast(units) else units.repartitionByRange("unit_id")
+     ).write.mode("overwrite").parquet(f"{root}/units")
     dated = readings.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
     (dated.repartitionByRange(n, PARTITION_COLUMN, "unit_id", "timestamp")
      .sortWithinPartitions(PARTITION_COLUMN, "unit_id", "timestamp")
