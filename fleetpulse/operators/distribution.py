@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.joins import join_bounded, memo_fact
 from fleetpulse.operators.ordinal import global_ordinal
-from fleetpulse.operators.windows import chunk_rows
+from fleetpulse.operators.windows import chunk_rows, range_tasks
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 FENCE_IQR = 1.5
@@ -65,9 +65,9 @@ def with_fences(summary: DataFrame) -> DataFrame:
             .withColumn("upper_fence", F.col("q3") + F.lit(FENCE_IQR) * iqr))
 
 
-def _exact_ranked(long: DataFrame, n_groups: int) -> DataFrame:
+def _exact_ranked(long: DataFrame, n_groups: int, tasks: int) -> DataFrame:
     """Quartiles by rank arithmetic on a global ordinal (any group size)."""
-    ranked = global_ordinal(long, ["metric", "group", "value"], "_g")
+    ranked = global_ordinal(long, ["metric", "group", "value"], "_g", tasks)
     groups = ranked.groupBy("metric", "group").agg(
         F.count(F.lit(1)).alias("n"), F.min("_g").alias("_start"))
     # Needed ranks per group: 0, n-1 and floor/ceil of each quartile position.
@@ -104,12 +104,13 @@ def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
     long = stack_metrics(df, group_col, metrics)
     # One job, one result row: the largest group and the number of groups.
     sizes = long.groupBy("metric", "group").agg(F.count(F.lit(1)).alias("_rows"))
-    largest, n_groups = memo_fact(sizes, "max,count", lambda: tuple(
-        sizes.agg(F.max("_rows"), F.count(F.lit(1))).first()))
-    if largest is None or largest <= chunk_rows(long, chunk):
+    largest, n_groups, total = memo_fact(sizes, "max,count,sum", lambda: tuple(
+        sizes.agg(F.max("_rows"), F.count(F.lit(1)), F.sum("_rows")).first()))
+    bound = chunk_rows(long, chunk)
+    if largest is None or largest <= bound:
         out = _exact_small(long)
     else:
-        summary = with_fences(_exact_ranked(long, n_groups))
+        summary = with_fences(_exact_ranked(long, n_groups, range_tasks(long, total, bound)))
         fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
                                 "lower_fence", "upper_fence")
         # Outliers: one pass over the values against the fences; NULL groups

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import broadcast_rows, count_upto
+from fleetpulse.operators.joins import broadcast_rows, memo_fact
 from fleetpulse.operators.ordinal import global_ordinal
-from fleetpulse.session import CHUNK_ROWS_KEY, conf_int
+from fleetpulse.session import CHUNK_ROWS_KEY, conf_int, shuffle_partitions
 
 DEFAULT_CHUNK_ROWS = 1_000_000
 
@@ -18,9 +18,14 @@ def chunk_rows(df: DataFrame, override: int | None = None) -> int:
 
 
 def hot_keys(df: DataFrame, key_cols, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows (map-side partial count per key)."""
+    """(keys, _rows) of keys with more than ``limit`` rows (map-side partial count)."""
     return df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows")).filter(
-        F.col("_rows") > F.lit(limit)).select(*key_cols)
+        F.col("_rows") > F.lit(limit))
+
+
+def range_tasks(df: DataFrame, rows: int, size: int) -> int:
+    """Range partitions for ``rows`` rows at about ``size`` rows each."""
+    return max(shuffle_partitions(df.sparkSession), -(-int(rows) // int(size)))
 
 
 def _frame(partition_cols, order, rows: int) -> Window:
@@ -47,22 +52,24 @@ def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
         raise ValueError("rows must be >= 1")
     size = max(chunk_rows(df, chunk), rows)
     hot = hot_keys(df, [partition_col], size)
-    limit = broadcast_rows(df)
-    n_hot = count_upto(hot, limit)
+    n_hot, hot_rows = memo_fact(hot, "count,rows", lambda: tuple(
+        hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()))
     plain = _frame([partition_col], order_cols, rows)
     if n_hot == 0:
         return df.withColumn(out, F.avg(value_col).over(plain))
-    if n_hot > limit:  # more hot keys than can be broadcast: all rows chunked
-        return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size)
-    hot = F.broadcast(hot)
+    tasks = range_tasks(df, hot_rows, size)
+    if n_hot > broadcast_rows(df):  # more hot keys than can be broadcast: all rows chunked
+        return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size,
+                                    tasks)
+    hot = F.broadcast(hot.select(partition_col))
     cold = df.join(hot, partition_col, "left_anti").withColumn(out, F.avg(value_col).over(plain))
     warm = _chunked_moving_mean(df.join(hot, partition_col, "left_semi"), value_col, out, rows,
-                                partition_col, order_cols, size)
+                                partition_col, order_cols, size, tasks)
     return cold.unionByName(warm)
 
 
-def _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size):
-    ranked = global_ordinal(df, [partition_col, *order_cols], "_g")
+def _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size, tasks):
+    ranked = global_ordinal(df, [partition_col, *order_cols], "_g", tasks)
     chunk = F.floor(F.col("_g") / F.lit(size)).cast("long")
     home = ranked.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
     halo = (
