@@ -105,6 +105,20 @@ def mart_queries() -> dict[str, Query]:
         "site_failure_details": _m2(D.site_failure_details),
         "site_extremes": _m2(lambda r, u: D.site_extremes(D.site_failure_details(r, u))),
         "unit_profile": lambda spark, d: D.unit_profile(S.lineitem_units(spark, d), M2_UNIT),
+        # Dashboard forms of A1, A4 and A7 (other names, ELSE label, efficiency).
+        "dash_region_summary": _m2(lambda r, u: A.fleet_overview_by_region(
+            r, u, [("avg_temp_c", "avg_temp_c", 1), ("avg_power_w", "motor_power_w", 0),
+                   ("avg_efficiency_pct", "cooling_efficiency_pct", 1)])),
+        "dash_condition_stats": _readings_only(S.lineitem_readings, lambda r: A.condition_profile(
+            r, [("n", None, None, None), ("mean_temp_c", "avg", "avg_temp_c", 2),
+                ("min_temp_c", "min", "avg_temp_c", 2), ("max_temp_c", "max", "avg_temp_c", 2),
+                ("mean_power_w", "avg", "motor_power_w", 1),
+                ("mean_efficiency_pct", "avg", "cooling_efficiency_pct", 1)],
+            schema.LABELS_GROUP, else_label="Failing (3%)")),
+        "dash_power_efficiency": _readings_only(S.lineitem_readings, lambda r: A.condition_power_profile(
+            r, [("avg_power_w", "avg", "motor_power_w", 1),
+                ("avg_efficiency_pct", "avg", "cooling_efficiency_pct", 1),
+                ("avg_vibration", "avg", "vibration_mm_s", 3)])),
         "unit_drilldown_series": _m1(lambda r, u: D.unit_drilldown_series(r, u, M1_UNIT)),
         "unit_kpis": _m1(lambda r, u: D.unit_kpis(r, u, M1_UNIT)),
         "unit_raw_readings": _m1(lambda r, u: D.unit_raw_readings(r, u, M1_UNIT)),

@@ -268,6 +268,21 @@ def mart_sql() -> dict[str, str]:
             "(SELECT location FROM site ORDER BY failure_pct ASC, location ASC LIMIT 1) "
             "AS lowest_location, (SELECT MIN(failure_pct) FROM site) AS lowest_failure_pct"),
             f"site AS ({site_details})"),
+        "dash_region_summary": w(M2, _overview([
+            ("avg_temp_c", "avg_temp_c", 1), ("avg_power_w", "motor_power_w", 0),
+            ("avg_efficiency_pct", "cooling_efficiency_pct", 1)])),
+        "dash_condition_stats": w(M2, (
+            f"SELECT {case_label('cooler_condition', GROUP, 'Failing (3%)')} AS condition_group, "
+            "COUNT(*) AS n, " + R("AVG(avg_temp_c)", 2) + " AS mean_temp_c, "
+            + R("MIN(avg_temp_c)", 2) + " AS min_temp_c, " + R("MAX(avg_temp_c)", 2)
+            + " AS max_temp_c, " + R("AVG(motor_power_w)", 1) + " AS mean_power_w, "
+            + R("AVG(cooling_efficiency_pct)", 1) + " AS mean_efficiency_pct FROM readings "
+              "GROUP BY cooler_condition ORDER BY cooler_condition DESC NULLS LAST")),
+        "dash_power_efficiency": w(M2, (
+            "SELECT cooler_condition, " + R("AVG(motor_power_w)", 1) + " AS avg_power_w, "
+            + R("AVG(cooling_efficiency_pct)", 1) + " AS avg_efficiency_pct, "
+            + R("AVG(vibration_mm_s)", 3) + " AS avg_vibration FROM readings "
+              "GROUP BY cooler_condition ORDER BY cooler_condition NULLS FIRST")),
         "unit_profile": w(M2, (
             "SELECT unit_code, model, region, site, install_date FROM units "
             f"WHERE unit_code = '{M2_UNIT}'")),

@@ -61,6 +61,28 @@ def run_batch(items: Iterable[tuple[str, Callable[[], DataFrame] | DataFrame]],
     return shown
 
 
+def reference_reports(readings: DataFrame, units: DataFrame, unit_code: str = "CLR-0001"):
+    """The runner's seven reports on real ``readings``/``units`` tables, with the
+    original parameters (top 5 / top 10 / 15 rows, the first unit's code)."""
+    from fleetpulse import schema
+    from fleetpulse.operators import analytics as A
+
+    temps = A.TEMPERATURE_STATS
+    return [
+        ("Fleet Overview by Region",
+         A.fleet_overview_by_region(readings, units, A.OVERVIEW_METRICS[:2])),
+        ("Cooler Condition Distribution", A.condition_breakdown(readings, schema.LABELS_SHORT)),
+        ("Worst Units (maintenance candidates)", A.rank_units(readings, units, k=5, with_site=False)),
+        ("Healthy vs Degraded: Temperature & Power",
+         A.condition_profile(readings, [temps[0], temps[1], temps[4]], schema.LABELS_STATUS,
+                             else_label="Failing", label_name="status")),
+        ("Temperature Anomalies (Z-score > 2)", A.zscore_anomalies(readings, units, top=10)),
+        ("Site Failure Rate", A.site_failure_summary(readings, units, with_condition=False)),
+        ("Moving Average: first unit temperature (window function)",
+         A.moving_average(readings, units, unit_code, top=15)),
+    ]
+
+
 RUNNER_TITLES = [
     ("Fleet Overview by Region", "run_fleet_overview"),
     ("Cooler Condition Distribution", "run_condition_distribution"),
@@ -77,11 +99,19 @@ def main(argv=None) -> int:
     from fleetpulse.session import get_spark
 
     ap = argparse.ArgumentParser(description="Run the analysis batch on a table directory.")
-    ap.add_argument("sf_dir", help="directory holding the <table>.parquet files")
+    ap.add_argument("sf_dir", help="directory holding the <table>.parquet files, or with "
+                                   "--tables the root written by the ETL")
+    ap.add_argument("--tables", action="store_true",
+                    help="sf_dir is an ETL output root (units/, readings/)")
     ap.add_argument("--master", default=None)
     ap.add_argument("--all", action="store_true", help="run every catalogue query")
     args = ap.parse_args(argv)
     spark = get_spark(args.master)
+    if args.tables:
+        from fleetpulse.operators.sink import read_tables
+
+        run_batch(reference_reports(*read_tables(spark, args.sf_dir)))
+        return 0
     qs = all_queries()
     items = ([(n, n) for n in qs] if args.all else RUNNER_TITLES)
     run_batch([(title, (lambda n=name: qs[n](spark, args.sf_dir))) for title, name in items])

@@ -199,3 +199,30 @@ def test_pipeline_end_to_end(spark, tmp_path):
              .select("reading_date").distinct().collect()}
     assert dates == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
     assert readings.filter(F.col("unit_id") == 7).count() == 110
+
+
+def test_reference_workflow_on_written_tables(spark, golden):
+    """ETL output → the runner's seven reports with the original parameters."""
+    from fleetpulse.plans.runner import reference_reports, run_batch
+
+    _, _, units, readings = golden
+    reports = dict(reference_reports(readings, units))
+    regions = {r.region: (r.units, r.readings) for r in reports["Fleet Overview by Region"].collect()}
+    assert regions == {"Auckland": (6, 660), "Wellington": (4, 440), "Christchurch": (4, 440),
+                       "Hamilton": (4, 440), "Dunedin": (2, 220)}
+    dist = {r.condition_pct: r.reading_count
+            for r in reports["Cooler Condition Distribution"].collect()}
+    assert sum(dist.values()) == 2200 and set(dist) == {100, 20, 3}
+    mv = reports["Moving Average: first unit temperature (window function)"].collect()
+    assert len(mv) == 15 and {r.unit_code for r in mv} == {"CLR-0001"}
+    assert mv[3].temp_moving_avg == pytest.approx(round(sum(r.temp_c for r in mv[:4]) / 4, 2),
+                                                  abs=0.011)
+    assert len(reports["Worst Units (maintenance candidates)"].collect()) == 5
+    sites = reports["Site Failure Rate"].collect()
+    assert len(sites) == 10 and sum(r.failure_readings for r in sites) == dist[3]
+    # Temperatures rise linearly inside each unit: a uniform ramp never passes |z| = 2.
+    assert reports["Temperature Anomalies (Z-score > 2)"].count() == 0
+    lines = []
+    run_batch(reference_reports(readings, units), out=lines.append)
+    assert sum(line.startswith("(") and "rows" in line for line in lines) == 6
+    assert lines.count("  (no results)") == 1
