@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
+from fleetpulse.operators.joins import join_small
 
 
 class MatrixError(ValueError):
@@ -61,14 +62,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.input_file_block_start().alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"),
         "line",
-    )
-    splits = kept.groupBy("_file", "_blk").agg(
+    ).withColumn("_fkey", F.xxhash64("_file"))
+    splits = kept.groupBy("_file", "_fkey", "_blk").agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # One row per file split: the prefix sum runs in one task on purpose.
     before = Window.orderBy("_file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select("_file", "_blk", "_first",
+    starts = splits.select("_fkey", "_blk", "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    located = kept.join(F.broadcast(starts), ["_file", "_blk"])
+    # 32 bytes per split (the path is replaced by its 64-bit hash); broadcast
+    # after the size check, else a join on the split key.
+    located = join_small(kept.drop("_file"), starts, ["_fkey", "_blk"])
     cycle = F.col("_base") + F.col("_mid") - F.col("_first")
     return located.select(cycle.cast("long").alias("cycle_id"), "line")
 
