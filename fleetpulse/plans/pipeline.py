@@ -23,7 +23,7 @@ def run_etl(spark: SparkSession, raw_dir: str, out_root: str,
     long = M.read_sensor_set(spark, raw_dir)
     labels = M.read_label_matrix(spark, raw_dir)
     staged = T.stage_cycles(long, labels)
-    shape = M.matrix_shape(staged)
+    shape = M.matrix_shape(staged, expected=schema.SENSOR_NAMES + ["profile"])
     units = T.fleet_units(spark, n_units)
     readings = T.to_readings(T.assemble_cycles(staged, None), shape["n_cycles"], n_units)
     counts = sink.write_tables(units, readings, out_root)

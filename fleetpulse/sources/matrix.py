@@ -103,11 +103,13 @@ def read_label_matrix(spark: SparkSession, raw_dir: str) -> DataFrame:
     return read_labels(spark, paths[0])
 
 
-def matrix_shape(long_df: DataFrame, labels: DataFrame | None = None) -> dict:
+def matrix_shape(long_df: DataFrame, labels: DataFrame | None = None,
+                 expected=None) -> dict:
     """One small job: rows and widths per sensor (≤ 11 result rows).
 
     Takes the long frame (with ``samples``) or a staged one (with ``width``).
-    Raises ``MatrixError`` on ragged rows or unequal cycle counts; returns
+    Raises ``MatrixError`` on ragged rows, unequal cycle counts or an
+    ``expected`` matrix without rows (it would turn into a NULL column); returns
     ``{"n_cycles": ..., "widths": {sensor: width}}``.  The cycle count is
     taken from the first sensor, as the reference does.
     """
@@ -119,6 +121,9 @@ def matrix_shape(long_df: DataFrame, labels: DataFrame | None = None) -> dict:
             F.lit("profile").alias("sensor"), F.count(F.lit(1)).alias("rows"),
             F.min(F.size("labels")).alias("lo"), F.max(F.size("labels")).alias("hi")))
     info = {r["sensor"]: (r["rows"], r["lo"], r["hi"]) for r in shape.collect()}
+    missing = sorted(set(expected or ()) - set(info))
+    if missing:
+        raise MatrixError(f"no rows in: {', '.join(missing)}")
     ragged = sorted(s for s, (_, lo, hi) in info.items() if lo != hi)
     if ragged:
         raise MatrixError(f"rows of different widths in: {', '.join(ragged)}")

@@ -226,3 +226,12 @@ def test_reference_workflow_on_written_tables(spark, golden):
     run_batch(reference_reports(readings, units), out=lines.append)
     assert sum(line.startswith("(") and "rows" in line for line in lines) == 6
     assert lines.count("  (no results)") == 1
+
+
+def test_empty_sensor_file_raises(spark, tmp_path):
+    from fleetpulse.plans.pipeline import run_etl
+
+    write_matrices(str(tmp_path / "raw"), 30)
+    open(os.path.join(tmp_path, "raw", "EPS1.txt"), "w").write("# no data\n\n")
+    with pytest.raises(M.MatrixError, match="no rows in: eps1"):
+        run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
