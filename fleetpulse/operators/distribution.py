@@ -110,7 +110,7 @@ def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
     if largest is None or largest <= bound:
         out = _exact_small(long)
     else:
-        summary = with_fences(_exact_ranked(long, n_groups, range_tasks(long, total, bound)))
+        summary = with_fences(_exact_ranked(long, n_groups, range_tasks(long, total)))
         fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
                                 "lower_fence", "upper_fence")
         # Outliers: one pass over the values against the fences; NULL groups

@@ -10,6 +10,8 @@ from fleetpulse.operators.ordinal import global_ordinal
 from fleetpulse.session import CHUNK_ROWS_KEY, conf_int, shuffle_partitions
 
 DEFAULT_CHUNK_ROWS = 1_000_000
+ORDINAL_ROWS_KEY = "fleetpulse.ordinal.rowsPerPartition"
+DEFAULT_ORDINAL_ROWS = 4_000_000
 
 
 def chunk_rows(df: DataFrame, override: int | None = None) -> int:
@@ -23,8 +25,10 @@ def hot_keys(df: DataFrame, key_cols, limit: int) -> DataFrame:
         F.col("_rows") > F.lit(limit))
 
 
-def range_tasks(df: DataFrame, rows: int, size: int) -> int:
-    """Range partitions for ``rows`` rows at about ``size`` rows each."""
+def range_tasks(df: DataFrame, rows: int, size: int | None = None) -> int:
+    """Range partitions for ordering ``rows`` rows, about ``size`` rows each
+    (``fleetpulse.ordinal.rowsPerPartition``: ~4 M narrow rows ≈ 150 MB)."""
+    size = size or conf_int(df.sparkSession, ORDINAL_ROWS_KEY, DEFAULT_ORDINAL_ROWS)
     return max(shuffle_partitions(df.sparkSession), -(-int(rows) // int(size)))
 
 
@@ -57,7 +61,7 @@ def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
     plain = _frame([partition_col], order_cols, rows)
     if n_hot == 0:
         return df.withColumn(out, F.avg(value_col).over(plain))
-    tasks = range_tasks(df, hot_rows, size)
+    tasks = range_tasks(df, hot_rows)
     if n_hot > broadcast_rows(df):  # more hot keys than can be broadcast: all rows chunked
         return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size,
                                     tasks)
