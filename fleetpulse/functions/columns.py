@@ -87,6 +87,11 @@ def timestamp_text(ts, fmt: str = TIMESTAMP_TEXT) -> Column:
     return F.date_format(_col(ts), fmt)
 
 
+def with_suffix(c, suffix: str = "%") -> Column:
+    """number as text with a suffix, e.g. 100 → '100%'."""
+    return F.concat(_col(c).cast("string"), F.lit(suffix))
+
+
 def safe_ratio(numerator, denominator) -> Column:
     """Division that yields NULL instead of failing on a zero denominator."""
     return F.try_divide(_col(numerator), _col(denominator))

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetpulse import schema
+from fleetpulse.functions import columns as C
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators import marts as D
 from fleetpulse.sources import standins as S
@@ -118,7 +119,9 @@ def mart_queries() -> dict[str, Query]:
         "dash_power_efficiency": _readings_only(S.lineitem_readings, lambda r: A.condition_power_profile(
             r, [("avg_power_w", "avg", "motor_power_w", 1),
                 ("avg_efficiency_pct", "avg", "cooling_efficiency_pct", 1),
-                ("avg_vibration", "avg", "vibration_mm_s", 3)])),
+                ("avg_vibration", "avg", "vibration_mm_s", 3)]).withColumn(
+            "condition_text", C.with_suffix("cooler_condition"))),
+        "unit_selection_list": lambda spark, d: D.unit_codes(S.lineitem_units(spark, d)),
         "unit_drilldown_series": _m1(lambda r, u: D.unit_drilldown_series(r, u, M1_UNIT)),
         "unit_kpis": _m1(lambda r, u: D.unit_kpis(r, u, M1_UNIT)),
         "unit_raw_readings": _m1(lambda r, u: D.unit_raw_readings(r, u, M1_UNIT)),

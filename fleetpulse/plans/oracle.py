@@ -281,8 +281,10 @@ def mart_sql() -> dict[str, str]:
         "dash_power_efficiency": w(M2, (
             "SELECT cooler_condition, " + R("AVG(motor_power_w)", 1) + " AS avg_power_w, "
             + R("AVG(cooling_efficiency_pct)", 1) + " AS avg_efficiency_pct, "
-            + R("AVG(vibration_mm_s)", 3) + " AS avg_vibration FROM readings "
+            + R("AVG(vibration_mm_s)", 3) + " AS avg_vibration, "
+              "CAST(cooler_condition AS VARCHAR) || '%' AS condition_text FROM readings "
               "GROUP BY cooler_condition ORDER BY cooler_condition NULLS FIRST")),
+        "unit_selection_list": w(M2, "SELECT unit_code FROM units ORDER BY unit_id"),
         "unit_profile": w(M2, (
             "SELECT unit_code, model, region, site, install_date FROM units "
             f"WHERE unit_code = '{M2_UNIT}'")),
