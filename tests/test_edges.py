@@ -203,3 +203,32 @@ def test_batch_runner_and_sql_views(spark):
                        ("nothing", r.filter(F.lit(False)))], out=lines.append)
     assert shown == {"regions": 2, "nothing": 0}
     assert "  (no results)" in lines and any(line.startswith("Auckland") for line in lines)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_box_summary_against_numpy(spark, chunk_rows, seed):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(seed)
+    rows = [reading(i, 1, i, float(rnd.choice([rnd.randint(0, 9), rnd.uniform(-50, 50)])),
+                    rnd.choice([100, 20, 3]), motor_power_w=rnd.gauss(500, 80))
+            for i in range(700)]
+    r, u = frames(spark, rows, [unit(1)])
+    labels = {100: "Healthy", 20: "Reduced", 3: "Failing"}
+    for bound in (None, 25):
+        if bound:
+            chunk_rows(bound)
+        got = {(x.condition_label, x.metric): x for x in D.box_summary_by_condition(r, u).collect()}
+        for cond, label in labels.items():
+            for metric in ("avg_temp_c", "motor_power_w"):
+                v = np.array([x[metric] for x in rows if x["cooler_condition"] == cond])
+                q1, med, q3 = np.percentile(v, [25, 50, 75])
+                iqr = q3 - q1
+                out = ((v < q1 - 1.5 * iqr) | (v > q3 + 1.5 * iqr)).sum()
+                g = got[(label, metric)]
+                assert g.n == len(v) and g.outliers == out
+                for name, want in [("min", v.min()), ("q1", q1), ("median", med), ("q3", q3),
+                                   ("max", v.max())]:
+                    assert getattr(g, name) == pytest.approx(want, abs=1e-6), (bound, name)
