@@ -14,7 +14,7 @@ from fleetpulse.operators import transform as T
 from fleetpulse.sources import matrix as M
 
 
-def run_pipeline(spark, raw, out=None, n_units=schema.NUM_UNITS):
+def run_etl_steps(spark, raw, out=None, n_units=schema.NUM_UNITS):
     long = M.read_sensor_set(spark, raw)
     labels = M.read_label_matrix(spark, raw)
     shape = M.matrix_shape(long, labels)
@@ -29,7 +29,7 @@ def run_pipeline(spark, raw, out=None, n_units=schema.NUM_UNITS):
 def golden(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("full_shape")
     means = write_matrices(str(root / "raw"), 2205)
-    shape, units, readings = run_pipeline(spark, str(root / "raw"), str(root / "db"))
+    shape, units, readings = run_etl_steps(spark, str(root / "raw"), str(root / "db"))
     return means, shape, units, readings
 
 
@@ -88,7 +88,7 @@ def test_golden_constraints_clean(golden):
 
 def test_tiny_fleet_drops_remainder(spark, tmp_path):
     means = write_matrices(str(tmp_path), 45, widths=(3, 5, 7))
-    shape, units, readings = run_pipeline(spark, str(tmp_path))
+    shape, units, readings = run_etl_steps(spark, str(tmp_path))
     assert shape["n_cycles"] == 45
     assert readings.count() == 40
     got = {r.reading_id: r.motor_power_w for r in readings.collect()}
@@ -98,7 +98,7 @@ def test_tiny_fleet_drops_remainder(spark, tmp_path):
 
 def test_fewer_cycles_than_units_gives_empty_readings(spark, tmp_path):
     write_matrices(str(tmp_path), 7)
-    _, units, readings = run_pipeline(spark, str(tmp_path))
+    _, units, readings = run_etl_steps(spark, str(tmp_path))
     assert readings.count() == 0 and units.count() == 20
 
 
@@ -111,7 +111,7 @@ def test_comments_blank_lines_and_nan(spark, tmp_path):
     fields[1] = "nan"
     lines[2] = "\t".join(fields)
     open(path, "w").write("\n".join(lines) + "\n")
-    shape, _, readings = run_pipeline(spark, str(tmp_path))
+    shape, _, readings = run_etl_steps(spark, str(tmp_path))
     assert shape["n_cycles"] == 40
     rows = {r.reading_id: r for r in readings.collect()}
     assert rows[3].pressure_bar is None  # NaN sample → NULL metric (V2)
@@ -188,8 +188,8 @@ def test_write_refuses_constraint_violations(spark, tmp_path):
         sink.write_tables(units, dup, str(tmp_path / "db"))
 
 
-def test_pipeline_end_to_end(spark, tmp_path):
-    from fleetpulse.plans.pipeline import run_etl
+def test_etl_job_end_to_end(spark, tmp_path):
+    from fleetpulse.plans.etl_job import run_etl
 
     write_matrices(str(tmp_path / "raw"), 2205, widths=(6, 60))
     counts = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
@@ -229,7 +229,7 @@ def test_reference_workflow_on_written_tables(spark, golden):
 
 
 def test_empty_sensor_file_raises(spark, tmp_path):
-    from fleetpulse.plans.pipeline import run_etl
+    from fleetpulse.plans.etl_job import run_etl
 
     write_matrices(str(tmp_path / "raw"), 30)
     open(os.path.join(tmp_path, "raw", "EPS1.txt"), "w").write("# no data\n\n")
