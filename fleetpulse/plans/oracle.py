@@ -7,6 +7,7 @@ DOUBLE 100.0; integer sums are cast to BIGINT; NULL order is spelled out.
 
 from __future__ import annotations
 
+from fleetpulse import schema
 from fleetpulse.plans.catalog import M1_UNIT, M2_UNIT, M2_URGENT_THRESHOLD
 
 
@@ -24,10 +25,10 @@ def case_label(col: str, labels: dict, otherwise: str | None = None) -> str:
     return f"CASE {whens}{tail} END"
 
 
-GROUP = {100: "Healthy (100%)", 20: "Reduced (20%)", 3: "Failing (3%)"}
-STATUS = {100: "Healthy", 20: "Reduced", 3: "Failing"}
-EFFICIENCY = {100: "Full efficiency", 20: "Reduced efficiency", 3: "Near failure"}
-SHORT = {100: "Full", 20: "Reduced", 3: "Failing"}
+GROUP = schema.LABELS_GROUP
+STATUS = schema.LABELS_STATUS
+EFFICIENCY = schema.LABELS_EFFICIENCY
+SHORT = schema.LABELS_SHORT
 
 GEO = """geo AS (
   SELECT n_nationkey AS nationkey, r_name AS region, n_name AS site
