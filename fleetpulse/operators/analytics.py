@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.aggregates import mean_of, per_unit, unit_mean
-from fleetpulse.operators.joins import attach_units, fits_broadcast, join_small
+from fleetpulse.operators.joins import attach_units, fits_broadcast, join_small, memo_fact
 from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 # (output name, metric column, decimal places) for the fleet overview.
@@ -282,8 +282,9 @@ MAX_LITERAL_IDS = 1000
 def unit_ids_for_code(units: DataFrame, unit_code: str, limit: int = MAX_LITERAL_IDS):
     """The unit_id(s) carrying ``unit_code`` — at most ``limit`` ids (the code is
     declared UNIQUE, so normally one), or None when there are more."""
-    ids = [r[0] for r in units.filter(F.col("unit_code") == F.lit(unit_code))
-           .select("unit_id").limit(limit + 1).collect()]
+    chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
+    ids = memo_fact(chosen, f"ids<={limit}",
+                    lambda: [r[0] for r in chosen.limit(limit + 1).collect()])
     return ids if len(ids) <= limit else None
 
 
