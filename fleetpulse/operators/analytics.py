@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.aggregates import mean_of, per_unit, unit_mean
-from fleetpulse.operators.joins import attach_units, fits_broadcast, join_small, memo_fact
+from fleetpulse.operators.joins import (attach_units, fits_broadcast, join_small, memo_fact,
+                                       narrow_rows, restrict_to_units)
 from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 # (output name, metric column, decimal places) for the fleet overview.
@@ -191,7 +192,7 @@ def scored_readings(readings: DataFrame, units: DataFrame, metric: str = "avg_te
     statistics are broadcast too and the fact is never shuffled.
     """
     ids = units.select("unit_id")
-    small = fits_broadcast(ids)
+    small = fits_broadcast(ids, narrow_rows(ids))
     stats = unit_stats(readings, metric).join(F.broadcast(ids) if small else ids,
                                               "unit_id", "left_semi")
     joined = readings.join(F.broadcast(stats) if small else stats, "unit_id")
@@ -262,7 +263,7 @@ def multi_fault(readings: DataFrame, units: DataFrame, top: int | None = 10) ->
     """
     faulty = readings.filter((F.col("cooler_condition") < 100) & (F.col("valve_condition") < 100)
                              & (F.col("pump_leakage") > 0))
-    faulty = join_small(faulty, units.select("unit_id"), "unit_id", "left_semi")
+    faulty = restrict_to_units(faulty, units)
     order = [F.asc_nulls_first(c) for c in FAULT_COLUMNS]
     if top is not None:
         faulty = faulty.orderBy(*order).limit(top)
@@ -300,7 +301,7 @@ def readings_of_unit(readings: DataFrame, units: DataFrame, unit_code: str) -> D
     ids = unit_ids_for_code(units, unit_code)
     if ids is None:
         chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
-        return join_small(readings, chosen, "unit_id", "left_semi")
+        return join_small(readings, chosen, "unit_id", "left_semi", narrow_rows(chosen))
     return readings.filter(F.col("unit_id").isin(ids) if ids else F.lit(False))
 
 
@@ -320,7 +321,7 @@ def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None
     """
     ordered = (unit_code is not None) if ordered is None else ordered
     base = (readings_of_unit(readings, units, unit_code) if unit_code is not None
-            else join_small(readings, units.select("unit_id"), "unit_id", "left_semi"))
+            else restrict_to_units(readings, units))
     base = base.select("unit_id", "reading_id", "timestamp", metric, "cooler_condition")
     if top is not None:
         head = base.orderBy("timestamp", "reading_id").limit(top)

@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 from fleetpulse.session import BROADCAST_ROWS_KEY, conf_int
 
 DEFAULT_BROADCAST_ROWS = 200_000
+NARROW_ROWS_KEY = "fleetpulse.broadcast.maxNarrowRows"
+DEFAULT_NARROW_ROWS = 2_000_000
 UNIT_ATTRIBUTES = ("unit_code", "model", "region", "site")
 
 
 def broadcast_rows(df: DataFrame) -> int:
+    """Row bound for broadcasting rows with several attribute columns (~50 MB)."""
     return conf_int(df.sparkSession, BROADCAST_ROWS_KEY, DEFAULT_BROADCAST_ROWS)
 
 
+def narrow_rows(df: DataFrame) -> int:
+    """Row bound for key-only or few-number sides (ids, per-unit statistics; ~50 MB)."""
+    return conf_int(df.sparkSession, NARROW_ROWS_KEY, DEFAULT_NARROW_ROWS)
+
+
 _FITS: dict = {}
 
 
@@ -71,7 +79,8 @@ def join_bounded(left: DataFrame, right: DataFrame, on, how: str, right_rows: in
 
 def restrict_to_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows whose ``unit_id`` exists in ``units`` (what an inner join keeps)."""
-    return join_small(df, units.select("unit_id"), "unit_id", "left_semi")
+    ids = units.select("unit_id")
+    return join_small(df, ids, "unit_id", "left_semi", narrow_rows(ids))
 
 
 def attach_units(df: DataFrame, units: DataFrame,

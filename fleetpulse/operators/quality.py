@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import join_small
+from fleetpulse.operators.joins import join_small, narrow_rows
 
 UNITS_NOT_NULL = ["unit_id", "unit_code", "model", "region", "site", "install_date"]
 READINGS_NOT_NULL = ["reading_id", "unit_id", "timestamp"]
@@ -51,8 +51,9 @@ def _per_unit_checks(readings: DataFrame, units: DataFrame) -> list[DataFrame]:
     pairs = F.array(*[F.struct(F.lit(f"readings.{c} not null").alias("check"),
                                F.coalesce(F.col(c), F.lit(0)).cast("long").alias("violations"))
                       for c in READINGS_NOT_NULL])
-    missing = join_small(per_unit.filter(F.col("unit_id").isNotNull()),
-                         units.select("unit_id"), "unit_id", "left_anti")
+    ids = units.select("unit_id")
+    missing = join_small(per_unit.filter(F.col("unit_id").isNotNull()), ids, "unit_id",
+                         "left_anti", narrow_rows(ids))
     orphans = missing.agg(F.lit("readings.unit_id references units").alias("check"),
                           F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
     return [totals.select(F.inline(pairs)), orphans]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import broadcast_rows, memo_fact
+from fleetpulse.operators.joins import memo_fact, narrow_rows
 from fleetpulse.operators.ordinal import global_ordinal
 from fleetpulse.session import CHUNK_ROWS_KEY, conf_int, shuffle_partitions
 
@@ -62,7 +62,7 @@ def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
     if n_hot == 0:
         return df.withColumn(out, F.avg(value_col).over(plain))
     tasks = range_tasks(df, hot_rows)
-    if n_hot > broadcast_rows(df):  # more hot keys than can be broadcast: all rows chunked
+    if n_hot > narrow_rows(df):  # more hot keys than can be broadcast: all rows chunked
         return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size,
                                     tasks)
     hot = F.broadcast(hot.select(partition_col))
