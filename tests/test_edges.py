@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleet_fixtures import frames, reading, unit
-from fleetpulse import schema
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators import marts as D
 from fleetpulse.operators import quality as Q
