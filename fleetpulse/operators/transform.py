@@ -96,10 +96,10 @@ def assign_blocks(df: DataFrame, n_cycles: int, n_units: int = schema.NUM_UNITS,
             F.lit(None).cast("long").alias("reading_id"))
     cyc = F.col(id_col)
     idx = F.floor(cyc / F.lit(per_unit)).cast("long")
-    return (df.filter((cyc >= 0) & (cyc < F.lit(per_unit * n_units)))
-            .withColumn("unit_id", idx + F.lit(1))
-            .withColumn("offset", F.pmod(cyc, F.lit(per_unit)).cast("long"))
-            .withColumn("reading_id", idx * F.lit(per_unit) + F.pmod(cyc, F.lit(per_unit)) + F.lit(1)))
+    offset = F.pmod(cyc, F.lit(per_unit)).cast("long")
+    return df.filter((cyc >= 0) & (cyc < F.lit(per_unit * n_units))).select(
+        "*", (idx + F.lit(1)).alias("unit_id"), offset.alias("offset"),
+        (idx * F.lit(per_unit) + offset + F.lit(1)).alias("reading_id"))
 
 
 def add_clock(df: DataFrame, start: str = schema.START_TIMESTAMP,

@@ -73,9 +73,9 @@ def unit_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def etl_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``readings`` table the pipeline produces from the matrix."""
-    _, readings = T.transform(S.embedding_sensors(spark, sf_dir),
-                              S.embedding_labels(spark, sf_dir), _n_cycles(spark, sf_dir))
-    return readings
+    wide = T.assemble_cycles(T.cycle_means(S.embedding_sensors(spark, sf_dir)),
+                             S.embedding_labels(spark, sf_dir))
+    return T.to_readings(wide, _n_cycles(spark, sf_dir))
 
 
 def dq_constraints_events(spark: SparkSession, sf_dir: str) -> DataFrame:
