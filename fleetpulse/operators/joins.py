@@ -77,6 +77,12 @@ def join_bounded(left: DataFrame, right: DataFrame, on, how: str, right_rows: in
     return left.join(side, on, how)
 
 
+def units_broadcastable(units: DataFrame) -> bool:
+    """Whether the unit ids pass the (narrow) broadcast check."""
+    ids = units.select("unit_id")
+    return fits_broadcast(ids, narrow_rows(ids))
+
+
 def restrict_to_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows whose ``unit_id`` exists in ``units`` (what an inner join keeps)."""
     ids = units.select("unit_id")

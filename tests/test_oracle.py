@@ -42,3 +42,22 @@ def test_expected_stand_in_figures(spark):
     assert tuple(k) == (51, 15, 9)
     assert q["urgent_units"](spark, SF_SMALL).first()[0] == 8
     assert q["unit_raw_readings"](spark, SF_SMALL).count() == 60
+
+
+NO_BROADCAST = ["fleet_overview_by_region", "zscore_anomalies_all", "multi_fault_readings_topk",
+                "kpi_fleet", "condition_value_counts", "hourly_pattern_halfeven",
+                "maintenance_ranking", "dq_constraints", "moving_average_all_units"]
+
+
+@pytest.mark.parametrize("name", NO_BROADCAST)
+def test_matches_oracle_beyond_broadcast_bounds(spark, con, name):
+    """The shuffle-join / per-unit paths taken when no side passes the size check."""
+    keys = ["fleetpulse.broadcast.maxRows", "fleetpulse.broadcast.maxNarrowRows"]
+    for key in keys:
+        spark.conf.set(key, "1")
+    try:
+        res = co.compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con)
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert res["status"] == "ok", res
