@@ -1,8 +1,9 @@
 """ETL queries (E1–E7) on the driver's tables and their DuckDB SQL.
 
 M3 reads ``embeddings`` as a cycle matrix: ``vec_id`` is the cycle, the 64
-samples are cut into ten 6-sample slices that stand for the ten sensors, and
-the label fills the five profile columns.  E5 builds the unit dimension for
+samples are cut into ten slices of different widths (5–8, covering the whole
+row) that stand for the ten sensors, and the label fills the five profile
+columns.  E5 builds the unit dimension for
 one unit per supplier; E7 runs the constraint job on both stand-in fleets.
 """
 
@@ -109,8 +110,8 @@ def _R(expr: str, k: int) -> str:
 
 
 def _slice(i: int) -> str:
-    lo = i * S.M3_SLICE + 1
-    return f"list_avg(list_slice(s, {lo}, {lo + S.M3_SLICE - 1}))"
+    lo = S.M3_STARTS[i] + 1
+    return f"list_avg(list_slice(s, {lo}, {lo + S.M3_WIDTHS[i] - 1}))"
 
 
 MATRIX = ("m AS (SELECT vec_id AS cycle_id, CAST(embedding AS DOUBLE[]) AS s, "

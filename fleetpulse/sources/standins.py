@@ -149,7 +149,10 @@ def lineitem_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M3
-M3_SLICE = 6  # samples per pseudo-sensor when the 64-wide rows are cut into 10
+# Widths of the ten pseudo-sensors cut from each 64-sample row: different per
+# sensor (nothing may depend on one width) and covering every sample.
+M3_WIDTHS = [5, 6, 7, 8, 6, 7, 5, 6, 7, 7]
+M3_STARTS = [sum(M3_WIDTHS[:i]) for i in range(len(M3_WIDTHS))]
 
 
 @reused("embeddings")
@@ -164,12 +167,12 @@ def embedding_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long form (cycle_id, sensor, samples): ten consecutive 6-sample slices."""
+    """Long form (cycle_id, sensor, samples): ten consecutive slices covering the row."""
     m = embedding_matrix(spark, sf_dir)
     slices = F.array(*[
         F.struct(F.lit(name).alias("sensor"),
-                 F.slice("samples", i * M3_SLICE + 1, M3_SLICE).alias("samples"))
-        for i, name in enumerate(schema.SENSOR_NAMES)
+                 F.slice("samples", start + 1, width).alias("samples"))
+        for name, start, width in zip(schema.SENSOR_NAMES, M3_STARTS, M3_WIDTHS)
     ])
     return m.select("cycle_id", F.inline(slices))
 
