@@ -22,26 +22,6 @@ def cycle_means(long_df: DataFrame) -> DataFrame:
     return long_df.select("cycle_id", "sensor", C.row_mean("samples").alias("mean"))
 
 
-def stage_cycles(long_df: DataFrame, labels: DataFrame) -> DataFrame:
-    """Narrow staging table of the raw matrices, written once to the checkpoint dir.
-
-    (cycle_id, sensor, width, mean, labels): one small row per cycle and
-    matrix.  Validation (widths, counts) and assembly both read this table,
-    so the raw text is scanned once (plus the split count for positions)
-    instead of once per job, and a lost executor recomputes from here.
-    """
-    from fleetpulse.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(long_df.sparkSession)
-    sensors = long_df.select("cycle_id", "sensor", F.size("samples").alias("width"),
-                             C.row_mean("samples").alias("mean"),
-                             F.lit(None).cast("array<int>").alias("labels"))
-    profile = labels.select("cycle_id", F.lit("profile").alias("sensor"),
-                            F.size("labels").alias("width"),
-                            F.lit(None).cast("double").alias("mean"), "labels")
-    return sensors.unionByName(profile).checkpoint(eager=True)
-
-
 def assemble_cycles(means: DataFrame, labels: DataFrame | None,
                     sensors: Sequence[str] = schema.SENSOR_NAMES) -> DataFrame:
     """T4: one wide row per cycle – a column per sensor mean plus the label columns.

@@ -16,13 +16,11 @@ def run_etl(spark: SparkSession, raw_dir: str, out_root: str,
             n_units: int = schema.NUM_UNITS) -> dict:
     """Extract, transform, check and load; returns counts read back from the tables.
 
-    Jobs: staging of the narrow per-cycle means (the only scan of the raw
+    Jobs: staging of the narrow per-cycle means (the only read of the raw
     text), one validation job on the staged table (row counts and widths per
     matrix), the constraint job, the write, and post-load counts from footers.
     """
-    long = M.read_sensor_set(spark, raw_dir)
-    labels = M.read_label_matrix(spark, raw_dir)
-    staged = T.stage_cycles(long, labels)
+    staged = M.stage_sensor_set(spark, raw_dir)
     shape = M.matrix_shape(staged, expected=schema.SENSOR_NAMES + ["profile"])
     units = T.fleet_units(spark, n_units)
     readings = T.to_readings(T.assemble_cycles(staged, None), shape["n_cycles"], n_units)

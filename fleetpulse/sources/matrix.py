@@ -49,31 +49,51 @@ def require_inputs(spark: SparkSession, raw_dir: str, files) -> list[str]:
 
 
 def _kept_lines(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.text(path)
-    body = F.regexp_replace("value", r"#.*$|\r$", "")
-    blank = F.regexp_replace(F.col("line"), r"\s", "") == ""
-    return text.select(body.alias("line")).filter(~blank)
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(cycle_id, line): kept lines of a text matrix with 0-based positions."""
-    kept = _kept_lines(spark, path).select(
+    """Lines without comments; blank ones dropped.  Rows can be tens of kB:
+    the comment regex only runs on lines that contain '#', and the blank test
+    stops at the first non-space character.  (The line reader already drops
+    '\n', '\r\n' and '\r' endings.)"""
+    value = F.col("value")
+    body = F.when(value.contains("#"), F.regexp_replace(value, "#.*$", "")).otherwise(value)
+    return spark.read.text(path).select(body.alias("line")).filter(F.col("line").rlike(r"\S"))
+
+
+def _tagged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Kept lines tagged with their file split and a split-local running id."""
+    return _kept_lines(spark, path).select(
         F.input_file_name().alias("_file"),
         F.input_file_block_start().alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"),
         "line",
     ).withColumn("_fkey", F.xxhash64("_file"))
-    splits = kept.groupBy("_file", "_fkey", "_blk").agg(
+
+
+def place(tagged: DataFrame, group_cols=()) -> DataFrame:
+    """Turn split tags into 0-based positions (``cycle_id``) per ``group_cols``.
+
+    One row per (group, file split) holds the split's first id and line count;
+    a prefix sum in (file, split start) order gives each split's first
+    position.  The path is replaced by its 64-bit hash before the join, so a
+    split costs 32 bytes; the join is broadcast after the size check.
+    """
+    group_cols = list(group_cols)
+    keys = [*group_cols, "_fkey", "_blk"]
+    splits = tagged.groupBy(*group_cols, "_file", "_fkey", "_blk").agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    # One row per file split: the prefix sum runs in one task on purpose.
-    before = Window.orderBy("_file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select("_fkey", "_blk", "_first",
+    # One row per file split: the prefix sum is small on purpose.
+    before = (Window.partitionBy(*group_cols).orderBy("_file", "_blk")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    starts = splits.select(*keys, "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    # 32 bytes per split (the path is replaced by its 64-bit hash); broadcast
-    # after the size check, else a join on the split key.
-    located = join_small(kept.drop("_file"), starts, ["_fkey", "_blk"])
-    cycle = F.col("_base") + F.col("_mid") - F.col("_first")
-    return located.select(cycle.cast("long").alias("cycle_id"), "line")
+    located = join_small(tagged.drop("_file"), starts, keys)
+    cycle = (F.col("_base") + F.col("_mid") - F.col("_first")).cast("long").alias("cycle_id")
+    rest = [c for c in tagged.columns if c not in ("_file", "_fkey", "_blk", "_mid")]
+    return located.select(cycle, *rest)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(cycle_id, line): kept lines of a text matrix with 0-based positions."""
+    return place(_tagged_lines(spark, path))
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -98,6 +118,38 @@ def read_sensor_set(spark: SparkSession, raw_dir: str,
     return reduce(DataFrame.unionByName, frames).select("cycle_id", "sensor", "samples")
 
 
+def stage_sensor_set(spark: SparkSession, raw_dir: str,
+                     sensors=schema.SENSOR_FILES) -> DataFrame:
+    """All matrices reduced in one pass over the raw text and staged.
+
+    Each kept line becomes one narrow row — (sensor, split tags, width, row
+    mean) or, for the label matrix, (width, labels) — written once to the
+    checkpoint directory; positions are then computed from that small table,
+    so the raw text is read exactly once.  Returns (cycle_id, sensor, width,
+    mean, labels).
+    """
+    from fleetpulse.functions.columns import row_mean
+    from fleetpulse.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    files = [f for f, _ in sensors] + [schema.LABEL_FILE]
+    paths = require_inputs(spark, raw_dir, files)
+    tags = ["_file", "_fkey", "_blk", "_mid"]
+    frames = []
+    for path, (_, name) in zip(paths, sensors):
+        samples = F.split(F.col("line"), "\t").cast("array<double>")
+        frames.append(_tagged_lines(spark, path).select(
+            F.lit(name).alias("sensor"), *tags, F.size(samples).alias("width"),
+            row_mean(samples).alias("mean"), F.lit(None).cast("array<int>").alias("labels")))
+    values = F.split(F.col("line"), "\t").cast("array<double>")
+    frames.append(_tagged_lines(spark, paths[-1]).select(
+        F.lit("profile").alias("sensor"), *tags, F.size(values).alias("width"),
+        F.lit(None).cast("double").alias("mean"),
+        F.transform(values, lambda x: x.cast("int")).alias("labels")))
+    narrow = reduce(DataFrame.unionByName, frames).checkpoint(eager=True)
+    return place(narrow, ["sensor"]).select("cycle_id", "sensor", "width", "mean", "labels")
+
+
 def read_label_matrix(spark: SparkSession, raw_dir: str) -> DataFrame:
     paths = require_inputs(spark, raw_dir, [schema.LABEL_FILE])
     return read_labels(spark, paths[0])
