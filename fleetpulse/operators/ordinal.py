@@ -4,9 +4,9 @@
 columns.  It range-partitions on those columns (Spark samples the keys, so a
 key holding a third of all rows is spread over many partitions), sorts inside
 each partition, tags rows with ``monotonically_increasing_id`` (partition index
-in the upper bits, position in the lower 33), checkpoints that narrow result
-to the reliable checkpoint directory so both uses below see the same ids and
-lineage is cut, and adds each partition's starting offset from a prefix sum
+in the upper bits, position in the lower 33), writes that narrow result once
+as Parquet under the checkpoint directory so both uses below see the same ids
+and lineage is cut, and adds each partition's starting offset from a prefix sum
 over the per-partition counts (one row per partition).
 
 Rows that tie on every order column are interchangeable for both uses below;
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.session import ensure_checkpoint_dir, shuffle_partitions
+from fleetpulse.session import materialize, shuffle_partitions
 
 _POS_BITS = 33
 
@@ -31,18 +31,16 @@ def global_ordinal(df: DataFrame, order_cols, name: str = "_ord",
                    num_partitions: int | None = None) -> DataFrame:
     """``df`` plus a dense 0-based position ``name`` following ``order_cols``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
     # A per-row tie-breaker makes the order total, so even one value repeated
     # across a third of all rows can be split between range partitions.
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols] + [F.col("_tie")]
-    staged = (
+    staged = materialize(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "ordinal")
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     counts = staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))

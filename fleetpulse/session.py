@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once as Parquet under the checkpoint directory and read it back.
+
+    Cuts lineage like ``checkpoint()`` (a lost executor recomputes from the
+    files, not from the sources) but runs the plan exactly once, where an
+    eager RDD checkpoint computes it a second time to write it.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/fleetpulse-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value not in (None, "") else default

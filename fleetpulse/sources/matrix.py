@@ -123,15 +123,14 @@ def stage_sensor_set(spark: SparkSession, raw_dir: str,
     """All matrices reduced in one pass over the raw text and staged.
 
     Each kept line becomes one narrow row — (sensor, split tags, width, row
-    mean) or, for the label matrix, (width, labels) — written once to the
-    checkpoint directory; positions are then computed from that small table,
-    so the raw text is read exactly once.  Returns (cycle_id, sensor, width,
+    mean) or, for the label matrix, (width, labels) — written once as Parquet
+    under the checkpoint directory; positions are then computed from that
+    small table, so the raw text is read exactly once.  Returns (cycle_id, sensor, width,
     mean, labels).
     """
     from fleetpulse.functions.columns import row_mean
-    from fleetpulse.session import ensure_checkpoint_dir
+    from fleetpulse.session import materialize
 
-    ensure_checkpoint_dir(spark)
     files = [f for f, _ in sensors] + [schema.LABEL_FILE]
     paths = require_inputs(spark, raw_dir, files)
     tags = ["_file", "_fkey", "_blk", "_mid"]
@@ -146,7 +145,7 @@ def stage_sensor_set(spark: SparkSession, raw_dir: str,
         F.lit("profile").alias("sensor"), *tags, F.size(values).alias("width"),
         F.lit(None).cast("double").alias("mean"),
         F.transform(values, lambda x: x.cast("int")).alias("labels")))
-    narrow = reduce(DataFrame.unionByName, frames).checkpoint(eager=True)
+    narrow = materialize(reduce(DataFrame.unionByName, frames), "raw-stage")
     return place(narrow, ["sensor"]).select("cycle_id", "sensor", "width", "mean", "labels")
 
 
