@@ -250,3 +250,20 @@ def test_empty_sensor_file_raises(spark, tmp_path):
     open(os.path.join(tmp_path, "raw", "EPS1.txt"), "w").write("# no data\n\n")
     with pytest.raises(M.MatrixError, match="no rows in: eps1"):
         run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
+
+
+def test_missing_store_is_refused(spark, tmp_path):
+    from fleetpulse.sources.tables import table_exists
+
+    assert not table_exists(spark, str(tmp_path / "nothing"))
+    with pytest.raises(FileNotFoundError, match="run the ETL first"):
+        sink.read_tables(spark, str(tmp_path / "nothing"))
+
+
+def test_stages_land_under_the_checkpoint_dir(spark):
+    from fleetpulse.session import ensure_checkpoint_dir, materialize
+
+    base = ensure_checkpoint_dir(spark)
+    staged = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "test")
+    assert all(f.startswith(base.rstrip("/")) for f in staged.inputFiles())
+    assert sorted(r.x for r in staged.collect()) == [0, 2, 4, 6, 8]
