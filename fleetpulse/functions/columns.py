@@ -40,9 +40,15 @@ def nan_to_null(c) -> Column:
 
 
 def row_mean(samples) -> Column:
-    """Mean of an ``array<double>`` row; NaN samples make the mean NULL."""
+    """Mean of a numeric or numeric-text array row; NaN samples make the mean NULL.
+
+    Text elements are cast inside the sum, so a raw line split into fields is
+    averaged without building an intermediate ``array<double>`` (the cast is
+    a no-op for numeric arrays).
+    """
     samples = _col(samples)
-    total = F.aggregate(samples, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    total = F.aggregate(samples, F.lit(0.0).cast("double"),
+                        lambda acc, x: acc + x.cast("double"))
     return nan_to_null(F.try_divide(total, F.size(samples).cast("double")))
 
 

@@ -136,10 +136,10 @@ def stage_sensor_set(spark: SparkSession, raw_dir: str,
     tags = ["_file", "_fkey", "_blk", "_mid"]
     frames = []
     for path, (_, name) in zip(paths, sensors):
-        samples = F.split(F.col("line"), "\t").cast("array<double>")
+        fields = F.split(F.col("line"), "\t")  # averaged as text: no double array built
         frames.append(_tagged_lines(spark, path).select(
-            F.lit(name).alias("sensor"), *tags, F.size(samples).alias("width"),
-            row_mean(samples).alias("mean"), F.lit(None).cast("array<int>").alias("labels")))
+            F.lit(name).alias("sensor"), *tags, F.size(fields).alias("width"),
+            row_mean(fields).alias("mean"), F.lit(None).cast("array<int>").alias("labels")))
     values = F.split(F.col("line"), "\t").cast("array<double>")
     frames.append(_tagged_lines(spark, paths[-1]).select(
         F.lit("profile").alias("sensor"), *tags, F.size(values).alias("width"),
