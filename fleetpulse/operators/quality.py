@@ -23,10 +23,17 @@ class ConstraintViolation(RuntimeError):
     """Raised by ``assert_constraints`` when any check finds violations."""
 
 
-def _null_counts(df: DataFrame, table: str, cols) -> DataFrame:
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(f"{table}.{c} not null").alias("check"),
-                               F.col(c).cast("long").alias("violations")) for c in cols])
+def _unit_checks(units: DataFrame) -> DataFrame:
+    """All unit-table checks in one aggregate: NOT NULLs, and PK / UNIQUE as
+    surplus rows = count(key) − count(distinct key) (NULL keys excluded)."""
+    counts = units.agg(
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in UNITS_NOT_NULL],
+        (F.count("unit_id") - F.count_distinct("unit_id")).alias("_pk"),
+        (F.count("unit_code") - F.count_distinct("unit_code")).alias("_code"))
+    checks = [(f"units.{c} not null", c) for c in UNITS_NOT_NULL]
+    checks += [("units.unit_id primary key", "_pk"), ("units.unit_code unique", "_code")]
+    pairs = F.array(*[F.struct(F.lit(label).alias("check"),
+                               F.col(col).cast("long").alias("violations")) for label, col in checks])
     return counts.select(F.inline(pairs))
 
 
@@ -62,14 +69,12 @@ def _per_unit_checks(readings: DataFrame, units: DataFrame) -> list[DataFrame]:
 def check_constraints(units: DataFrame, readings: DataFrame) -> DataFrame:
     """(check STRING, violations BIGINT), one row per declared constraint.
 
-    Two passes over the fact: the per-unit aggregate (NOT NULLs, foreign key)
-    and the key count (primary key).
+    One pass over the unit table; two over the fact: the per-unit aggregate
+    (NOT NULLs, foreign key) and the key count (primary key).
     """
     nulls, orphans = _per_unit_checks(readings, units)
     parts = [
-        _null_counts(units, "units", UNITS_NOT_NULL),
-        _surplus(units, "unit_id", "units.unit_id primary key"),
-        _surplus(units, "unit_code", "units.unit_code unique"),
+        _unit_checks(units),
         nulls,
         _surplus(readings, "reading_id", "readings.reading_id primary key"),
         orphans,
