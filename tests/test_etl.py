@@ -270,3 +270,23 @@ def test_stages_land_under_the_checkpoint_dir(spark):
     staged = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "test")
     assert staged.inputFiles() and all(local(f).startswith(base) for f in staged.inputFiles())
     assert sorted(r.x for r in staged.collect()) == [0, 2, 4, 6, 8]
+
+
+def test_sql_texts_on_written_tables(spark, golden):
+    """The ten SQL texts over views of the ETL output, with the original unit code."""
+    from fleetpulse.plans.runner import register_views
+    from fleetpulse.plans.sql_text import SQL
+
+    _, _, units, readings = golden
+    register_views(spark, readings, units)
+    results = {name: spark.sql(text.replace("{unit}", "CLR-0001")).collect()
+               for name, text in SQL.items()}
+    regions = {r.region: (r.units, r.readings) for r in results["sql_fleet_overview"]}
+    assert regions["Auckland"] == (6, 660) and regions["Dunedin"] == (2, 220)
+    assert sum(r.reading_count for r in results["sql_condition_breakdown"]) == 2200
+    assert len(results["sql_worst_units"]) == 10
+    assert [r.hour for r in results["sql_hourly_pattern"]] == list(range(24))
+    assert [r.readings for r in results["sql_hourly_pattern"]][:4] == [160, 160, 160, 120]
+    mv = results["sql_moving_average"]
+    assert len(mv) == 20 and {r.unit_code for r in mv} == {"CLR-0001"}
+    assert len(results["sql_site_summary"]) == 10
