@@ -54,10 +54,11 @@ def zero_sum(width: int, i: int) -> list[float]:
 
 
 def write_matrices(root: str, n_cycles: int, widths=(6, 12, 24), labels=None,
-                   extra_lines: dict | None = None) -> dict:
+                   extra_lines: dict | None = None, shift=None) -> dict:
     """Sensor s, row i holds SENSOR_BASE[s] + i plus a zero-sum pattern.
 
-    Returns {sensor: [row means]}.  ``labels(i)`` gives the 5 profile values.
+    Returns {sensor: [row means]}.  ``labels(i)`` gives the 5 profile values;
+    ``shift(name, i)`` adds a constant to every sample of that row.
     """
     os.makedirs(root, exist_ok=True)
     means = {}
@@ -65,7 +66,7 @@ def write_matrices(root: str, n_cycles: int, widths=(6, 12, 24), labels=None,
         width = widths[k % len(widths)]
         lines, means[name] = [], []
         for i in range(n_cycles):
-            base = SENSOR_BASE[name] + i
+            base = SENSOR_BASE[name] + i + (shift(name, i) if shift else 0.0)
             vals = [base + p for p in zero_sum(width, i)]
             lines.append("\t".join(repr(v) for v in vals))
             means[name].append(sum(vals) / width)

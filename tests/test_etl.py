@@ -290,3 +290,28 @@ def test_sql_texts_on_written_tables(spark, golden):
     mv = results["sql_moving_average"]
     assert len(mv) == 20 and {r.unit_code for r in mv} == {"CLR-0001"}
     assert len(results["sql_site_summary"]) == 10
+
+
+def test_failing_units_run_hotter_end_to_end(spark, tmp_path):
+    """Failing cycles 18 °C hotter in the raw matrices show up in the A4 report."""
+    from fleetpulse.operators import analytics as A
+    from fleetpulse.plans.etl_job import run_etl
+
+    def cooler(i):
+        return [100, 20, 3][i % 3]
+
+    def hotter(name, i):
+        return 18.0 if name in schema.TEMPERATURE_SENSORS and cooler(i) == 3 else 0.0
+
+    means = write_matrices(str(tmp_path / "raw"), 600, labels=lambda i: [cooler(i), 100, 0, 130, 0],
+                           shift=hotter)
+    run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
+    units, readings = sink.read_tables(spark, str(tmp_path / "db"))
+    stats = {r.condition_group: r.mean_temp for r in A.condition_temperature_stats(readings).collect()}
+    want = {}
+    for level, label in schema.LABELS_GROUP.items():
+        temps = [round(sum(means[s][i] for s in schema.TEMPERATURE_SENSORS) / 4, 2)
+                 for i in range(600) if cooler(i) == level]
+        want[label] = round(sum(temps) / len(temps), 2)
+    assert stats == pytest.approx(want, abs=0.011)
+    assert stats["Failing (3%)"] - stats["Healthy (100%)"] == pytest.approx(20.0, abs=0.02)
