@@ -5,8 +5,13 @@ without a global sort and without Python row objects: each kept line is tagged
 with its file, the start offset of the file split that holds it and
 ``monotonically_increasing_id`` (consecutive inside a split); a small per-split
 table (first id, line count) gives each split's starting cycle by a prefix sum
-in (file, split start) order.  Both passes read the same splits in the same
-order, so the ids agree, also when a task is re-run after an executor loss.
+in (file, split start) order.
+
+The lazy readers (``read_lines``, ``read_matrix``) scan a file twice — split
+counts, then rows — and both scans see the same splits in the same order, so
+the ids agree, also when a task is re-run.  The ETL's ``stage_sensor_set``
+reads the text once: lines are reduced to narrow rows with their tags, written
+as Parquet under the checkpoint directory, and positioned from that stage.
 
 Text rules kept from the reference's loader: blank lines and ``#`` comments
 are skipped, ``nan`` parses as NaN, an empty field or an unparsable number
