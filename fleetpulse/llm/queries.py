@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import packing, simhash, token_files
+from . import decontamination, licenses, line_quality, packing, simhash, sql, token_files
 from .common import table
 
 
@@ -26,11 +26,25 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ruled = line_quality.line_rules(table(spark, sf_dir, "documents"))
+    return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, with_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -38,8 +52,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_ids": op5_token_ids,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_license_scan": op8_license_scan,
+    "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(sql.SQL)
