@@ -45,7 +45,8 @@ def _with_seeds(df: DataFrame) -> DataFrame:
 
     every = F.concat(*[seeds(k, mask) for k, mask in enumerate(MASKS)])
     other = [c for c in df.columns if c != "pairs"]
-    rows = df.select(*other, F.posexplode(every).alias("n", "seed"))
+    # The outer form: posexplode would add a filter on the array and so compute it twice.
+    rows = df.select(*other, F.posexplode_outer(every).alias("n", "seed")).where(F.col("n").isNotNull())
     return rows.select(*[c for c in other if c != "starts"], "seed", (F.col("n") % F.col("starts")).alias("at"),
                        F.floor(F.col("n") / F.col("starts")).cast("int").alias("mask"))
 

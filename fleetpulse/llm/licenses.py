@@ -17,12 +17,15 @@ shuffled; only verified pairs are grouped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import alnum_words, text_or_empty
 
 SHINGLE_WORDS, BANDS = 5, 24
+#: Licenses found within so many tokens of each other are one notice: the best match stays.
+SAME_PLACE = 8
 #: Bound on all templates' shingles together: they become literals of the plan.
 MAX_TEMPLATE_SHINGLES = 50_000
 
@@ -112,10 +115,12 @@ def _shingled(df: DataFrame) -> DataFrame:
         F.slice("hashes", F.lit(1), n), lambda h, i: F.xxhash64(h, *[f(i) for f in following])))
 
 
-def _bands(shingles):
+def _bands(shingles: Column) -> Column:
     """A value per band: the band's number and the smallest of the set's hashes under that band's order."""
-    return F.array(*[F.xxhash64(F.lit(k), F.array_min(F.transform(shingles, lambda h, k=k: F.xxhash64(h, F.lit(k)))))
-                     for k in range(BANDS)])
+    def band(k: int) -> Column:
+        return F.xxhash64(F.lit(k), F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(k)))))
+
+    return F.array(*[band(k) for k in range(BANDS)])
 
 
 def license_matches(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, id_col: str = "doc_id",
@@ -124,7 +129,8 @@ def license_matches(docs: DataFrame, templates: dict[str, tuple[str, ...]] | Non
 
     ``containment`` is the largest share of one of the license's templates'
     five-word shingles in a window, ``first_token`` the start of the first
-    window that holds enough.  Tokens are lower-cased runs of letters and
+    window that holds enough; of licenses found at one place only the best
+    match stays.  Tokens are lower-cased runs of letters and
     digits.  Null and short texts (under five tokens) match nothing; repeated
     rows of an id and null ids are one document each; an empty table gives no
     rows; other columns are ignored.  A template under five words is refused.
@@ -145,7 +151,7 @@ def license_matches(docs: DataFrame, templates: dict[str, tuple[str, ...]] | Non
                          F.transform(alnum_words(text_or_empty(text_col)), lambda w: F.xxhash64(w)).alias("hashes"))
     found = _shingled(source).select("id", "shingles")
     hits = F.array_compact(F.transform("shingles", lambda h, i: F.when(h.isin(every), i)))
-    found = found.withColumn("hits", hits).where(F.size("hits") > 0)
+    found = found.withColumn("hits", hits)
 
     def windows(size: int, own: set[int]):
         """Numbers of the class's windows that hold one of its shingles."""
@@ -158,17 +164,22 @@ def license_matches(docs: DataFrame, templates: dict[str, tuple[str, ...]] | Non
             F.lit(size).alias("size"), (j * step).alias("begin"), F.lit(length).alias("length")))
 
     spots = F.concat(*[windows(size, own) for size, own in sorted(by_class.items())])
-    held = found.select("id", "shingles", F.explode(spots).alias("w")).select(
+    # explode_outer: explode would add a filter on the array and so compute it twice.
+    held = found.select("id", "shingles", F.explode_outer(spots).alias("w")).where(F.col("w").isNotNull()).select(
         "id", F.col("w.size").alias("size"), F.col("w.begin").alias("begin"),
         F.array_distinct(F.slice("shingles", F.col("w.begin") + 1, F.col("w.length"))).alias("window"))
-    banded = held.select("*", F.explode(_bands(F.col("window"))).alias("band"))
+    banded = held.select("*", F.explode_outer(_bands(F.col("window"))).alias("band"))
 
     sizes = spark.createDataFrame([(r["template"], class_of(len(r["shingles"]))) for r in known],
                                   "template string, size int")
     templates_banded = table.join(F.broadcast(sizes), "template").select(
-        "license", "template", "size", F.col("shingles").alias("wanted"), F.explode(_bands(F.col("shingles"))).alias("band"))
+        "license", "template", "size", F.col("shingles").alias("wanted"), F.explode_outer(_bands(F.col("shingles"))).alias("band"))
     pairs = banded.join(F.broadcast(templates_banded), ["size", "band"])  # bounded by MAX_TEMPLATE_SHINGLES
     share = F.size(F.array_intersect("wanted", "window")) / F.size("wanted")
     verified = pairs.select("id", "license", "begin", share.alias("share")).where(F.col("share") >= min_containment)
-    return verified.groupBy("id", "license").agg(
-        F.max("share").alias("containment"), F.min("begin").cast("long").alias("first_token")).withColumnRenamed("id", id_col)
+    best = verified.groupBy("id", "license").agg(
+        F.max("share").alias("containment"), F.min("begin").cast("long").alias("first_token"))
+    # A document has a row per license at most here; versions of one notice match the same place.
+    near = Window.partitionBy("id").orderBy("first_token").rangeBetween(-SAME_PLACE, SAME_PLACE)
+    best = best.withColumn("rival", F.max("containment").over(near)).where(F.col("containment") == F.col("rival"))
+    return best.drop("rival").withColumnRenamed("id", id_col)

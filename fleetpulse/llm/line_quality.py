@@ -75,7 +75,8 @@ def _lines(text: Column, host: Column) -> Column:
 def frequent_lines(docs: DataFrame, host: Column, text_col: str = "text", max_docs: int = 20) -> DataFrame:
     """(key): hashes of a host and a line that more than ``max_docs`` rows hold."""
     keys = F.transform(_lines(text_or_empty(text_col), host), lambda x: x["key"])
-    each = docs.select(F.explode(F.array_distinct(F.array_compact(keys))).alias("key"))
+    # explode_outer: explode would add a filter on the array and so compute it twice.
+    each = docs.select(F.explode_outer(F.array_distinct(keys)).alias("key")).where(F.col("key").isNotNull())
     return each.groupBy("key").count().where(F.col("count") > max_docs).select("key")
 
 
@@ -98,7 +99,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         frequent = F.broadcast(frequent)
     base = with_base(source).withColumn("row", F.monotonically_increasing_id())
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    lines = base.select("row", "id", *measures, F.posexplode(_lines(F.col("text"), F.col("host"))).alias("at", "part"))
+    lines = base.select("row", "id", *measures, F.posexplode_outer(_lines(F.col("text"), F.col("host"))).alias("at", "part"))
     lines = lines.select("row", "id", *measures, "at", "part.*")
     gone = F.col("hot").isNotNull()
     joined = lines.join(frequent.withColumnRenamed("key", "hot"), F.col("key") == F.col("hot"), "left")

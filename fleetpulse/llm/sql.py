@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import NOTICES, class_of, window_of
+from .licenses import NOTICES, SAME_PLACE, class_of, window_of
 
 
 def _quoted(text: str) -> str:
@@ -60,9 +60,10 @@ notice_words AS (SELECT license, template, regexp_extract_all(lower(text), '[\p{
 notice_shingles AS (
   SELECT DISTINCT license, template, array_to_string(ws[i:i + 4], ' ') AS s
   FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM notice_words)
+), counted AS (
+  SELECT template, count(*) AS n FROM notice_shingles GROUP BY template
 ), wanted AS (
-  SELECT template, count(*) AS n, (SELECT min(size) FROM classes WHERE size >= count(*)) AS size
-  FROM notice_shingles GROUP BY template
+  SELECT template, n, min(size) AS size FROM counted JOIN classes ON size >= n GROUP BY template, n
 ), doc_words AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS ws FROM documents
 ), doc_shingles AS (
@@ -76,8 +77,12 @@ notice_shingles AS (
 ), verified AS (
   SELECT doc_id, license, begin, count(DISTINCT s)::DOUBLE / n AS share
   FROM hits GROUP BY doc_id, rid, license, template, begin, n HAVING count(DISTINCT s)::DOUBLE / n >= 0.8
+), best AS (
+  SELECT doc_id, license, max(share) AS containment, min(begin)::BIGINT AS first_token FROM verified GROUP BY doc_id, license
 )
-SELECT doc_id, license, max(share) AS containment, min(begin)::BIGINT AS first_token FROM verified GROUP BY doc_id, license
+SELECT doc_id, license, containment, first_token FROM best AS b
+WHERE containment >= (SELECT max(containment) FROM best AS o WHERE o.doc_id IS NOT DISTINCT FROM b.doc_id
+                      AND abs(o.first_token - b.first_token) <= {SAME_PLACE})
 """
 
 
