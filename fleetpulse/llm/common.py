@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+def beside_text(docs: DataFrame, text_col: str, keep: tuple[str, ...], new_col: str, new_type: str,
+                run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> DataFrame:
+    """The ``keep`` columns as they are and a new one, which ``run`` makes from the text's Arrow arrays."""
+    source = docs.select(F.col(text_col).cast("string").alias("_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)])
+    fields = [f"_{i} {source.schema[f'_{i}'].dataType.simpleString()}" for i in range(len(keep))]
+    names = [f"_{i}" for i in range(len(keep))] + ["_new"]
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def texts() -> Iterator[pa.Array]:
+            for batch in batches:
+                held.append(batch)
+                yield batch.column(0)
+
+        for made in run(texts()):
+            yield pa.RecordBatch.from_arrays([*held.pop(0).columns[1:], made], names)
+
+    made = source.mapInArrow(through, ", ".join([*fields, f"_new {new_type}"]))
+    return made.toDF(*keep, new_col)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import beside_text
 from .training import fit_probability, labelled_sample, sigmoid
 
 BITS = 18
@@ -180,22 +181,22 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, pe
                np.array([r["label"] for r in rows], dtype=np.int64), sizes)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row: the probability of label 1 from the whole text.
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
+          score_col: str = "score") -> DataFrame:
+    """The ``keep`` columns and ``score_col`` of every row: the probability of label 1 from the whole
+    text.
 
-    Null texts are empty; an empty text has no n-grams and gets the model's
-    offset as its margin.  Null ids pass through, repeated rows keep a row
-    each, other columns are ignored, an empty table gives no rows.
+    Null texts are empty; an empty text has no n-grams, so the offset
+    alone is its margin.  Null ids pass through,
+    repeated rows keep a row each, other columns are ignored, an empty table
+    gives no rows.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, marked = shared.value, np.zeros(1 << BITS, dtype=bool)
-        for batch in batches:
-            margins = [model.margin(features(t.as_py() or "", marked)) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.score(margins), pa.float64())],
-                                             ["id", "score"])
+        for column in texts:
+            margins = [model.margin(features(t.as_py() or "", marked)) for t in column]
+            yield pa.array(model.score(np.array(margins, dtype=float)), pa.float64())
 
-    return source.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return beside_text(docs, text_col, keep, score_col, "double", run)

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontamination, licenses, line_quality, packing, simhash, sql, token_files
-from .common import table
+from . import (decontamination, html_text, licenses, line_quality, packing, pii_crf, quality_svm, simhash, sql, token_files,
+               toxicity_gru)
+from .common import fold, table
+
+
+#: Scores from these on are predicted as label 1.
+QUALITY_LIMIT, TOXIC_LIMIT = 0.3, 0.7
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +25,31 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    model = quality_svm.train(docs, table(spark, sf_dir, "labels"), "quality", usable=~held_out)
+    scored = quality_svm.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii_crf.find(docs, pii_crf.train(docs))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    net = toxicity_gru.train(docs, table(spark, sf_dir, "labels"), "toxic", usable=~held_out)
+    scored = toxicity_gru.score(docs, net)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_LIMIT).cast("int").alias("predicted"))
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
@@ -51,6 +81,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_token_ids": op5_token_ids,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,

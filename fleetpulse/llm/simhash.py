@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .common import stage
+from .common import beside_text, stage
 from .components import components
 
 #: Fingerprints of one slice of a group, and of one tile of the comparison.
@@ -56,18 +56,14 @@ def text_fingerprint(text: str, shingle_words: int, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint's 64 bits as a signed long."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, keep: tuple[str, ...], text_col: str, shingle_words: int) -> DataFrame:
+    """The ``keep`` columns and ``fp``, the fingerprint's 64 bits as a signed long, of every row."""
+    def make(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            found = [text_fingerprint(t.as_py() or "", shingle_words) for t in column]
+            yield pa.array(np.array(found, dtype=np.uint64).view(np.int64))
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [text_fingerprint(t.as_py() or "", shingle_words) for t in batch.column("text")]
-            fps = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps)], ["id", "fp"])
-
-    return source.mapInArrow(make, f"id {kind}, fp long")
+    return beside_text(docs, text_col, keep, "_fp", "long", make)
 
 
 def local_roots(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
@@ -180,6 +176,14 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
     return tasks.mapInArrow(compare, "u long, v long").distinct()
 
 
+def _components(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, component): the smallest fingerprint that links reach, of each distinct fingerprint."""
+    distinct = stage(prints.select("fp").distinct(), "distinct-fingerprints")
+    roots = components(links(distinct, max_distance))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = 3, max_distance: int = 3) -> DataFrame:
     """(id, fp, component_id): a row per row of ``docs``.
@@ -191,11 +195,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     only if all its ids are.  Repeated rows each keep their row.  Other columns
     are ignored; an empty table gives no rows.
     """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), max_distance))
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("component"))
+    prints = stage(fingerprints(docs, (id_col,), text_col, shingle_words).toDF("id", "fp"), "fingerprints")
+    low = prints.groupBy("fp").agg(F.min("id").alias("low"))
+    grouped = _components(prints, max_distance).join(low, "fp")
     smallest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
     by_print = grouped.join(smallest, "component").select("fp", "component_id")
     return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 shingle_words: int = 3, max_distance: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: the one with the smallest id (null ids
+    last; of repeated ids any one).  All columns stay; nulls and empty texts as in ``near_duplicates``."""
+    columns = tuple(docs.columns)
+    inner = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    text, key = (f"c{columns.index(c)}" for c in (text_col, id_col))
+    marked = fingerprints(inner.withColumn("t", F.col(text)), tuple(inner.columns), "t", shingle_words)
+    marked = stage(marked.withColumn("row", F.monotonically_increasing_id()).withColumnRenamed("_fp", "fp"), "marked")
+    least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "row")).alias("least")
+    by_print = marked.groupBy("fp").agg(least).join(_components(marked, max_distance), "fp")
+    kept = by_print.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+    return marked.join(kept, "row", "left_semi").select(*inner.columns).toDF(*columns)

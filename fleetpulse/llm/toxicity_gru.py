@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import beside_text
 from .training import fit_probability, labelled_sample, sigmoid
 
 WINDOW, STRIDE = 64, 48
@@ -312,8 +313,7 @@ class Trainer:
         self.net.p[name][used] -= 5 * self.rate * total / np.sqrt(self.squares[name][used])[:, None]
 
 
-def fit(texts: list[str], labels: np.ndarray, sizes: dict[int, int], rounds: int = 12, batch: int = 128,
-        seed: int = 7) -> Network:
+def fit(texts: list[str], labels: np.ndarray, sizes: dict[int, int], rounds: int = 12, seed: int = 7) -> Network:
     """Train on labelled documents; a fifth of them is held back for the score's curve.
 
     With a class missing, every score is the (smoothed) share of class 1.
@@ -346,6 +346,7 @@ def fit(texts: list[str], labels: np.ndarray, sizes: dict[int, int], rounds: int
         trainer.rate = 0.01 * (1 - 0.8 * r / rounds)
         balance = np.where(marks > 0, len(marks) / max(1, 2 * marks.sum()), len(marks) / max(1, 2 * (1 - marks).sum()))
         balance = balance.astype(np.float32)
+        batch = min(128, max(16, len(picked) // 30))  # small corpora need as many steps
         for k in range(0, len(picked), batch):
             part = picked[k:k + batch]
             trainer.learn(corpus, [corpus.windows[i] for i in part], marks[k:k + batch], balance[k:k + batch])
@@ -415,29 +416,28 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, pe
     return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=np.int64), sizes)
 
 
-def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row: the probability of label 1 of its highest window.
+def score(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
+          score_col: str = "score") -> DataFrame:
+    """The ``keep`` columns and ``score_col`` of every row: the probability of label 1 of its highest
+    window.
 
     Null texts are empty; an empty text is one empty window (attention has
     nothing to pool, so the output's bias decides).  Null ids pass through,
     repeated rows keep a row each, other columns are ignored, an empty table
     gives no rows.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            texts, found, part, size = batch.column("text"), [], [], 0
-            for k in range(len(texts)):
-                part.append(texts[k].as_py() or "")
+        for column in texts:
+            found, part, size = [], [], 0
+            for k in range(len(column)):
+                part.append(column[k].as_py() or "")
                 size += len(part[-1])
-                if size > 4 << 20 or k == len(texts) - 1:  # bounded work tables
+                if size > 4 << 20 or k == len(column) - 1:  # bounded work tables
                     found.append(scorer.scores(part))
                     part, size = [], 0
-            values = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(values, pa.float64())], ["id", "score"])
+            yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
-    return source.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return beside_text(docs, text_col, keep, score_col, "double", run)
