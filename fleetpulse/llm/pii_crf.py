@@ -134,12 +134,14 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         stop = begin + len(core)
         while k < len(base) and ends[k] <= begin:
             k += 1
-        label = OTHER
+        label, whole = OTHER, ""
         for s in base[k:]:
             if s[0] >= stop:
                 break
             if s[1] > begin:
                 label = s[2]
+                if s[1] <= stop:  # its last token stands for the finding's digits as well
+                    whole = _NOT_DIGIT.sub("", text[s[0]:s[1]])
                 break
         digits = _NOT_DIGIT.sub("", core)
         g.spans.append((begin, stop))
@@ -148,8 +150,7 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         if i and beside[i - 1]:
             g.chain.append((i - 1, i))
         keys = [core.lower()] if len(core) >= 4 else []
-        if len(digits) >= 7:
-            keys.append("#" + digits[-7:])
+        keys += {"#" + d[-7:] for d in (digits, whole) if len(d) >= 7}
         linked = set()
         for key in keys:  # to the last node alike: links grow with the nodes, not with their pairs
             before = last.get(key)
