@@ -6,11 +6,10 @@ Sub-packages:
 * ``functions`` – column expressions (row means, rounding, labels, clocks).
 * ``operators`` – ETL transforms, joins, analytics, marts, quality checks.
 * ``plans``     – the named query catalogue and its DuckDB oracle SQL.
-* ``streaming`` – intentionally empty (the reference has no streaming).
 
 Every operator takes DataFrames plus parameters and returns a DataFrame; no
-operator calls ``collect``.  The few eager jobs (size checks before a
-broadcast, checkpoints that cut lineage) are documented where they happen.
+operator here runs a job while a query is built; loading (``operators.sink``)
+and staged reading of raw text do, and say so.
 """
 
 __version__ = "0.1.0"

@@ -7,11 +7,9 @@ from fleetpulse.functions.columns import (  # noqa: F401
     hour_of_day,
     install_date,
     location,
-    nan_to_null,
     ordinal_timestamp,
     parse_timestamp,
     row_mean,
-    safe_ratio,
     timestamp_text,
     unit_code,
     zscore,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
@@ -98,11 +98,6 @@ def with_suffix(c, suffix: str = "%") -> Column:
     return F.concat(_col(c).cast("string"), F.lit(suffix))
 
 
-def safe_ratio(numerator, denominator) -> Column:
-    """Division that yields NULL instead of failing on a zero denominator."""
-    return F.try_divide(_col(numerator), _col(denominator))
-
-
 def zscore(x, mean, std) -> Column:
     """``(x - mean) / std``; NULL when std is 0 or NULL (ledger V1, V8)."""
     return F.try_divide(_col(x) - _col(mean), _col(std))
@@ -132,3 +127,10 @@ def cycled(index, values: list) -> Column:
     """``values[index % len(values)]`` as a literal-array lookup."""
     arr = F.array(*[F.lit(v) for v in values])
     return F.element_at(arr, (F.pmod(_col(index), F.lit(len(values))) + F.lit(1)).cast("int"))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as NULL in its floating-point columns: a NaN reading is no reading."""
+    return df.select(*[
+        F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name)
+        if f.dataType.typeName() in ("double", "float") else F.col(f.name) for f in df.schema.fields])

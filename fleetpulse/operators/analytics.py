@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.aggregates import mean_of, per_unit, unit_mean
-from fleetpulse.operators.joins import (attach_units, fits_broadcast, join_small, memo_fact,
-                                       narrow_rows, restrict_to_units)
+from fleetpulse.operators.joins import (attach_units, fits_broadcast, join_salted, join_small,
+                                       restrict_to_units)
 from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 # (output name, metric column, decimal places) for the fleet overview.
@@ -32,8 +32,8 @@ def group_health(readings: DataFrame, units: DataFrame, keys: Sequence[str],
     """
     cols = [m for _, m, _ in metrics] + (["cooler_condition"] if failures else [])
     partial = attach_units(per_unit(readings, cols), units, columns=tuple(keys))
-    aggs = [F.count_distinct("unit_id").alias("units"),
-            F.sum("_n").cast("long").alias("readings")]
+    # One row per unit here, so counting rows counts units.
+    aggs = [F.count("unit_id").alias("units"), F.sum("_n").cast("long").alias("readings")]
     aggs += [C.half_up_round(mean_of(m), k).alias(name) for name, m, k in metrics]
     if failures:
         aggs += [
@@ -177,25 +177,28 @@ def hourly_pattern(readings: DataFrame, metrics=HOURLY_METRICS) -> DataFrame:
 
 # ------------------------------------------------------------- A6 / D7 – D9
 def unit_stats(readings: DataFrame, metric: str = "avg_temp_c") -> DataFrame:
-    """Per-unit mean and population std; units with std 0 (or NULL) are dropped."""
+    """Per-unit mean and population std; units with std 0, NULL or NaN are dropped."""
     return (readings.groupBy("unit_id")
             .agg(F.avg(metric).alias("mu"), F.stddev_pop(metric).alias("sigma"))
-            .filter(F.col("sigma") > 0))
+            .filter((F.col("sigma") > 0) & ~F.isnan("sigma")))
 
 
 def scored_readings(readings: DataFrame, units: DataFrame, metric: str = "avg_temp_c",
                     k_sigma: float = schema.ZSCORE_THRESHOLD) -> DataFrame:
     """Readings of known units whose |z| exceeds ``k_sigma``, with mu and z.
 
-    The statistics are restricted to units that exist, so their row count is
-    bounded by the unit table; when that table passed the broadcast check the
-    statistics are broadcast too and the fact is never shuffled.
+    The statistics are restricted to units that exist, so they have no more
+    rows than the unit table; when that passes the size check they are
+    broadcast and the fact is never shuffled.  Otherwise the join is salted: a
+    hot unit's readings go to several tasks, its statistics to each of them.
+    A NaN reading is no reading.
     """
-    ids = units.select("unit_id")
-    small = fits_broadcast(ids, narrow_rows(ids))
-    stats = unit_stats(readings, metric).join(F.broadcast(ids) if small else ids,
-                                              "unit_id", "left_semi")
-    joined = readings.join(F.broadcast(stats) if small else stats, "unit_id")
+    known = readings.filter(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
+    stats = restrict_to_units(unit_stats(known, metric), units)
+    if fits_broadcast(units.select("unit_id")):
+        joined = known.join(F.broadcast(stats), "unit_id")
+    else:
+        joined = join_salted(known, stats, "unit_id", "reading_id")
     z = C.zscore(metric, "mu", "sigma")
     return (joined.withColumn("_z", z).withColumn("_abs_z", F.abs(F.col("_z")))
             .filter(F.col("_abs_z") > F.lit(k_sigma)))
@@ -277,32 +280,14 @@ def multi_fault(readings: DataFrame, units: DataFrame, top: int | None = 10) ->
 
 
 # ------------------------------------------------------------------ A9 / W1
-MAX_LITERAL_IDS = 1000
-
-
-def unit_ids_for_code(units: DataFrame, unit_code: str, limit: int = MAX_LITERAL_IDS):
-    """The unit_id(s) carrying ``unit_code`` — at most ``limit`` ids (the code is
-    declared UNIQUE, so normally one), or None when there are more."""
-    chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
-    ids = memo_fact(chosen, f"ids<={limit}",
-                    lambda: [r[0] for r in chosen.limit(limit + 1).collect()])
-    return ids if len(ids) <= limit else None
-
-
 def readings_of_unit(readings: DataFrame, units: DataFrame, unit_code: str) -> DataFrame:
-    """Readings of the unit(s) with ``unit_code``.
+    """Readings of the unit(s) with ``unit_code``: a semi-join when the query runs.
 
-    The code is resolved to its unit_id first (one lookup on the unit table,
-    a bounded handful of ids) and the fact is filtered by ``unit_id IN (...)``:
-    a literal predicate that reaches the Parquet reader, where row-group
-    statistics of unit-sorted files skip every other unit, and that sits below
-    any window.  Past the bound it falls back to a semi-join.
+    The ids come from the unit table as it is then; the join sits below any
+    window, so only that unit's readings move.
     """
-    ids = unit_ids_for_code(units, unit_code)
-    if ids is None:
-        chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
-        return join_small(readings, chosen, "unit_id", "left_semi", narrow_rows(chosen))
-    return readings.filter(F.col("unit_id").isin(ids) if ids else F.lit(False))
+    chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
+    return join_small(readings, chosen, "unit_id", "left_semi")
 
 
 def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None = None,

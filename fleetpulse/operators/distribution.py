@@ -1,127 +1,112 @@
-"""Exact distribution summaries per group (D6) without per-group gathering.
+"""Exact distribution summaries per group (D6) without sorting or gathering a group.
 
 Quantiles use the linear rule of SQL ``percentile`` / ``quantile_cont``: at
-position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(p − ⌊p⌋).  One
-small job sizes the groups first.  When every group fits in one task
-(``fleetpulse.window.chunkRows``) each group's values are sorted in that task.
-Otherwise ranks come from ``global_ordinal`` over (metric, group, value), so no
-group — even one holding a third of all rows — is sorted or buffered in a
-single task; only the handful of rows at the needed ranks are picked out.
+position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(p − ⌊p⌋).
+
+Each needed rank is selected by narrowing a value range: a pass counts the
+values of the range in ``BUCKETS`` equal intervals and keeps the interval with
+the rank, with its true smallest and largest value as the next range.  After
+``ROUNDS`` passes the few values left are ranked.  Bucket numbers never fall
+when values rise, so every step is exact; a pass shuffles one row per task,
+group and interval, and only the last ranking moves values.  All groups and
+sizes take this way; no pass is written out or run while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import columns as C
-from fleetpulse.operators.joins import join_bounded, memo_fact
-from fleetpulse.operators.ordinal import global_ordinal
-from fleetpulse.operators.windows import chunk_rows, range_tasks
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 FENCE_IQR = 1.5
-RANKS_PER_GROUP = 2 + 2 * len(QUARTILES)
+BUCKETS, ROUNDS = 4096, 2
+KEYS = ["metric", "group"]
 
 
 def stack_metrics(df: DataFrame, group_col: str, metrics: Sequence[str]) -> DataFrame:
-    """Long form (group, metric, value) of the chosen metric columns, NULLs dropped."""
+    """Long form (group, metric, value) of the chosen metric columns, NULLs and NaN dropped."""
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
                       for m in metrics])
     return (df.select(F.col(group_col).alias("group"), F.inline(pairs))
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _exact_small(long: DataFrame) -> DataFrame:
-    """Quartiles from each group's sorted values.
-
-    Only taken after the size job proved that no group exceeds the per-task
-    bound: each group's values are sorted in one task (partial lists merge
-    map-side), and the quartiles are read off by position.
-    """
-    grouped = long.groupBy("metric", "group").agg(F.sort_array(F.collect_list("value")).alias("_v"))
-    n = F.size("_v")
-
-    def at(q):
-        pos = (n - 1) * F.lit(q)
-        lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-        v_lo, v_hi = F.element_at("_v", lo + 1), F.element_at("_v", hi + 1)
-        return v_lo + (v_hi - v_lo) * (pos - lo)
-
-    out = with_fences(grouped.select(
-        "metric", "group", "_v", n.cast("long").alias("n"),
-        F.element_at("_v", 1).alias("min"), F.element_at("_v", -1).alias("max"),
-        *[at(q).alias(name) for name, q in QUARTILES]))
-    # The values are already at hand: count outliers in the array, no second pass.
-    outside = F.filter("_v", lambda x: (x < F.col("lower_fence")) | (x > F.col("upper_fence")))
-    return out.withColumn("outliers", F.size(outside).cast("long")).drop("_v")
-
-
 def with_fences(summary: DataFrame) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return (summary.withColumn("lower_fence", F.col("q1") - F.lit(FENCE_IQR) * iqr)
             .withColumn("upper_fence", F.col("q3") + F.lit(FENCE_IQR) * iqr))
 
 
-def _exact_ranked(long: DataFrame, n_groups: int, tasks: int) -> DataFrame:
-    """Quartiles by rank arithmetic on a global ordinal (any group size)."""
-    ranked = global_ordinal(long, ["metric", "group", "value"], "_g", tasks)
-    groups = ranked.groupBy("metric", "group").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_g").alias("_start"))
-    # Needed ranks per group: 0, n-1 and floor/ceil of each quartile position.
-    wanted = [F.lit(0).cast("long"), (F.col("n") - 1).cast("long")]
+def _beside(values: DataFrame, side: DataFrame) -> DataFrame:
+    """Values with their group's rows of ``side`` (a few numbers per group; NULL groups match)."""
+    side = side.withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    on = (values["metric"] == side["_metric"]) & values["group"].eqNullSafe(side["_group"])
+    # One row per label, metric and rank: labels are the few texts of a CASE or a condition column.
+    return values.join(F.broadcast(side), on).drop("_metric", "_group")
+
+
+def _narrowed(long: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The interval of each (group, rank)'s range that holds the rank, and the rank within it."""
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(BUCKETS))
+    step = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(BUCKETS - 1)))
+    inside = _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")))
+    counts = inside.groupBy(*KEYS, "wanted", "rank", F.coalesce(step, F.lit(0)).cast("int").alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    order = Window.partitionBy(*KEYS, "wanted").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
+    return counts.filter(held).select(*KEYS, "wanted", (F.col("rank") - F.col("before")).alias("rank"), "lo", "hi")
+
+
+def rank_values(long: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(metric, group, wanted, value): the value at each 0-based rank ``wanted`` of ``ranks``
+    (metric, group, wanted, lo, hi)."""
+    ranges = ranks.withColumn("rank", F.col("wanted"))
+    for _ in range(ROUNDS):
+        ranges = _narrowed(long, ranges)
+    left = _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")) & (F.col("lo") < F.col("hi")))
+    order = Window.partitionBy(*KEYS, "wanted").orderBy("value")
+    ranked = left.withColumn("at", F.row_number().over(order) - 1).filter(F.col("at") == F.col("rank"))
+    same = ranges.filter(F.col("lo") == F.col("hi")).withColumn("value", F.col("lo"))
+    columns = [*KEYS, "wanted", "value"]
+    return ranked.select(*columns).unionByName(same.select(*columns))
+
+
+def quartiles(long: DataFrame) -> DataFrame:
+    """(metric, group, n, min, max, q1, median, q3) of every group."""
+    sizes = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    wanted = []
     for _, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
         wanted += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    ranks = groups.select("metric", "group", "n", "_start",
-                          F.explode(F.array_distinct(F.array(*wanted))).alias("_r"))
-    ranks = ranks.withColumn("_g", F.col("_start") + F.col("_r"))
-    picked = join_bounded(ranked.select("_g", "value"), ranks, "_g", "inner",
-                          n_groups * RANKS_PER_GROUP)
-
-    def value_at(rank_expr):
-        return F.max(F.when(F.col("_r") == rank_expr, F.col("value")))
-
-    aggs = [F.first("n").alias("n"), value_at(F.lit(0)).alias("min"),
-            value_at(F.col("n") - 1).alias("max")]
+    ranks = sizes.select(*KEYS, "n", "lo", "hi", F.explode(F.array_distinct(F.array(*wanted))).alias("wanted"))
+    values = rank_values(long, ranks.drop("n"))
+    found = values.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("wanted", "value"))).alias("at"))
+    found = found.withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    on = (sizes["metric"] == found["_metric"]) & sizes["group"].eqNullSafe(found["_group"])
+    out = sizes.join(found, on)
+    cols = []
     for name, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
-        lo = F.floor(pos)
-        aggs += [value_at(lo).alias(f"_{name}_lo"), value_at(F.ceil(pos)).alias(f"_{name}_hi"),
-                 F.max(pos - lo).alias(f"_{name}_f")]
-    summary = picked.groupBy("metric", "group").agg(*aggs)
-    for name, _ in QUARTILES:
-        lo, hi, frac = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_f")
-        summary = summary.withColumn(name, lo + (hi - lo) * frac)
-    return summary.select("metric", "group", "n", "min", "max", *[q for q, _ in QUARTILES])
-
-
-def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str],
-                decimals: int = 6, chunk: int | None = None) -> DataFrame:
+        lo, hi = F.col("at")[F.floor(pos).cast("long")], F.col("at")[F.ceil(pos).cast("long")]
+        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return out.select(*KEYS, "n", F.col("lo").alias("min"), F.col("hi").alias("max"), *cols)
+
+
+def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str], decimals: int = 6) -> DataFrame:
     """min, q1, median, q3, max, 1.5·IQR fences and outlier count per (group, metric)."""
     long = stack_metrics(df, group_col, metrics)
-    # One job, one result row: the largest group and the number of groups.
-    sizes = long.groupBy("metric", "group").agg(F.count(F.lit(1)).alias("_rows"))
-    largest, n_groups, total = memo_fact(sizes, "max,count,sum", lambda: tuple(
-        sizes.agg(F.max("_rows"), F.count(F.lit(1)), F.sum("_rows")).first()))
-    bound = chunk_rows(long, chunk)
-    if largest is None or largest <= bound:
-        out = _exact_small(long)
-    else:
-        summary = with_fences(_exact_ranked(long, n_groups, range_tasks(long, total)))
-        fences = summary.select(F.col("metric").alias("_fm"), F.col("group").alias("_fg"),
-                                "lower_fence", "upper_fence")
-        # Outliers: one pass over the values against the fences; NULL groups
-        # match null-safely.  The fences have n_groups rows (counted above).
-        on = (long.metric == fences._fm) & long.group.eqNullSafe(fences._fg)
-        outliers = (join_bounded(long, fences, on, "inner", n_groups)
-                    .groupBy(F.col("_fm"), F.col("_fg"))
-                    .agg(F.count_if((F.col("value") < F.col("lower_fence"))
-                                    | (F.col("value") > F.col("upper_fence"))).alias("outliers")))
-        on = (summary.metric == outliers._fm) & summary.group.eqNullSafe(outliers._fg)
-        out = join_bounded(summary, outliers, on, "left", n_groups)
+    summary = with_fences(quartiles(long))
+    fences = summary.select(*KEYS, "lower_fence", "upper_fence")
+    outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
+    outliers = _beside(long, fences).filter(outside).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("outliers"))
+    outliers = outliers.withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    on = (summary["metric"] == outliers["_metric"]) & summary["group"].eqNullSafe(outliers["_group"])
+    out = summary.join(outliers, on, "left")
     rnd = [C.half_up_round(c, decimals).alias(c) for c in
            ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")]
     return out.select(F.col("group").alias(group_col), "metric", "n", *rnd,

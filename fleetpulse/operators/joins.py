@@ -1,10 +1,12 @@
 """Joins against dimension-sized tables, with a checked broadcast.
 
-A side is broadcast only after a bounded count proves it has at most
-``fleetpulse.broadcast.maxRows`` rows (``limit(n + 1).count()`` stops every
-task after n + 1 rows, so the check is cheap even on a huge table).  Beyond
-the bound the join is left to the planner: a shuffle join on the key, where
-AQE's skew-join handling splits a hot key's partition.
+A side is broadcast only if the files (or local rows) behind it are known to
+be small: their planned sizes, times a factor for decoding, must stay within
+``fleetpulse.broadcast.maxBytes``.  The check reads plan statistics only: no
+job runs, nothing is remembered between queries.  It holds for sides that have
+no more rows than the tables they are made of (selections, projections and
+N:1 joins of dimensions).  Beyond the bound, or where a size is unknown, the
+planner joins by a shuffle.
 """
 
 from __future__ import annotations
@@ -12,84 +14,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.session import BROADCAST_ROWS_KEY, conf_int
+from fleetpulse.session import BROADCAST_BYTES_KEY, conf_int
 
-DEFAULT_BROADCAST_ROWS = 200_000
-NARROW_ROWS_KEY = "fleetpulse.broadcast.maxNarrowRows"
-DEFAULT_NARROW_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
+#: Decoded rows against compressed Parquet files.
+DECODED_FACTOR = 8
 UNIT_ATTRIBUTES = ("unit_code", "model", "region", "site")
 
 
-def broadcast_rows(df: DataFrame) -> int:
-    """Row bound for broadcasting rows with several attribute columns (~50 MB)."""
-    return conf_int(df.sparkSession, BROADCAST_ROWS_KEY, DEFAULT_BROADCAST_ROWS)
+def source_bytes(df: DataFrame) -> int:
+    """Planned size of everything ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def narrow_rows(df: DataFrame) -> int:
-    """Row bound for key-only or few-number sides (ids, per-unit statistics; ~50 MB)."""
-    return conf_int(df.sparkSession, NARROW_ROWS_KEY, DEFAULT_NARROW_ROWS)
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the tables behind ``df`` are proven small enough to broadcast it."""
+    bound = conf_int(df.sparkSession, BROADCAST_BYTES_KEY, DEFAULT_BROADCAST_BYTES)
+    return DECODED_FACTOR * source_bytes(df) <= bound
 
 
-_FITS: dict = {}
-
-
-def _plan_key(df: DataFrame, limit: int):
-    """Same plan over the same files → same answer; new files → new check."""
-    try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
-    except Exception:  # noqa: BLE001 - plans without a stable hash are not memoised
-        return None
-
-
-def memo_fact(df: DataFrame, tag: str, compute):
-    """A size fact about ``df`` (a count, a maximum) computed once per plan and
-    input files.  Only such small facts are memoised, never query results."""
-    key = _plan_key(df, tag)
-    if key is not None and key in _FITS:
-        return _FITS[key]
-    value = compute()
-    if key is not None:
-        _FITS[key] = value
-    return value
-
-
-def count_upto(df: DataFrame, limit: int) -> int:
-    """``min(rows, limit + 1)``: every task stops reading after ``limit + 1`` rows."""
-    return memo_fact(df, f"count<={limit}", lambda: df.limit(limit + 1).count())
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one bounded job, memoised)."""
-    limit = broadcast_rows(df) if max_rows is None else max_rows
-    return count_upto(df, limit) <= limit
-
-
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """``left.join(right)`` with ``right`` broadcast when its size is proven small."""
-    side = F.broadcast(right) if fits_broadcast(right, max_rows) else right
-    return left.join(side, on, how)
-
-
-def join_bounded(left: DataFrame, right: DataFrame, on, how: str, right_rows: int) -> DataFrame:
-    """Join where the caller already holds a proven row bound for ``right``."""
-    side = F.broadcast(right) if right_rows <= broadcast_rows(right) else right
-    return left.join(side, on, how)
-
-
-def units_broadcastable(units: DataFrame) -> bool:
-    """Whether the unit ids pass the (narrow) broadcast check."""
-    ids = units.select("unit_id")
-    return fits_broadcast(ids, narrow_rows(ids))
+    return left.join(F.broadcast(right) if fits_broadcast(right) else right, on, how)
 
 
 def restrict_to_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows whose ``unit_id`` exists in ``units`` (what an inner join keeps)."""
-    ids = units.select("unit_id")
-    return join_small(df, ids, "unit_id", "left_semi", narrow_rows(ids))
+    return join_small(df, units.select("unit_id"), "unit_id", "left_semi")
 
 
 def attach_units(df: DataFrame, units: DataFrame,
                  columns=UNIT_ATTRIBUTES) -> DataFrame:
     """Inner N:1 join of a fact (or a per-unit table) to unit attributes."""
     return join_small(df, units.select("unit_id", *columns), "unit_id", "inner")
+
+
+#: Parts that one key's rows are dealt to in ``join_salted``.
+SALTS = 16
+
+
+def join_salted(fact: DataFrame, side: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join of a fact to a side with one row per key, a hot key's rows dealt to ``SALTS`` tasks.
+
+    ``spread_by`` is a fact column that differs within a key; the side is
+    repeated per salt.
+    """
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return (fact.withColumn("_salt", salt)
+            .join(side.withColumn("_salt", salts), [key, "_salt"]).drop("_salt"))

@@ -15,31 +15,20 @@ from fleetpulse.functions import columns as C
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators.aggregates import mean_of, per_unit
 from fleetpulse.operators.distribution import box_summary
-from fleetpulse.operators.joins import attach_units, restrict_to_units, units_broadcastable
+from fleetpulse.operators.joins import attach_units, restrict_to_units
 from fleetpulse.operators.windows import moving_mean
 
 UNROUNDED_DECIMALS = 6  # unrounded means are emitted at 6 dp (engine-independent)
 
 
 # ------------------------------------------------------------------- D1 – D3
-# D1, D3 and D10 report on a few groups only.  When the unit ids can be
-# broadcast, the fact is semi-joined map-side and aggregated straight to those
-# groups (a handful of rows per task).  Otherwise the fact is first reduced
-# per unit and the per-unit rows are restricted with a shuffle join.
+# D1, D3 and D10 reduce the fact per unit (and group) first and restrict those
+# rows to known units, so the fact itself never meets a join.
 
 
 def fleet_kpis(readings: DataFrame, units: DataFrame) -> DataFrame:
     """Units, readings, units with any failing reading, mean temperature."""
     total_units = units.select(F.count(F.lit(1))).scalar()
-    if units_broadcastable(units):
-        known = restrict_to_units(readings, units)
-        failing = F.when(F.col("cooler_condition") == F.lit(schema.FAILING), F.col("unit_id"))
-        return known.agg(
-            total_units.alias("total_units"),
-            F.count(F.lit(1)).alias("total_readings"),
-            F.count_distinct(failing).alias("failing_units"),
-            C.half_up_round(F.avg("avg_temp_c"), UNROUNDED_DECIMALS).alias("avg_temp_c"),
-        )
     partial = restrict_to_units(per_unit(readings, ["avg_temp_c"]), units)
     return partial.agg(
         total_units.alias("total_units"),
@@ -53,7 +42,7 @@ def region_units_counts(readings: DataFrame, units: DataFrame) -> DataFrame:
     """Units and readings per region (NULL regions dropped, as pandas does)."""
     partial = attach_units(per_unit(readings), units, columns=("region",))
     out = (partial.filter(F.col("region").isNotNull()).groupBy("region")
-           .agg(F.count_distinct("unit_id").alias("units"),
+           .agg(F.count("unit_id").alias("units"),  # one row per unit
                 F.sum("_n").cast("long").alias("readings")))
     return out.orderBy(F.desc("units"), "region")
 
@@ -62,11 +51,6 @@ def condition_value_counts(readings: DataFrame, units: DataFrame,
                            labels=schema.LABELS_GROUP) -> DataFrame:
     """D3: labelled frequency of cooler conditions, descending (NULL labels dropped)."""
     label = C.condition_label("cooler_condition", labels)
-    if units_broadcastable(units):
-        out = (restrict_to_units(readings, units).withColumn("Condition", label)
-               .filter(F.col("Condition").isNotNull())
-               .groupBy("Condition").agg(F.count(F.lit(1)).alias("Count")))
-        return out.orderBy(F.desc("Count"), "Condition")
     partial = restrict_to_units(per_unit(readings, keys=["cooler_condition"]), units)
     out = (partial.withColumn("Condition", label).filter(F.col("Condition").isNotNull())
            .groupBy("Condition").agg(F.sum("_n").cast("long").alias("Count")))
@@ -104,12 +88,6 @@ HOURLY_MEANS = [("avg_temp_c", "avg_temp_c"), ("avg_power_w", "motor_power_w"),
 
 def hourly_pattern_halfeven(readings: DataFrame, units: DataFrame) -> DataFrame:
     """Hourly counts and means, all rounded to 2 dp half to even."""
-    hour = C.hour_of_day("timestamp").alias("hour")
-    if units_broadcastable(units):
-        out = restrict_to_units(readings, units).groupBy(hour).agg(
-            F.count(F.lit(1)).alias("readings"),
-            *[C.even_round(F.avg(m), 2).alias(name) for name, m in HOURLY_MEANS])
-        return out.orderBy("hour")
     metrics = [m for _, m in HOURLY_MEANS]
     partial = per_unit(readings, metrics, keys=[C.hour_of_day("timestamp").alias("hour")])
     partial = restrict_to_units(partial, units)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import join_small, narrow_rows
+from fleetpulse.operators.joins import join_small
 
 UNITS_NOT_NULL = ["unit_id", "unit_code", "model", "region", "site", "install_date"]
 READINGS_NOT_NULL = ["reading_id", "unit_id", "timestamp"]
@@ -45,39 +45,38 @@ def _surplus(df: DataFrame, key: str, label: str) -> DataFrame:
         .alias("violations"))
 
 
-def _per_unit_checks(readings: DataFrame, units: DataFrame) -> list[DataFrame]:
-    """NOT NULLs of the fact and the foreign key from one per-unit partial
-    aggregate (one scan of the fact; the two uses share its shuffle)."""
+def _per_unit_checks(readings: DataFrame, units: DataFrame) -> DataFrame:
+    """NOT NULLs of the fact and the foreign key as sums over one per-unit
+    partial aggregate (one scan of the fact) beside the known unit ids."""
     per_unit = readings.groupBy("unit_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("reading_id").isNull()).alias("reading_id"),
         F.count_if(F.col("timestamp").isNull()).alias("timestamp"))
-    null_unit = F.when(F.col("unit_id").isNull(), F.col("n")).otherwise(F.lit(0))
-    totals = per_unit.agg(F.sum("reading_id").alias("reading_id"),
-                          F.sum(null_unit).alias("unit_id"), F.sum("timestamp").alias("timestamp"))
-    pairs = F.array(*[F.struct(F.lit(f"readings.{c} not null").alias("check"),
-                               F.coalesce(F.col(c), F.lit(0)).cast("long").alias("violations"))
-                      for c in READINGS_NOT_NULL])
-    ids = units.select("unit_id")
-    missing = join_small(per_unit.filter(F.col("unit_id").isNotNull()), ids, "unit_id",
-                         "left_anti", narrow_rows(ids))
-    orphans = missing.agg(F.lit("readings.unit_id references units").alias("check"),
-                          F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
-    return [totals.select(F.inline(pairs)), orphans]
+    ids = units.select("unit_id").distinct().withColumn("known", F.lit(True))
+    beside = join_small(per_unit, ids, "unit_id", "left")
+    null_unit = F.col("unit_id").isNull()
+    orphan = ~null_unit & F.col("known").isNull()
+    totals = beside.agg(
+        F.sum("reading_id").alias("readings.reading_id not null"),
+        F.sum(F.when(null_unit, F.col("n")).otherwise(0)).alias("readings.unit_id not null"),
+        F.sum("timestamp").alias("readings.timestamp not null"),
+        F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("readings.unit_id references units"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("check"),
+                               F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias("violations"))
+                      for c in totals.columns])
+    return totals.select(F.inline(pairs))
 
 
 def check_constraints(units: DataFrame, readings: DataFrame) -> DataFrame:
     """(check STRING, violations BIGINT), one row per declared constraint.
 
-    One pass over the unit table; two over the fact: the per-unit aggregate
-    (NOT NULLs, foreign key) and the key count (primary key).
+    Two scans of the fact: the per-unit aggregate (NOT NULLs, foreign key) and
+    the key count (primary key).
     """
-    nulls, orphans = _per_unit_checks(readings, units)
     parts = [
         _unit_checks(units),
-        nulls,
+        _per_unit_checks(readings, units),
         _surplus(readings, "reading_id", "readings.reading_id primary key"),
-        orphans,
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -89,9 +88,3 @@ def assert_constraints(units: DataFrame, readings: DataFrame) -> dict[str, int]:
     if bad:
         raise ConstraintViolation(f"constraint violations: {bad}")
     return found
-
-
-def row_counts(units: DataFrame, readings: DataFrame) -> DataFrame:
-    """(table, rows) for both tables."""
-    return units.agg(F.lit("units").alias("table"), F.count(F.lit(1)).alias("rows")).unionByName(
-        readings.agg(F.lit("readings").alias("table"), F.count(F.lit(1)).alias("rows")))

@@ -1,63 +1,117 @@
-"""Writing the two tables (S9) and reading them back."""
+"""Writing the two tables (S9) and reading them back.
+
+A load is written to a folder of its own under ``<root>/versions``, checked
+and counted there, and published by one rename of the small file
+``<root>/CURRENT`` that names it.  Readers follow that file, so they see the
+old pair of tables or the new one, never a mixture; a load that fails before
+the rename changes nothing.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
+from fleetpulse import schema
+from fleetpulse.functions import columns as C
 from fleetpulse.operators.joins import fits_broadcast
 from fleetpulse.operators.quality import assert_constraints
-from fleetpulse.session import conf_int
-from fleetpulse.sources.tables import table_exists
+from fleetpulse.session import conf_int, shuffle_partitions
+from fleetpulse.sources.tables import path_exists
 
 PARTITION_COLUMN = "reading_date"
 ROWS_PER_FILE_KEY = "fleetpulse.write.rowsPerFile"
 DEFAULT_ROWS_PER_FILE = 5_000_000  # ~100 B per reading → files of a few hundred MB
 
 
-def write_partitions(readings: DataFrame, rows_per_file: int | None = None) -> int:
-    """Write tasks for the readings: one per ``rows_per_file`` rows (one count job)."""
-    per_file = rows_per_file or conf_int(readings.sparkSession, ROWS_PER_FILE_KEY,
-                                         DEFAULT_ROWS_PER_FILE)
-    return max(1, -(-readings.count() // per_file))
+class LoadError(RuntimeError):
+    """The written tables don't hold what was to be written."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _publish(spark: SparkSession, root: str, version: str) -> None:
+    """Point ``<root>/CURRENT`` to a version, in one rename; drop versions other than it and the last one."""
+    last = current_version(spark, root)
+    draft = f"{root}/.CURRENT-{version}"
+    fs, path = _hadoop(spark, draft)
+    out = fs.create(path, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    jvm = spark._jvm
+    overwrite = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(path), fs.makeQualified(_hadoop(spark, f"{root}/CURRENT")[1]), overwrite)
+    for entry in fs.listStatus(_hadoop(spark, f"{root}/versions")[1]):
+        if entry.getPath().getName() not in (version, last):
+            fs.delete(entry.getPath(), True)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The published version's folder name, or None."""
+    path = f"{root.rstrip('/')}/CURRENT"
+    if not path_exists(spark, path):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0].strip()
 
 
-def write_tables(units: DataFrame, readings: DataFrame, root: str,
+def write_tables(units: DataFrame, readings: DataFrame, root: str, expected_rows: int | None = None,
                  num_partitions: int | None = None, check: bool = True) -> dict:
-    """Full refresh of ``<root>/units`` and ``<root>/readings``.
-
-    The constraint job runs first and a violation stops the write.  Readings
-    are range-partitioned on (date, unit, time) into as many tasks as the row
-    count asks for – balanced by sampling even when one day or one unit
-    dominates – sorted the same way inside each task and written partitioned
-    by date, so date filters prune directories and unit/time filters prune
-    row groups.  The unit table goes to one file only when it is proven small.
+    """Full refresh of both tables (S9); returns their row counts.
+
+    The rows are computed once, into the new version's folder; the constraint
+    job and the counts read that.  A violation, or a count other than
+    ``expected_rows``, raises and leaves the published tables as they are.
+    Readings are range-partitioned on (date, unit, time) and written by date,
+    so date filters prune folders and unit or time filters row groups.
     """
-    if check:
-        assert_constraints(units, readings)
-    n = num_partitions or write_partitions(readings)
-    root = root.rstrip("/")
+    spark, root, version = readings.sparkSession, root.rstrip("/"), uuid.uuid4().hex
+    path = f"{root}/versions/{version}"
+    if num_partitions is None and expected_rows is not None:
+        num_partitions = -(-expected_rows // conf_int(spark, ROWS_PER_FILE_KEY, DEFAULT_ROWS_PER_FILE))
     (units.coalesce(1) if fits_broadcast(units) else units.repartitionByRange("unit_id")
-     ).write.mode("overwrite").parquet(f"{root}/units")
-    dated = readings.withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
-    (dated.repartitionByRange(n, PARTITION_COLUMN, "unit_id", "timestamp")
+     ).write.parquet(f"{path}/units")
+    dated = C.without_nan(readings).withColumn(PARTITION_COLUMN, F.to_date("timestamp"))
+    (dated.repartitionByRange(max(1, num_partitions or shuffle_partitions(spark)), PARTITION_COLUMN, "unit_id", "timestamp")
      .sortWithinPartitions(PARTITION_COLUMN, "unit_id", "timestamp")
-     .write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{root}/readings"))
-    return loaded_counts(readings.sparkSession, root)
+     .write.partitionBy(PARTITION_COLUMN).parquet(f"{path}/readings"))
+    written = _read(spark, path)
+    if check:
+        assert_constraints(*written)
+    counts = {"units": written[0].count(), "readings": written[1].count()}
+    if expected_rows is not None and counts["readings"] != expected_rows:
+        raise LoadError(f"{counts['readings']} readings were written, {expected_rows} were to be")
+    _publish(spark, root, version)
+    return counts
+
+
+def _read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    dated = StructType([*schema.READINGS_SCHEMA.fields, StructField(PARTITION_COLUMN, DateType())])
+    units = spark.read.parquet(f"{path}/units")
+    return units, spark.read.schema(dated).parquet(f"{path}/readings").drop(PARTITION_COLUMN)
+
+
+def readings_path(spark: SparkSession, root: str) -> str:
+    """Folder of the published readings, partitioned by date."""
+    return f"{root.rstrip('/')}/versions/{current_version(spark, root)}/readings"
 
 
 def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """The written tables (the partition column is dropped again)."""
-    root = root.rstrip("/")
-    for name in ("units", "readings"):
-        if not table_exists(spark, f"{root}/{name}"):
-            raise FileNotFoundError(f"table not found: {root}/{name}; run the ETL first")
-    units = spark.read.parquet(f"{root}/units")
-    readings = spark.read.parquet(f"{root}/readings").drop(PARTITION_COLUMN)
-    return units, readings
+    """The published (units, readings); an empty load reads as empty tables."""
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no tables at {root}; run the ETL first")
+    return _read(spark, f"{root.rstrip('/')}/versions/{version}")
 
 
 def loaded_counts(spark: SparkSession, root: str) -> dict:
-    """Row counts of the written tables (Parquet footers only)."""
+    """Row counts of the published tables (Parquet footers only)."""
     units, readings = read_tables(spark, root)
     return {"units": units.count(), "readings": readings.count()}

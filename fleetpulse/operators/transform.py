@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
@@ -62,24 +62,22 @@ def metric_columns(wide: DataFrame) -> DataFrame:
     return wide.select(*keep, *metrics)
 
 
-def assign_blocks(df: DataFrame, n_cycles: int, n_units: int = schema.NUM_UNITS,
+def assign_blocks(df: DataFrame, n_cycles: int | Column, n_units: int = schema.NUM_UNITS,
                   id_col: str = "cycle_id") -> DataFrame:
     """T5: contiguous blocks of ``n_cycles // n_units`` cycles per unit; rest dropped.
 
     Adds ``unit_id`` (1-based), ``offset`` (0-based inside the block) and
     ``reading_id`` (S11: insertion order unit-then-offset, i.e. cycle + 1).
+    ``n_cycles`` may be a scalar subquery; fewer cycles than units give no rows.
     """
-    per_unit = n_cycles // n_units
-    if per_unit <= 0:
-        return df.filter(F.lit(False)).select(
-            "*", F.lit(None).cast("long").alias("unit_id"), F.lit(None).cast("long").alias("offset"),
-            F.lit(None).cast("long").alias("reading_id"))
+    total = n_cycles if isinstance(n_cycles, Column) else F.lit(n_cycles)
+    per_unit = F.floor(total / F.lit(n_units)).cast("long")
     cyc = F.col(id_col)
-    idx = F.floor(cyc / F.lit(per_unit)).cast("long")
-    offset = F.pmod(cyc, F.lit(per_unit)).cast("long")
-    return df.filter((cyc >= 0) & (cyc < F.lit(per_unit * n_units))).select(
+    idx = F.floor(F.try_divide(cyc, per_unit)).cast("long")
+    offset = (cyc - idx * per_unit).cast("long")
+    return df.filter((cyc >= 0) & (cyc < per_unit * F.lit(n_units))).select(
         "*", (idx + F.lit(1)).alias("unit_id"), offset.alias("offset"),
-        (idx * F.lit(per_unit) + offset + F.lit(1)).alias("reading_id"))
+        (idx * per_unit + offset + F.lit(1)).alias("reading_id"))
 
 
 def add_clock(df: DataFrame, start: str = schema.START_TIMESTAMP,
@@ -113,14 +111,14 @@ def fleet_units(spark: SparkSession, n_units: int = schema.NUM_UNITS) -> DataFra
     return build_units(spark.range(n_units).withColumnRenamed("id", "unit_idx"))
 
 
-def to_readings(wide: DataFrame, n_cycles: int, n_units: int = schema.NUM_UNITS) -> DataFrame:
+def to_readings(wide: DataFrame, n_cycles: int | Column, n_units: int = schema.NUM_UNITS) -> DataFrame:
     """T5/T6 + T10/T11 on an assembled frame: the ``readings`` table."""
     blocks = add_clock(assign_blocks(metric_columns(wide), n_cycles, n_units))
     cols = []
     for f in schema.READINGS_SCHEMA.fields:
         cols.append((F.col(f.name) if f.name in blocks.columns
                      else F.lit(None)).cast(f.dataType).alias(f.name))
-    return blocks.select(*cols)
+    return C.without_nan(blocks.select(*cols))
 
 
 def transform(long_df: DataFrame, labels: DataFrame, n_cycles: int,

@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.joins import memo_fact, narrow_rows
-from fleetpulse.operators.ordinal import global_ordinal
-from fleetpulse.session import CHUNK_ROWS_KEY, conf_int, shuffle_partitions
+from fleetpulse.session import BUCKET_SECONDS_KEY, conf_int
 
-DEFAULT_CHUNK_ROWS = 1_000_000
-ORDINAL_ROWS_KEY = "fleetpulse.ordinal.rowsPerPartition"
-DEFAULT_ORDINAL_ROWS = 4_000_000
-
-
-def chunk_rows(df: DataFrame, override: int | None = None) -> int:
-    """Largest group one window/aggregate task may hold (``fleetpulse.window.chunkRows``)."""
-    return int(override or conf_int(df.sparkSession, CHUNK_ROWS_KEY, DEFAULT_CHUNK_ROWS))
-
-
-def hot_keys(df: DataFrame, key_cols, limit: int) -> DataFrame:
-    """(keys, _rows) of keys with more than ``limit`` rows (map-side partial count)."""
-    return df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rows")).filter(
-        F.col("_rows") > F.lit(limit))
-
-
-def range_tasks(df: DataFrame, rows: int, size: int | None = None) -> int:
-    """Range partitions for ordering ``rows`` rows, about ``size`` rows each
-    (``fleetpulse.ordinal.rowsPerPartition``: ~4 M narrow rows ≈ 150 MB)."""
-    size = size or conf_int(df.sparkSession, ORDINAL_ROWS_KEY, DEFAULT_ORDINAL_ROWS)
-    return max(shuffle_partitions(df.sparkSession), -(-int(rows) // int(size)))
+DEFAULT_BUCKET_SECONDS = 7 * 24 * 3600
 
 
 def _frame(partition_cols, order, rows: int) -> Window:
@@ -37,56 +15,50 @@ def _frame(partition_cols, order, rows: int) -> Window:
         -(rows - 1), Window.currentRow)
 
 
+def time_bucket(column: str, seconds: int) -> Column:
+    """Number of the ``seconds``-wide interval a time stamp falls in (NULL first)."""
+    since = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                             F.col(column).cast("timestamp_ntz"))
+    return F.coalesce(F.floor(since / F.lit(seconds)).cast("long"), F.lit(-(1 << 62)))
+
+
 def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
-                partition_col: str = "unit_id",
-                order_cols=("timestamp", "reading_id"),
-                chunk: int | None = None) -> DataFrame:
+                partition_col: str = "unit_id", order_cols=("timestamp", "reading_id"),
+                bucket_seconds: int | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS rows-1 PRECEDING)``.
 
-    A per-key count (one job, partial aggregation) finds keys with more than
-    ``chunk`` rows.  Other keys use the plain window.  Hot keys get the
-    chunked form: rows receive a dense global position ``g`` in (p, o) order
-    and are cut into chunks of ``chunk`` consecutive positions; the window
-    runs per (p, chunk) and each chunk also receives the last ``rows - 1`` rows
-    of the chunk before it (the halo), so a frame that starts in the previous
-    chunk is still complete.  A unit with billions of rows is thus spread over
-    many window tasks of bounded size instead of landing in one.
+    Rows are dealt by (p, time bucket) on the first order column, so a unit
+    with billions of rows is spread over many window tasks.  Each bucket also
+    gets the last ``rows - 1`` rows before it, taken from the buckets that end
+    before it, so a frame that starts earlier is whole.  The fact is shuffled
+    once; the carried rows are a few per unit and bucket.
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
-    size = max(chunk_rows(df, chunk), rows)
-    hot = hot_keys(df, [partition_col], size)
-    n_hot, hot_rows = memo_fact(hot, "count,rows", lambda: tuple(
-        hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()))
-    plain = _frame([partition_col], order_cols, rows)
-    if n_hot == 0:
-        return df.withColumn(out, F.avg(value_col).over(plain))
-    tasks = range_tasks(df, hot_rows)
-    if n_hot > narrow_rows(df):  # more hot keys than can be broadcast: all rows chunked
-        return _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size,
-                                    tasks)
-    hot = F.broadcast(hot.select(partition_col))
-    cold = df.join(hot, partition_col, "left_anti").withColumn(out, F.avg(value_col).over(plain))
-    warm = _chunked_moving_mean(df.join(hot, partition_col, "left_semi"), value_col, out, rows,
-                                partition_col, order_cols, size, tasks)
-    return cold.unionByName(warm)
-
-
-def _chunked_moving_mean(df, value_col, out, rows, partition_col, order_cols, size, tasks):
-    ranked = global_ordinal(df, [partition_col, *order_cols], "_g", tasks)
-    chunk = F.floor(F.col("_g") / F.lit(size)).cast("long")
-    home = ranked.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
-    halo = (
-        ranked.filter(F.pmod(F.col("_g"), F.lit(size)) >= F.lit(size - (rows - 1)))
-        .withColumn("_chunk", chunk + F.lit(1))
-        .withColumn("_halo", F.lit(True))
-    )
-    return (
-        home.unionByName(halo)
-        .withColumn(out, F.avg(value_col).over(_frame([partition_col, "_chunk"], ["_g"], rows)))
-        .filter(~F.col("_halo"))
-        .drop("_chunk", "_halo", "_g")
-    )
+    width = bucket_seconds or conf_int(df.sparkSession, BUCKET_SECONDS_KEY, DEFAULT_BUCKET_SECONDS)
+    # A struct: rows without a unit are one group here as in a plain window.
+    base = df.withColumns({"_unit": F.struct(F.col(partition_col).alias("k")),
+                           "_bucket": time_bucket(order_cols[0], width)})
+    keys, value = ["_unit", "_bucket"], F.struct(F.col(value_col).alias("v"))
+    framed = base.withColumn("_own", F.collect_list(value).over(_frame(keys, order_cols, rows)))
+    if rows > 1:
+        latest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
+        tails = (base.select(*keys, *order_cols, value.alias("_v"))
+                 .withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") < rows)
+                 .groupBy(*keys).agg(F.array_sort(F.collect_list(
+                     F.struct((-F.col("_back")).alias("at"), F.col("_v").alias("v")))).alias("_tail")))
+        before = Window.partitionBy("_unit").orderBy("_bucket").rowsBetween(-(rows - 1), -1)
+        carried = F.transform(F.flatten(F.collect_list("_tail").over(before)), lambda x: x["v"])
+        framed = framed.join(tails.select(*keys, carried.alias("_carried")), keys, "left")
+        whole = F.concat("_carried", "_own")
+    else:
+        whole = F.col("_own")
+    framed = framed.withColumn("_whole", whole)
+    last = F.slice("_whole", F.greatest(F.size("_whole") - rows, F.lit(0)) + 1, rows)
+    framed = framed.withColumn("_last", F.filter(last, lambda x: x["v"].isNotNull()))
+    total = F.aggregate("_last", F.lit(0.0), lambda a, x: a + x["v"].cast("double"))
+    mean = F.when(F.size("_last") > 0, total / F.size("_last"))
+    return framed.select(*df.columns, mean.alias(out))
 
 
 def moving_mean_bounded(df: DataFrame, value_col: str, out: str, rows: int = 4,

@@ -13,11 +13,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators import marts as D
+from fleetpulse.plans.runner import readings_enriched
 from fleetpulse.sources import standins as S
 
 M1_UNIT = "Customer#000000000"
@@ -47,6 +49,12 @@ def _readings_only(fleet, fn) -> Query:
     return run
 
 
+def _some_nan(readings: DataFrame) -> DataFrame:
+    """The readings with NaN for every 97th temperature."""
+    value = F.when(F.col("reading_id") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("avg_temp_c"))
+    return readings.withColumn("avg_temp_c", value)
+
+
 def analytics_queries() -> dict[str, Query]:
     """A1–A10 (canonical SQL forms) and the runner's shortened variants."""
     return {
@@ -68,6 +76,8 @@ def analytics_queries() -> dict[str, Query]:
         # A8
         "multi_fault_readings_topk": _m2(lambda r, u: A.multi_fault(r, u, top=10)),
         # A9 and its all-unit form
+        "zscore_anomalies_nan": _m1(lambda r, u: A.zscore_anomalies(_some_nan(r), u)),
+        "readings_enriched": _m1(readings_enriched),
         "moving_average_unit": _m1(lambda r, u: A.moving_average(r, u, M1_UNIT, top=20)),
         "moving_average_all_units": _m1(lambda r, u: A.moving_average(r, u)),
         # A10

@@ -9,23 +9,22 @@ one unit per supplier; E7 runs the constraint job on both stand-in fleets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators import quality as Q
-from fleetpulse.operators.joins import memo_fact
 from fleetpulse.operators import transform as T
+from fleetpulse.sources import matrix as M
 from fleetpulse.sources import standins as S
-from fleetpulse.sources.tables import read_table
 
 ODD_UNITS = 7  # a unit count that does not divide the cycles: remainder dropped
 
 
-def _n_cycles(spark: SparkSession, sf_dir: str) -> int:
-    m = S.embedding_matrix(spark, sf_dir)
-    return memo_fact(m, "count", m.count)
+def _n_cycles(spark: SparkSession, sf_dir: str) -> Column:
+    """The number of cycles, as a scalar subquery of the query that needs it."""
+    return S.embedding_matrix(spark, sf_dir).select(F.count(F.lit(1))).scalar()
 
 
 def matrix_cycle_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +66,22 @@ def cycle_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E5: the unit table (codes, cycled models and sites, install dates), one unit per supplier."""
-    idx = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("unit_idx"))
-    return T.build_units(idx)
+    """E5: the unit table of the lineitem fleet, from supplier, nation and region."""
+    return S.lineitem_units(spark, sf_dir)
+
+
+def text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 from raw text: matrices written as tab-delimited lines, read once, checked, assembled."""
+    staged = M.stage_sensor_set(spark, S.embedding_text(spark, sf_dir))
+    shape = M.matrix_shape(staged, expected=schema.SENSOR_NAMES + ["profile"])
+    return T.to_readings(T.assemble_cycles(staged, None), shape["n_cycles"])
+
+
+def text_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time stamps written as text and parsed again."""
+    text = S.events_readings(spark, sf_dir).select(
+        "reading_id", C.timestamp_text(F.date_trunc("second", "timestamp")).alias("text"))
+    return text.withColumn("timestamp", C.parse_timestamp("text").cast("timestamp_ntz"))
 
 
 def etl_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +111,8 @@ def etl_queries() -> dict:
         "cycle_assembly": cycle_assembly,
         "unit_dimension": unit_dimension,
         "etl_readings": etl_readings,
+        "text_readings": text_readings,
+        "text_timestamps": text_timestamps,
         "dq_constraints": dq_constraints_events,
         "dq_constraints_lineitem": dq_constraints_lineitem,
     }
@@ -118,6 +132,11 @@ MATRIX = ("m AS (SELECT vec_id AS cycle_id, CAST(embedding AS DOUBLE[]) AS s, "
           "CAST(label AS INTEGER) AS label FROM embeddings)")
 
 
+LABELS = ("label AS cooler_condition, CAST(100 - 9 * (cycle_id % 4) AS INTEGER) AS valve_condition, "
+          "CAST(cycle_id % 3 AS INTEGER) AS pump_leakage, CAST(90 + cycle_id % 5 AS INTEGER) AS accumulator_bar, "
+          "(cycle_id % 2 = 0) AS is_stable")
+
+
 def _blocks(n_units: int) -> str:
     return (MATRIX + f""",
 c AS (SELECT COUNT(*) // {n_units} AS cpu FROM embeddings),
@@ -157,9 +176,6 @@ def _dq(fleet_ctes: str) -> str:
 def etl_sql() -> dict:
     from fleetpulse.plans.oracle import M1, M2
 
-    models = ", ".join(f"'{m}'" for m in schema.MODELS)
-    regions = ", ".join(f"'{r}'" for r, _ in schema.SITES)
-    sites = ", ".join(f"'{s}'" for _, s in schema.SITES)
     temps = " + ".join(_slice(i) for i in range(4))
     metrics = ", ".join(
         _R(_slice(schema.SENSOR_NAMES.index(s)), k) + f" AS {name}"
@@ -167,8 +183,7 @@ def etl_sql() -> dict:
     readings_sql = (
         f"WITH {_blocks(schema.NUM_UNITS)}\n"
         f"SELECT reading_id, unit_id, \"timestamp\", {_R(f'({temps}) / 4', 2)} AS avg_temp_c, "
-        f"{metrics}, label AS cooler_condition, label AS valve_condition, label AS pump_leakage, "
-        "label AS accumulator_bar, (label = 0) AS is_stable FROM b")
+        f"{metrics}, " + LABELS + " FROM b")
     return {
         "matrix_cycle_means": f"WITH {MATRIX}\nSELECT cycle_id, {_R('list_avg(s)', 6)} AS mean FROM m",
         "block_assignment": f"WITH {_blocks(schema.NUM_UNITS)}\n"
@@ -183,14 +198,11 @@ def etl_sql() -> dict:
         "cycle_assembly": (
             f"WITH {MATRIX}\nSELECT cycle_id, "
             + ", ".join(_R(_slice(i), 6) + f" AS {n}" for i, n in enumerate(schema.SENSOR_NAMES))
-            + ", label AS cooler_condition, label AS valve_condition, label AS pump_leakage, "
-              "label AS accumulator_bar, (label = 0) AS is_stable FROM m"),
-        "unit_dimension": (
-            "SELECT s_suppkey + 1 AS unit_id, printf('CLR-%04d', s_suppkey + 1) AS unit_code, "
-            f"[{models}][s_suppkey % 4 + 1] AS model, [{regions}][s_suppkey % 10 + 1] AS region, "
-            f"[{sites}][s_suppkey % 10 + 1] AS site, "
-            "CAST(DATE '2024-01-01' - CAST(180 + 30 * s_suppkey AS INTEGER) AS DATE) AS install_date "
-            "FROM supplier"),
+            + ", " + LABELS + " FROM m"),
+        "unit_dimension": f"WITH {M2}\nSELECT * FROM units",
+        "text_readings": readings_sql,
+        "text_timestamps": f"WITH {M1}\nSELECT reading_id, strftime(date_trunc('second', \"timestamp\"), '%Y-%m-%d %H:%M:%S') AS text, "
+                           "CAST(date_trunc('second', \"timestamp\") AS TIMESTAMP) AS \"timestamp\" FROM readings",
         "etl_readings": readings_sql,
         "dq_constraints": _dq(M1),
         "dq_constraints_lineitem": _dq(M2),

@@ -74,11 +74,19 @@ units AS (
 
 JOIN = "FROM readings r JOIN units u ON r.unit_id = u.unit_id"
 FAIL = "CAST(SUM(CASE WHEN r.cooler_condition = 3 THEN 1 ELSE 0 END) AS BIGINT)"
-STATS = """unit_stats AS (
-  SELECT unit_id, AVG(avg_temp_c) AS mu, STDDEV_POP(avg_temp_c) AS sigma
-  FROM readings GROUP BY unit_id HAVING STDDEV_POP(avg_temp_c) > 0)"""
-ABSZ = "ABS(r.avg_temp_c - s.mu) / s.sigma"
-ZJOIN = JOIN + " JOIN unit_stats s ON r.unit_id = s.unit_id WHERE " + ABSZ + " > 2.0"
+# Anomalies from each unit's list of values, unnested again: NULL and NaN never
+# enter a list, so they can neither be scored nor move a unit's statistics.
+STATS = """scored AS (
+  SELECT unit_id, mu, sigma, unnest(items).i AS reading_id, unnest(items).v AS v
+  FROM (SELECT unit_id, list_avg(list_transform(items, lambda x: x.v)) AS mu,
+               list_stddev_pop(list_transform(items, lambda x: x.v)) AS sigma, items
+        FROM (SELECT unit_id, list({'i': reading_id, 'v': avg_temp_c}) FILTER (NOT isnan(avg_temp_c)) AS items
+              FROM readings GROUP BY unit_id) AS lists) AS measured
+  WHERE sigma > 0),
+hits AS (SELECT unit_id, reading_id, mu, sigma, (v - mu) / sigma AS z, abs(v - mu) / sigma AS absz
+         FROM scored WHERE abs(v - mu) / sigma > 2.0)"""
+ABSZ = "s.absz"
+ZJOIN = JOIN + " JOIN hits s ON r.unit_id = s.unit_id AND r.reading_id = s.reading_id"
 MOVING = ("AVG(r.avg_temp_c) OVER (PARTITION BY r.unit_id ORDER BY r.\"timestamp\", r.reading_id "
           "ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)")
 
@@ -189,6 +197,9 @@ def analytics_sql() -> dict[str, str]:
             + R("AVG(avg_temp_c)", 2) + " AS avg_temp, " + R("AVG(motor_power_w)", 1)
             + " AS avg_power, " + R("AVG(cooling_efficiency_pct)", 1)
             + " AS avg_efficiency FROM readings GROUP BY 1 ORDER BY 1")),
+        "zscore_anomalies_nan": w(M1.replace("value AS avg_temp_c", "CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS avg_temp_c"),
+                                  _zscore(None, True), STATS),
+        "readings_enriched": w(M1, f"SELECT r.*, u.unit_code, u.model, u.region, u.site {JOIN}"),
         "zscore_anomalies_topk": w(M1, _zscore(15, False), STATS),
         "condition_power_profile": w(M2, (
             "SELECT cooler_condition, " + R("AVG(motor_power_w)", 1) + " AS avg_power_w, "

@@ -1,120 +1,92 @@
 """Batch runner and SQL surface.
 
-* ``register_views`` exposes ``readings``, ``units`` and ``readings_enriched``
-  (readings joined with four unit attributes) as temporary views, so SQL text
-  written against the two-table schema runs through ``spark.sql`` (S8).
-* ``run_batch`` runs (title, query) pairs in order and prints each result, or
-  "(no results)" when it is empty (S14).  Only a bounded number of rows per
-  result is brought to the driver for printing.
+* ``readings_enriched`` is the readings joined with four unit attributes (S7);
+  ``register_views`` exposes it and the two tables as temporary views, and
+  ``load_query`` runs SQL text over given frames without naming any view (S8).
+* ``run_batch`` runs named queries in order, writes each result in full as
+  Parquet and returns its true row count (S14).  Nothing is brought to the
+  driver.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetpulse.operators.joins import attach_units
 
+Report = Callable[[], DataFrame]
+
 
 def readings_enriched(readings: DataFrame, units: DataFrame) -> DataFrame:
-    """``SELECT r.*, u.unit_code, u.model, u.region, u.site`` (inner join)."""
+    """Every reading of a known unit, with the unit's code, model, region and site."""
     return attach_units(readings, units).select(
         *readings.columns, "unit_code", "model", "region", "site")
 
 
-def register_views(spark: SparkSession, readings: DataFrame, units: DataFrame) -> None:
-    readings.createOrReplaceTempView("readings")
-    units.createOrReplaceTempView("units")
-    readings_enriched(readings, units).createOrReplaceTempView("readings_enriched")
-
-
-def load_query(spark: SparkSession, sql: str) -> DataFrame:
-    """SQL text → DataFrame (lazy; Catalyst plans it like the DataFrame form)."""
-    return spark.sql(sql)
-
-
-def run_batch(items: Iterable[tuple[str, Callable[[], DataFrame] | DataFrame]],
-              max_rows: int = 1000, out=print) -> dict[str, int]:
-    """Run each query, print its rows (at most ``max_rows``), return row counts shown."""
-    shown = {}
-    for title, query in items:
-        df = query() if callable(query) else query
-        out("=" * 60)
-        out(f"  {title}")
-        out("=" * 60)
-        rows = df.take(max_rows + 1)
-        if not rows:
-            out("  (no results)")
-            shown[title] = 0
-            continue
-        cols = df.columns
-        widths = [max(len(c), *(len(str(r[i])) for r in rows[:max_rows])) for i, c in enumerate(cols)]
-        out("  ".join(c.ljust(w) for c, w in zip(cols, widths)))
-        out("  ".join("-" * w for w in widths))
-        for r in rows[:max_rows]:
-            out("  ".join(str(v).ljust(w) for v, w in zip(r, widths)))
-        more = " (more not shown)" if len(rows) > max_rows else ""
-        out(f"({min(len(rows), max_rows)} rows{more})")
-        shown[title] = min(len(rows), max_rows)
-    return shown
-
-
-def reference_reports(readings: DataFrame, units: DataFrame, unit_code: str = "CLR-0001"):
-    """The runner's seven reports on real ``readings``/``units`` tables, with the
-    original parameters (top 5 / top 10 / 15 rows, the first unit's code)."""
+def register_views(spark: SparkSession, readings: DataFrame, units: DataFrame, prefix: str = "") -> None:
+    """Temporary views ``readings``, ``units`` and ``readings_enriched`` (after ``prefix``)."""
+    readings.createOrReplaceTempView(f"{prefix}readings")
+    units.createOrReplaceTempView(f"{prefix}units")
+    readings_enriched(readings, units).createOrReplaceTempView(f"{prefix}readings_enriched")
+
+
+def load_query(spark: SparkSession, sql: str, args: Mapping | None = None, **frames: DataFrame) -> DataFrame:
+    """SQL text over ``frames``, named in braces; the session's views stay as they are."""
+    return spark.sql(sql, args=dict(args) if args else None, **frames)
+
+
+def run_batch(reports: Mapping[str, Report], out_dir: str) -> dict[str, int]:
+    """Write each report's whole result to ``<out_dir>/<name>``; its rows by name."""
+    rows = {}
+    for name, report in reports.items():
+        df, path = report(), f"{out_dir.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        rows[name] = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    return rows
+
+
+def table_reports(readings: DataFrame, units: DataFrame, unit_code: str = "CLR-0001") -> dict[str, Report]:
+    """The runner's reports on ``readings`` / ``units`` tables, with the original parameters."""
     from fleetpulse import schema
     from fleetpulse.operators import analytics as A
 
     temps = A.TEMPERATURE_STATS
-    return [
-        ("Fleet Overview by Region",
-         A.fleet_overview_by_region(readings, units, A.OVERVIEW_METRICS[:2])),
-        ("Cooler Condition Distribution", A.condition_breakdown(readings, schema.LABELS_SHORT)),
-        ("Worst Units (maintenance candidates)", A.rank_units(readings, units, k=5, with_site=False)),
-        ("Healthy vs Degraded: Temperature & Power",
-         A.condition_profile(readings, [temps[0], temps[1], temps[4]], schema.LABELS_STATUS,
-                             else_label="Failing", label_name="status")),
-        ("Temperature Anomalies (Z-score > 2)", A.zscore_anomalies(readings, units, top=10)),
-        ("Site Failure Rate", A.site_failure_summary(readings, units, with_condition=False)),
-        ("Moving Average: first unit temperature (window function)",
-         A.moving_average(readings, units, unit_code, top=15)),
-    ]
-
-
-RUNNER_TITLES = [
-    ("Fleet Overview by Region", "run_fleet_overview"),
-    ("Cooler Condition Distribution", "run_condition_distribution"),
-    ("Worst Units (maintenance candidates)", "run_worst_units"),
-    ("Healthy vs Degraded: Temperature & Power", "run_healthy_vs_degraded"),
-    ("Temperature Anomalies (Z-score > 2)", "run_zscore_anomalies"),
-    ("Site Failure Rate", "run_site_failure_rate"),
-    ("Moving Average: first unit temperature (window function)", "run_moving_average"),
-]
+    return {
+        "run_fleet_overview": lambda: A.fleet_overview_by_region(readings, units, A.OVERVIEW_METRICS[:2]),
+        "run_condition_distribution": lambda: A.condition_breakdown(readings, schema.LABELS_SHORT),
+        "run_worst_units": lambda: A.rank_units(readings, units, k=5, with_site=False),
+        "run_healthy_vs_degraded": lambda: A.condition_profile(
+            readings, [temps[0], temps[1], temps[4]], schema.LABELS_STATUS, else_label="Failing", label_name="status"),
+        "run_zscore_anomalies": lambda: A.zscore_anomalies(readings, units, top=10),
+        "run_site_failure_rate": lambda: A.site_failure_summary(readings, units, with_condition=False),
+        "run_moving_average": lambda: A.moving_average(readings, units, unit_code, top=15),
+    }
 
 
 def main(argv=None) -> int:
     from fleetpulse.plans.catalog import all_queries
     from fleetpulse.session import get_spark
 
-    ap = argparse.ArgumentParser(description="Run the analysis batch on a table directory.")
-    ap.add_argument("sf_dir", help="directory holding the <table>.parquet files, or with "
-                                   "--tables the root written by the ETL")
-    ap.add_argument("--tables", action="store_true",
-                    help="sf_dir is an ETL output root (units/, readings/)")
+    ap = argparse.ArgumentParser(description="Write the analysis reports of a table directory.")
+    ap.add_argument("sf_dir", help="folder of <table>.parquet files, or with --tables an ETL output root")
+    ap.add_argument("out_dir", help="folder that gets one Parquet table per report")
+    ap.add_argument("--tables", action="store_true", help="sf_dir is an ETL output root")
     ap.add_argument("--master", default=None)
-    ap.add_argument("--all", action="store_true", help="run every catalogue query")
+    ap.add_argument("--all", action="store_true", help="every catalogue query")
     args = ap.parse_args(argv)
     spark = get_spark(args.master)
     if args.tables:
         from fleetpulse.operators.sink import read_tables
 
-        run_batch(reference_reports(*read_tables(spark, args.sf_dir)))
-        return 0
-    qs = all_queries()
-    items = ([(n, n) for n in qs] if args.all else RUNNER_TITLES)
-    run_batch([(title, (lambda n=name: qs[n](spark, args.sf_dir))) for title, name in items])
+        reports = table_reports(*read_tables(spark, args.sf_dir))
+    else:
+        names = [n for n in all_queries() if args.all or n.startswith("run_")]
+        reports = {n: (lambda n=n: all_queries()[n](spark, args.sf_dir)) for n in names}
+    print(json.dumps(run_batch(reports, args.out_dir)))
     return 0
 
 

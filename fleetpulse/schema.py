@@ -37,16 +37,6 @@ READINGS_SCHEMA = T.StructType(
 
 READING_COLUMNS = [f.name for f in READINGS_SCHEMA.fields]
 UNIT_COLUMNS = [f.name for f in UNITS_SCHEMA.fields]
-METRIC_COLUMNS = [
-    "avg_temp_c",
-    "pressure_bar",
-    "motor_power_w",
-    "vibration_mm_s",
-    "cooling_efficiency_pct",
-    "cooling_power_kw",
-    "flow_rate_l_min",
-]
-LABEL_COLUMNS = ["cooler_condition", "valve_condition", "pump_leakage", "accumulator_bar"]
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for equal results.
@@ -107,7 +97,7 @@ SITES = [
 MODELS = ["SC-500", "DC-800", "OD-1200", "MC-300"]
 
 # Cooler condition levels and the label sets used by the reports.
-FULL, REDUCED, FAILING = 100, 20, 3
+FAILING = 3
 LABELS_EFFICIENCY = {100: "Full efficiency", 20: "Reduced efficiency", 3: "Near failure"}
 LABELS_SHORT = {100: "Full", 20: "Reduced", 3: "Failing"}
 LABELS_GROUP = {100: "Healthy (100%)", 20: "Reduced (20%)", 3: "Failing (3%)"}

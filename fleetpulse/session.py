@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -20,13 +20,16 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-BROADCAST_ROWS_KEY = "fleetpulse.broadcast.maxRows"
-CHUNK_ROWS_KEY = "fleetpulse.window.chunkRows"
+BROADCAST_BYTES_KEY = "fleetpulse.broadcast.maxBytes"
+BUCKET_SECONDS_KEY = "fleetpulse.window.bucketSeconds"
 
 
 def get_spark(master: str | None = None, app: str = "fleetpulse",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Return the active session, or build one with the defaults above."""
+    """Return the active session as it is, or build one with the defaults above."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -34,12 +37,7 @@ def get_spark(master: str | None = None, app: str = "fleetpulse",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.config(map=conf).getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -58,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
     local = tempfile.mkdtemp(prefix="fleetpulse-ckpt-")
@@ -77,9 +75,22 @@ def materialize(df, label: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/fleetpulse-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    # Stages last as long as the application that may still read them.
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.parquet(path)
 
 
+def temporary_folder(spark, label: str) -> str:
+    """A new folder under the checkpoint directory, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetpulse-{label}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop)
+    fs.deleteOnExit(hadoop)
+    return path
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value not in (None, "") else default
@@ -87,8 +98,3 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return conf_int(spark, "spark.sql.shuffle.partitions", 200)
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default

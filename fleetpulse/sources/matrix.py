@@ -20,7 +20,6 @@ raises (ANSI cast), rows of different widths raise.
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,26 +27,17 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.operators.joins import join_small
+from fleetpulse.sources.tables import path_exists
 
 
 class MatrixError(ValueError):
     """A raw matrix is missing, ragged, or inconsistent with the others."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", "", 1))
-    try:
-        spark.read.text(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def require_inputs(spark: SparkSession, raw_dir: str, files) -> list[str]:
     """Every input must exist before any job starts."""
     paths = [f"{raw_dir.rstrip('/')}/{f}" for f in files]
-    missing = [p for p in paths if not _exists(spark, p)]
+    missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Missing: {', '.join(missing)}")
     return paths

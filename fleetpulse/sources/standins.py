@@ -13,53 +13,16 @@ query does not use and pushes its filters into the Parquet reader.
 
 from __future__ import annotations
 
-import functools
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.joins import join_small
+from fleetpulse.session import temporary_folder
 from fleetpulse.sources.tables import read_table
 
 
-_PLANS: dict = {}
-
-
-def _stamp(sf_dir: str, tables) -> tuple | None:
-    """Modification times of the tables behind a view (local paths only)."""
-    stamps = []
-    for t in tables:
-        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if not os.path.exists(path):
-            return None
-        stamps.append((t, os.stat(path).st_mtime_ns))
-    return tuple(stamps)
-
-
-def reused(*tables):
-    """Build a view's lazy plan once per session, directory and table version.
-
-    Only the (lazy) DataFrame is kept — no data — so later queries skip the
-    driver-side work of footer reads and analysis.  A changed table (new
-    modification time) or a non-local path builds afresh.
-    """
-    def wrap(fn):
-        @functools.wraps(fn)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            stamp = _stamp(sf_dir, tables)
-            if stamp is None:
-                return fn(spark, sf_dir)
-            key = (fn.__name__, id(spark), spark.sparkContext.applicationId, sf_dir, stamp)
-            if key not in _PLANS:
-                _PLANS[key] = fn(spark, sf_dir)
-            return _PLANS[key]
-        return run
-    return wrap
-
-
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region → (nationkey, region, site); 25 rows in TPC-H at any scale."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -82,12 +45,11 @@ def _units(base: DataFrame, geo: DataFrame, key: str, name: str, model, nation:
 
 
 # --------------------------------------------------------------------------- M1
-@reused("events")
 def events_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     k = F.regexp_extract("props", r"(\d+)", 1).try_cast("double")
     eid = F.col("event_id")
-    return ev.select(
+    return C.without_nan(ev.select(
         eid.alias("reading_id"),
         F.col("user_id").alias("unit_id"),
         F.col("ts").cast("timestamp_ntz").alias("timestamp"),
@@ -104,10 +66,9 @@ def events_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (eid % 3).cast("int").alias("pump_leakage"),
         (F.lit(90) + eid % 4).cast("int").alias("accumulator_bar"),
         ((eid % 2) == 0).alias("is_stable"),
-    )
+    ))
 
 
-@reused("customer", "nation", "region")
 def events_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
@@ -116,11 +77,10 @@ def events_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M2
-@reused("lineitem")
 def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     null_double = F.lit(None).cast("double")
-    return li.select(
+    return C.without_nan(li.select(
         # Not unique: (l_orderkey, l_linenumber) repeats in this data set.
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("reading_id"),
         F.col("l_suppkey").alias("unit_id"),
@@ -138,10 +98,9 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") > 0.03, 1).otherwise(0).cast("int").alias("pump_leakage"),
         F.col("l_linenumber").cast("int").alias("accumulator_bar"),
         F.lit(None).cast("boolean").alias("is_stable"),
-    )
+    ))
 
 
-@reused("supplier", "nation", "region")
 def lineitem_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     model = F.concat(F.lit("M-"), F.pmod(F.col("s_suppkey"), F.lit(4)).cast("string"))
@@ -155,7 +114,6 @@ M3_WIDTHS = [5, 6, 7, 8, 6, 7, 5, 6, 7, 7]
 M3_STARTS = [sum(M3_WIDTHS[:i]) for i in range(len(M3_WIDTHS))]
 
 
-@reused("embeddings")
 def embedding_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cycle_id, samples ARRAY<DOUBLE>, label INT) from ``embeddings``."""
     emb = read_table(spark, sf_dir, "embeddings")
@@ -178,6 +136,25 @@ def embedding_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(cycle_id, labels ARRAY<INT>): the one label repeated into five columns."""
+    """(cycle_id, labels ARRAY<INT>): the label and four other columns that all differ."""
     m = embedding_matrix(spark, sf_dir)
-    return m.select("cycle_id", F.array_repeat(F.col("label"), 5).alias("labels"))
+    cycle = F.col("cycle_id")
+    others = [F.lit(100) - F.lit(9) * (cycle % 4), cycle % 3, F.lit(90) + cycle % 5, cycle % 2]
+    return m.select("cycle_id", F.array("label", *[c.cast("int") for c in others]).alias("labels"))
+
+
+def embedding_text(spark: SparkSession, sf_dir: str) -> str:
+    """M3 as raw text: a tab-delimited matrix per sensor and one of labels, lines in cycle order.
+
+    Label values are written with a fraction, which reading truncates.
+    """
+    root = temporary_folder(spark, "raw-text")
+    files = {name: file for file, name in schema.SENSOR_FILES}
+    samples = embedding_sensors(spark, sf_dir)
+    rows = {files[name]: samples.filter(F.col("sensor") == name) for name in schema.SENSOR_NAMES}
+    rows[schema.LABEL_FILE] = embedding_labels(spark, sf_dir).select(
+        "cycle_id", F.transform("labels", lambda x: x + F.lit(0.25)).alias("samples"))
+    for file, matrix in rows.items():
+        line = F.array_join(F.transform("samples", lambda x: x.cast("string")), "\t")
+        matrix.orderBy("cycle_id").select(line).write.text(f"{root}/{file}")
+    return root

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,16 +15,15 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` is a readable Parquet location.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system (the default one for paths without a scheme) has ``path``.
 
-    Local paths are checked on the file system; other schemes by asking Spark
-    for the schema, which reads only footers.
+    Errors other than absence, such as a missing permission, are raised.
     """
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", "", 1))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - footer read only
-        return True
-    except Exception:  # noqa: BLE001 - any failure means "not there"
-        return False
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table's file or folder is there."""
+    return path_exists(spark, path)

@@ -6,7 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -19,12 +18,22 @@ def spark():
 
 
 @pytest.fixture
-def chunk_rows(spark):
-    """Temporarily lower the per-task group bound to force the chunked paths."""
-    from fleetpulse.session import CHUNK_ROWS_KEY
+def bucket_minutes(spark):
+    """Temporarily narrow the time buckets of the moving average."""
+    from fleetpulse.session import BUCKET_SECONDS_KEY
 
     def set_(n):
-        spark.conf.set(CHUNK_ROWS_KEY, str(n))
+        spark.conf.set(BUCKET_SECONDS_KEY, str(60 * n))
 
     yield set_
-    spark.conf.unset(CHUNK_ROWS_KEY)
+    spark.conf.unset(BUCKET_SECONDS_KEY)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """No side passes the size check."""
+    from fleetpulse.session import BROADCAST_BYTES_KEY
+
+    spark.conf.set(BROADCAST_BYTES_KEY, "0")
+    yield
+    spark.conf.unset(BROADCAST_BYTES_KEY)

@@ -7,7 +7,7 @@ from fleet_fixtures import frames, reading, unit
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators import marts as D
 from fleetpulse.operators import quality as Q
-from fleetpulse.operators.windows import moving_mean
+from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 
 def series(uid, temps, start_id=0, cond=100):
@@ -111,33 +111,41 @@ def test_ties_are_ordered_by_id(spark):
     assert got == [9.0, 1.0, 2.0]
 
 
-def test_moving_mean_chunked_equals_plain(spark, chunk_rows):
+def plain_mean(r, rows=4):
+    return {x.reading_id: x.mv for x in moving_mean_bounded(r, "avg_temp_c", "mv", rows).collect()}
+
+
+def test_moving_mean_in_buckets_equals_plain(spark, bucket_minutes):
     import random
 
     rnd = random.Random(7)
     rows = []
     for uid, n in [(1, 230), (2, 3), (3, 57)]:
-        rows += series(uid, [rnd.uniform(0, 50) for _ in range(n)], uid * 1000)
+        rows += series(uid, [rnd.uniform(0, 50) if rnd.random() < 0.9 else None for _ in range(n)], uid * 1000)
+    rows += [reading(9000 + k, None, 15 * k, float(k)) for k in range(6)]  # a group of readings without a unit
     r, _ = frames(spark, rows, [unit(1), unit(2), unit(3)])
-    plain = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv").collect()}
-    for size in (4, 10, 50):
-        chunk_rows(size)
-        chunked = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv").collect()}
-        assert chunked.keys() == plain.keys()
-        assert all(abs(chunked[k] - plain[k]) < 1e-9 for k in plain)
+    for minutes in (10, 40, 300, 100_000):
+        bucket_minutes(minutes)
+        for n in (1, 2, 4, 9):
+            found = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv", n).collect()}
+            assert found == plain_mean(r, n)
 
 
-def test_box_summary_ranked_equals_small(spark, chunk_rows):
+def test_quartiles_at_forced_small_buckets(spark, monkeypatch):
     import random
 
+    from fleetpulse.operators import distribution
+
     rnd = random.Random(3)
-    rows = [reading(i, 1, i, float(rnd.randint(0, 40)), rnd.choice([100, 20, 3, None]))
-            for i in range(400)]
+    rows = [reading(i, 1, i, rnd.choice([float(rnd.randint(0, 40)), 10 ** rnd.uniform(-9, 9)]), rnd.choice([100, 20, 3, None]))
+            for i in range(400)] + [reading(1000, 1, 5, float("nan"), 3), reading(1001, 1, 5, None, 3)]
     r, u = frames(spark, rows, [unit(1)])
-    small = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
-    chunk_rows(20)
-    ranked = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
-    assert small == ranked and len(small) == 8
+    wide = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
+    for buckets, rounds in ((2, 1), (3, 4), (64, 1)):
+        monkeypatch.setattr(distribution, "BUCKETS", buckets)
+        monkeypatch.setattr(distribution, "ROUNDS", rounds)
+        assert sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str) == wide
+    assert len(wide) == 8
 
 
 # ------------------------------------------------------------------- properties
@@ -188,24 +196,79 @@ def test_v9_text_timestamps_strict_and_tolerant(spark):
     assert good.select(C.hour_of_day("ts")).first()[0] == 3
 
 
-def test_batch_runner_and_sql_views(spark):
+def test_batch_runner_and_sql_views(spark, tmp_path):
     from fleetpulse.plans.runner import load_query, register_views, run_batch
 
     rows = series(1, [1.0, 2.0], 0, 3) + series(2, [3.0], 10, 100)
     r, u = frames(spark, rows, [unit(1), unit(2, region="Dunedin")])
-    register_views(spark, r, u)
-    enriched = load_query(spark, "SELECT unit_code, region, avg_temp_c FROM readings_enriched")
+    spark.range(1).createOrReplaceTempView("readings")  # a view of the user's
+    register_views(spark, r, u, prefix="fleet_")
+    enriched = load_query(spark, "SELECT unit_code, region, avg_temp_c FROM fleet_readings_enriched")
     assert sorted(map(tuple, enriched.collect())) == [
         ("CLR-0001", "Auckland", 1.0), ("CLR-0001", "Auckland", 2.0), ("CLR-0002", "Dunedin", 3.0)]
-    lines = []
-    shown = run_batch([("regions", lambda: A.fleet_overview_by_region(r, u)),
-                       ("nothing", r.filter(F.lit(False)))], out=lines.append)
-    assert shown == {"regions": 2, "nothing": 0}
-    assert "  (no results)" in lines and any(line.startswith("Auckland") for line in lines)
+    assert load_query(spark, "SELECT count(1) FROM {readings} WHERE unit_id = :u", {"u": 1}, readings=r).first()[0] == 2
+    assert spark.table("readings").columns == ["id"]
+    many = spark.range(1500).withColumnRenamed("id", "n")
+    counts = run_batch({"regions": lambda: A.fleet_overview_by_region(r, u), "nothing": lambda: r.filter(F.lit(False)),
+                        "many": lambda: many}, str(tmp_path))
+    assert counts == {"regions": 2, "nothing": 0, "many": 1500}
+    assert spark.read.parquet(f"{tmp_path}/many").distinct().count() == 1500
+
+
+def test_replaced_tables_give_new_answers(spark, tmp_path):
+    """Nothing about a table is remembered between queries."""
+    from fleetpulse.operators.transform import assign_blocks
+
+    def ask():
+        r, u = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("readings", "units"))
+        cycles = spark.read.parquet(f"{tmp_path}/cycles.parquet")
+        blocks = assign_blocks(cycles, cycles.select(F.count(F.lit(1))).scalar(), 2)
+        return ([x.temp_c for x in A.moving_average(r, u, "CLR-0001", top=5).collect()],
+                [x.avg_temp_c for x in D.unit_raw_readings(r, u, "CLR-0001").collect()],
+                D.unit_kpis(r, u, "CLR-0001").first().total_readings, D.unit_drilldown_series(r, u, "CLR-0001").count(),
+                blocks.count())
+
+    def put(units, n):
+        r, u = frames(spark, series(1, [1.0, 1.0], 0) + series(2, [7.0], 10), units)
+        for name, df in (("readings", r), ("units", u), ("cycles", spark.range(n).withColumnRenamed("id", "cycle_id"))):
+            df.coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/{name}.parquet")
+
+    put([unit(1)], 5)
+    assert ask() == ([1.0, 1.0], [1.0, 1.0], 2, 2, 4)
+    put([unit(2) | {"unit_code": "CLR-0001"}], 9)
+    assert ask() == ([7.0], [7.0], 1, 1, 8)
+
+
+def test_nan_readings_are_no_readings(spark):
+    rows = series(1, [10.0, 11.0, 9.0, 10.0, 11.0, 9.0, 10.0, 40.0], 0) + [reading(99, 1, 500, float("nan"))]
+    r, u = frames(spark, rows, [unit(1)])
+    assert [x.temp_c for x in A.zscore_anomalies(r, u).collect()] == [40.0]
+    assert A.anomaly_kpis(r, u).first().anomalous_readings == 1
+    from fleetpulse.functions.columns import without_nan
+
+    assert A.fleet_overview_by_region(without_nan(r), u).first().avg_temp == 13.8
+
+
+def test_salted_statistics_join(spark, no_broadcast):
+    import random
+
+    rnd = random.Random(11)
+    rows = [reading(i, 1 if i % 3 else 1 + i % 40, i, rnd.gauss(20, 3)) for i in range(900)]
+    r, u = frames(spark, rows, [unit(k) for k in range(1, 41)])
+    salted = sorted(map(tuple, A.zscore_anomalies(r, u).collect()), key=str)
+    assert "_salt" in A.zscore_anomalies(r, u)._jdf.queryExecution().toString()
+    spark.conf.unset("fleetpulse.broadcast.maxBytes")
+    import numpy as np
+
+    want = 0
+    for k in range(1, 41):
+        v = np.array([x["avg_temp_c"] for x in rows if x["unit_id"] == k])
+        want += int((abs(v - v.mean()) > 2 * v.std()).sum()) if len(v) and v.std() > 0 else 0
+    assert len(salted) == want > 10
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_box_summary_against_numpy(spark, chunk_rows, seed):
+def test_box_summary_against_numpy(spark, seed):
     import random
 
     import numpy as np
@@ -216,9 +279,7 @@ def test_box_summary_against_numpy(spark, chunk_rows, seed):
             for i in range(700)]
     r, u = frames(spark, rows, [unit(1)])
     labels = {100: "Healthy", 20: "Reduced", 3: "Failing"}
-    for bound in (None, 25):
-        if bound:
-            chunk_rows(bound)
+    for bound in (None,):
         got = {(x.condition_label, x.metric): x for x in D.box_summary_by_condition(r, u).collect()}
         for cond, label in labels.items():
             for metric in ("avg_temp_c", "motor_power_w"):
@@ -231,28 +292,3 @@ def test_box_summary_against_numpy(spark, chunk_rows, seed):
                 for name, want in [("min", v.min()), ("q1", q1), ("median", med), ("q3", q3),
                                    ("max", v.max())]:
                     assert getattr(g, name) == pytest.approx(want, abs=1e-6), (bound, name)
-
-
-def test_chunked_paths_without_broadcasts(spark, chunk_rows):
-    """Hot keys beyond the broadcast bound (all rows chunked) and the ranked
-    quartiles with shuffle joins give the same answers as the plain forms."""
-    import random
-
-    rnd = random.Random(5)
-    rows = [reading(i, 1 + i % 3, i, float(rnd.randint(0, 30)), rnd.choice([100, 20, 3]))
-            for i in range(240)]
-    r, u = frames(spark, rows, [unit(1), unit(2), unit(3)])
-    plain_mv = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv").collect()}
-    plain_box = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
-    keys = ["fleetpulse.broadcast.maxRows", "fleetpulse.broadcast.maxNarrowRows"]
-    for key in keys:
-        spark.conf.set(key, "1")
-    try:
-        chunk_rows(15)
-        mv = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv").collect()}
-        box = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
-    finally:
-        for key in keys:
-            spark.conf.unset(key)
-    assert mv.keys() == plain_mv.keys() and all(abs(mv[k] - plain_mv[k]) < 1e-9 for k in mv)
-    assert box == plain_box

@@ -210,37 +210,69 @@ def test_etl_job_end_to_end(spark, tmp_path):
     counts = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
     assert counts == {"units": 20, "readings": 2200, "cycles": 2205, "dropped_cycles": 5}
     units, readings = sink.read_tables(spark, str(tmp_path / "db"))
-    dates = {r[0] for r in spark.read.parquet(str(tmp_path / "db" / "readings"))
+    dates = {r[0] for r in spark.read.parquet(sink.readings_path(spark, str(tmp_path / "db")))
              .select("reading_date").distinct().collect()}
     assert dates == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
     assert readings.filter(F.col("unit_id") == 7).count() == 110
 
 
-def test_reference_workflow_on_written_tables(spark, golden):
+def test_reports_on_written_tables(spark, golden, tmp_path):
     """ETL output → the runner's seven reports with the original parameters."""
-    from fleetpulse.plans.runner import reference_reports, run_batch
+    from fleetpulse.plans.runner import run_batch, table_reports
 
     _, _, units, readings = golden
-    reports = dict(reference_reports(readings, units))
-    regions = {r.region: (r.units, r.readings) for r in reports["Fleet Overview by Region"].collect()}
+    counts = run_batch(table_reports(readings, units), str(tmp_path))
+    reports = {name: spark.read.parquet(f"{tmp_path}/{name}") if n else None for name, n in counts.items()}
+    regions = {r.region: (r.units, r.readings) for r in reports["run_fleet_overview"].collect()}
     assert regions == {"Auckland": (6, 660), "Wellington": (4, 440), "Christchurch": (4, 440),
                        "Hamilton": (4, 440), "Dunedin": (2, 220)}
-    dist = {r.condition_pct: r.reading_count
-            for r in reports["Cooler Condition Distribution"].collect()}
+    dist = {r.condition_pct: r.reading_count for r in reports["run_condition_distribution"].collect()}
     assert sum(dist.values()) == 2200 and set(dist) == {100, 20, 3}
-    mv = reports["Moving Average: first unit temperature (window function)"].collect()
+    mv = sorted(reports["run_moving_average"].collect(), key=lambda r: r.timestamp)
     assert len(mv) == 15 and {r.unit_code for r in mv} == {"CLR-0001"}
-    assert mv[3].temp_moving_avg == pytest.approx(round(sum(r.temp_c for r in mv[:4]) / 4, 2),
-                                                  abs=0.011)
-    assert len(reports["Worst Units (maintenance candidates)"].collect()) == 5
-    sites = reports["Site Failure Rate"].collect()
+    assert mv[3].temp_moving_avg == pytest.approx(round(sum(r.temp_c for r in mv[:4]) / 4, 2), abs=0.011)
+    sites = reports["run_site_failure_rate"].collect()
     assert len(sites) == 10 and sum(r.failure_readings for r in sites) == dist[3]
     # Temperatures rise linearly inside each unit: a uniform ramp never passes |z| = 2.
-    assert reports["Temperature Anomalies (Z-score > 2)"].count() == 0
-    lines = []
-    run_batch(reference_reports(readings, units), out=lines.append)
-    assert sum(line.startswith("(") and "rows" in line for line in lines) == 6
-    assert lines.count("  (no results)") == 1
+    assert counts["run_zscore_anomalies"] == 0 and counts["run_worst_units"] == 5
+
+
+def test_failed_load_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    """A fault between the tables, or a count that is off, changes nothing that readers see."""
+    from fleetpulse.plans.etl_job import run_etl
+
+    db = str(tmp_path / "db")
+    write_matrices(str(tmp_path / "raw"), 40)
+    run_etl(spark, str(tmp_path / "raw"), db)
+    write_matrices(str(tmp_path / "more"), 80)
+
+    def broken(*_):
+        raise RuntimeError("fault")
+
+    with monkeypatch.context() as m:
+        m.setattr(sink, "assert_constraints", broken)
+        with pytest.raises(RuntimeError):
+            run_etl(spark, str(tmp_path / "more"), db)
+    units, readings = sink.read_tables(spark, db)
+    assert sink.loaded_counts(spark, db) == {"units": 20, "readings": 40}
+    with pytest.raises(sink.LoadError):
+        sink.write_tables(units, readings.limit(39), db, expected_rows=40)
+    assert sink.loaded_counts(spark, db) == {"units": 20, "readings": 40}
+    for _ in range(3):
+        run_etl(spark, str(tmp_path / "more"), db)
+    assert sink.loaded_counts(spark, db) == {"units": 20, "readings": 80}
+    assert len(os.listdir(os.path.join(db, "versions"))) == 2
+
+
+def test_empty_load_reads_back_empty(spark, tmp_path):
+    from fleetpulse.plans.etl_job import run_etl
+
+    write_matrices(str(tmp_path / "raw"), 7)
+    counts = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
+    assert counts == {"units": 20, "readings": 0, "cycles": 7, "dropped_cycles": 7}
+    units, readings = sink.read_tables(spark, str(tmp_path / "db"))
+    assert units.count() == 20 and readings.collect() == []
+    assert [f.name for f in readings.schema] == [f.name for f in schema.READINGS_SCHEMA]
 
 
 def test_empty_sensor_file_raises(spark, tmp_path):
@@ -274,13 +306,10 @@ def test_stages_land_under_the_checkpoint_dir(spark):
 
 def test_sql_texts_on_written_tables(spark, golden):
     """The ten SQL texts over views of the ETL output, with the original unit code."""
-    from fleetpulse.plans.runner import register_views
-    from fleetpulse.plans.sql_text import SQL
+    from fleetpulse.plans.sql_text import SQL, run_text
 
     _, _, units, readings = golden
-    register_views(spark, readings, units)
-    results = {name: spark.sql(text.replace("{unit}", "CLR-0001")).collect()
-               for name, text in SQL.items()}
+    results = {name: run_text(spark, name, readings, units, "CLR-0001").collect() for name in SQL}
     regions = {r.region: (r.units, r.readings) for r in results["sql_fleet_overview"]}
     assert regions["Auckland"] == (6, 660) and regions["Dunedin"] == (2, 220)
     assert sum(r.reading_count for r in results["sql_condition_breakdown"]) == 2200

@@ -10,8 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 import compare_oracle as co  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from fleetpulse.plans.catalog import all_queries  # noqa: E402
+from fleetpulse.plans.oracle import all_sql  # noqa: E402
 
-SQL = entry.oracle_sql()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(all_queries())
+    assert SQL.items() <= entry.oracle_sql().items() and all_queries().keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -50,14 +53,7 @@ NO_BROADCAST = ["fleet_overview_by_region", "zscore_anomalies_all", "multi_fault
 
 
 @pytest.mark.parametrize("name", NO_BROADCAST)
-def test_matches_oracle_beyond_broadcast_bounds(spark, con, name):
+def test_matches_oracle_beyond_broadcast_bounds(spark, con, name, no_broadcast):
     """The shuffle-join / per-unit paths taken when no side passes the size check."""
-    keys = ["fleetpulse.broadcast.maxRows", "fleetpulse.broadcast.maxNarrowRows"]
-    for key in keys:
-        spark.conf.set(key, "1")
-    try:
-        res = co.compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con)
-    finally:
-        for key in keys:
-            spark.conf.unset(key)
+    res = co.compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con)
     assert res["status"] == "ok", res

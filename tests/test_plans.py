@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from fleetpulse.plans.catalog import all_queries
 from conftest import SF_SMALL
 
 
@@ -16,7 +17,7 @@ def test_flagship_has_no_sort_merge_join(spark):
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_python_udf_in_plan(spark, name):
     p = plan(spark, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
@@ -40,6 +41,7 @@ def test_topk_before_window_for_single_unit(spark):
     assert p.index("Window") < p.index("TakeOrderedAndProject")  # window above the top-k
 
 
-def test_unit_drilldown_pushes_unit_filter_to_scan(spark):
-    p = plan(spark, "unit_raw_readings")
-    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,0)]" in p
+def test_unit_drilldown_moves_only_its_unit(spark):
+    p = plan(spark, "unit_drilldown_series")
+    assert "LeftSemi" in p and "BroadcastHashJoin" in p
+    assert p.index("Window") < p.index("LeftSemi")  # the semi-join is below the window

@@ -10,9 +10,9 @@ series_sizes = st.lists(st.integers(min_value=1, max_value=40), min_size=1, max_
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(sizes=series_sizes, bound=st.integers(min_value=1, max_value=12),
+@given(sizes=series_sizes, bound=st.integers(min_value=1, max_value=200),
        rows=st.integers(min_value=1, max_value=5), seed=st.integers(0, 10_000))
-def test_moving_mean_matches_brute_force(spark, chunk_rows, sizes, bound, rows, seed):
+def test_moving_mean_matches_brute_force(spark, bucket_minutes, sizes, bound, rows, seed):
     import random
 
     rnd = random.Random(seed)
@@ -23,7 +23,7 @@ def test_moving_mean_matches_brute_force(spark, chunk_rows, sizes, bound, rows,
             data.append(reading(rid, uid, 15 * (i // 2), round(rnd.uniform(-10, 10), 3)))
             rid += 1
     r, _ = frames(spark, data, [unit(k) for k in range(1, len(sizes) + 1)])
-    chunk_rows(bound)
+    bucket_minutes(bound)
     got = {x.reading_id: x.mv for x in moving_mean(r, "avg_temp_c", "mv", rows).collect()}
     want = {}
     for uid in range(1, len(sizes) + 1):
