@@ -118,6 +118,17 @@ def word_inputs(p: dict[str, np.ndarray], slots: np.ndarray, chars: np.ndarray,
     return x
 
 
+def sum_by(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Rows of ``values`` summed by their index under ``size``."""
+    out = np.zeros((size, values.shape[1]), dtype=values.dtype)
+    if len(index):
+        order = np.argsort(index, kind="stable")
+        ordered = index[order]
+        begins = np.flatnonzero(np.diff(ordered, prepend=-1))
+        out[ordered[begins]] = np.add.reduceat(values[order], begins, axis=0)
+    return out
+
+
 def _sigma(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -289,8 +300,7 @@ class Trainer:
         grads = backward(p, kept, dlogits)
         dx = np.zeros_like(x)
         for k, d in enumerate(("f", "b")):
-            dgates = np.zeros((len(words), 3 * HIDDEN), dtype=np.float32)
-            np.add.at(dgates, back.reshape(-1), grads.pop(f"gates_{d}").reshape(-1, 3 * HIDDEN))
+            dgates = sum_by(back.reshape(-1), grads.pop(f"gates_{d}").reshape(-1, 3 * HIDDEN).astype(np.float32), len(words))
             grads[f"w_{d}"], grads[f"c_{d}"] = x.T @ dgates, dgates.sum(axis=0)
             dx += dgates @ p[f"w_{d}"].T
         self._rows("word", corpus.slots[words], dx[:, :WORD_DIM])
@@ -307,8 +317,7 @@ class Trainer:
         if not len(rows):
             return
         used, back = np.unique(rows, return_inverse=True)
-        total = np.zeros((len(used), grads.shape[1]), dtype=np.float32)
-        np.add.at(total, back, grads)
+        total = sum_by(back, grads, len(used))
         self.squares[name][used] += (total * total).mean(axis=1)
         self.net.p[name][used] -= 5 * self.rate * total / np.sqrt(self.squares[name][used])[:, None]
 
