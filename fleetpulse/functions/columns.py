@@ -1,7 +1,8 @@
 """Scalar column expressions.
 
-All of them compile to built-in Catalyst expressions, so they stay inside
-whole-stage code generation; none is a Python UDF.
+All of them are built-in Catalyst expressions; none is a Python UDF.  Scalar
+ones stay inside generated code; functions over arrays (``row_mean``) are
+evaluated per element.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from fleetpulse import schema
 
 # Rounding goes through DECIMAL(28,10): the value is first fixed at ten
 # decimals, then rounded to ``k``.  Two engines whose sums differ in the last
-# bit of a double then still round to the same number.
+# bit of a double then still round to the same number.  Values beyond that type
+# (1e18 and more) are rounded as doubles.
 _ROUND_TYPE = "decimal(28,10)"
 
 
@@ -25,12 +27,12 @@ def _col(c) -> Column:
 
 def half_up_round(c, k: int) -> Column:
     """SQL ``ROUND(x, k)``: half away from zero, result DOUBLE."""
-    return F.round(_col(c).cast(_ROUND_TYPE), k).cast("double")
+    return F.coalesce(F.round(_col(c).try_cast(_ROUND_TYPE), k).cast("double"), F.round(_col(c).cast("double"), k))
 
 
 def even_round(c, k: int) -> Column:
     """Frame-style rounding: half to even, result DOUBLE."""
-    return F.bround(_col(c).cast(_ROUND_TYPE), k).cast("double")
+    return F.coalesce(F.bround(_col(c).try_cast(_ROUND_TYPE), k).cast("double"), F.bround(_col(c).cast("double"), k))
 
 
 def nan_to_null(c) -> Column:

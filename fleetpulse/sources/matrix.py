@@ -7,11 +7,9 @@ with its file, the start offset of the file split that holds it and
 table (first id, line count) gives each split's starting cycle by a prefix sum
 in (file, split start) order.
 
-The lazy readers (``read_lines``, ``read_matrix``) scan a file twice — split
-counts, then rows — and both scans see the same splits in the same order, so
-the ids agree, also when a task is re-run.  The ETL's ``stage_sensor_set``
-reads the text once: lines are reduced to narrow rows with their tags, written
-as Parquet under the checkpoint directory, and positioned from that stage.
+Every reader reads the text once and writes the tagged rows as Parquet under
+the checkpoint directory; positions come from that stage.  ``read_matrix``
+stages the lines, the ETL's ``stage_sensor_set`` only their means.
 
 Text rules kept from the reference's loader: blank lines and ``#`` comments
 are skipped, ``nan`` parses as NaN, an empty field or an unparsable number
@@ -26,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
-from fleetpulse.operators.joins import join_small
+from fleetpulse.session import materialize
 from fleetpulse.sources.tables import path_exists
 
 
@@ -60,35 +58,41 @@ def _tagged_lines(spark: SparkSession, path: str) -> DataFrame:
         F.input_file_block_start().alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"),
         "line",
-    ).withColumn("_fkey", F.xxhash64("_file"))
+    )
 
 
-def place(tagged: DataFrame, group_cols=()) -> DataFrame:
-    """Turn split tags into 0-based positions (``cycle_id``) per ``group_cols``.
+#: File splits whose start positions are broadcast (about 150 bytes each).
+MAX_BROADCAST_SPLITS = 500_000
+
+
+def place(staged: DataFrame, group_cols=()) -> DataFrame:
+    """Turn the split tags of a staged table into 0-based positions (``cycle_id``) per ``group_cols``.
 
     One row per (group, file split) holds the split's first id and line count;
     a prefix sum in (file, split start) order gives each split's first
-    position.  The path is replaced by its 64-bit hash before the join, so a
-    split costs 32 bytes; the join is broadcast after the size check.
+    position.  The tags were written once, so counts and rows see the same
+    splits.  The split table is counted first (one small job) and broadcast
+    within its bound.
     """
     group_cols = list(group_cols)
-    keys = [*group_cols, "_fkey", "_blk"]
-    splits = tagged.groupBy(*group_cols, "_file", "_fkey", "_blk").agg(
+    keys = [*group_cols, "_file", "_blk"]
+    splits = staged.groupBy(*keys).agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # One row per file split: the prefix sum is small on purpose.
     before = (Window.partitionBy(*group_cols).orderBy("_file", "_blk")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = splits.select(*keys, "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    located = join_small(tagged.drop("_file"), starts, keys)
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     cycle = (F.col("_base") + F.col("_mid") - F.col("_first")).cast("long").alias("cycle_id")
-    rest = [c for c in tagged.columns if c not in ("_file", "_fkey", "_blk", "_mid")]
-    return located.select(cycle, *rest)
+    rest = [c for c in staged.columns if c not in ("_file", "_blk", "_mid")]
+    return staged.join(starts, keys).select(cycle, *rest)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(cycle_id, line): kept lines of a text matrix with 0-based positions."""
-    return place(_tagged_lines(spark, path))
+    """(cycle_id, line): kept lines of a text matrix with 0-based positions (read once and staged)."""
+    return place(materialize(_tagged_lines(spark, path), "raw-lines"))
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -124,11 +128,10 @@ def stage_sensor_set(spark: SparkSession, raw_dir: str,
     mean, labels).
     """
     from fleetpulse.functions.columns import row_mean
-    from fleetpulse.session import materialize
 
     files = [f for f, _ in sensors] + [schema.LABEL_FILE]
     paths = require_inputs(spark, raw_dir, files)
-    tags = ["_file", "_fkey", "_blk", "_mid"]
+    tags = ["_file", "_blk", "_mid"]
     frames = []
     for path, (_, name) in zip(paths, sensors):
         fields = F.split(F.col("line"), "\t")  # averaged as text: no double array built

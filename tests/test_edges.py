@@ -292,3 +292,11 @@ def test_box_summary_against_numpy(spark, seed):
                 for name, want in [("min", v.min()), ("q1", q1), ("median", med), ("q3", q3),
                                    ("max", v.max())]:
                     assert getattr(g, name) == pytest.approx(want, abs=1e-6), (bound, name)
+
+
+def test_rounding_of_huge_values(spark):
+    from fleetpulse.functions.columns import half_up_round
+
+    row = spark.createDataFrame([(1e18, -2.5e30)], "a double, b double").select(
+        half_up_round("a", 2).alias("a"), half_up_round("b", 0).alias("b")).first()
+    assert tuple(row) == (1e18, -2.5e30)
