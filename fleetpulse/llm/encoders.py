@@ -80,8 +80,12 @@ class PieceEncoder:
         if not match:
             return array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
         word, marks = match.groups()
-        spelled = (word.strip(" ").lower() if self._lower else word).encode().decode("latin-1")
-        ids = [token.id for token in self._model.tokenize(spelled.translate(self._letters))]
+        word = word.strip(" ").lower() if self._lower else word
+        if word.isascii():  # letters stand for themselves
+            spelled = word.replace(" ", self._letters[32])
+        else:
+            spelled = word.encode().decode("latin-1").translate(self._letters)
+        ids = [token.id for token in self._model.tokenize(spelled)]
         if marks:
             ids += self._tokenizer.encode(marks, add_special_tokens=False).ids
         return array("I", ids).tobytes()

@@ -34,29 +34,62 @@ from .encoders import worker_encoder
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit ranks."""
+#: Ids coded or decoded at once.
+_BLOCK_IDS = 1 << 20
+
+
+def _blocks(counts: np.ndarray) -> Iterator[slice]:
+    """Consecutive documents with about ``_BLOCK_IDS`` ids together."""
+    ends, begin = np.cumsum(counts), 0
+    while begin < len(counts):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + _BLOCK_IDS)))
+        yield slice(begin, end)
+        begin = end
+
+
+def _places(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id's place in its document's run of whole control bytes, and the control bytes up to each document."""
+    padded = -(-counts // 4) * 4
+    shift = (np.cumsum(padded) - padded) - (np.cumsum(counts) - counts)
+    return np.arange(int(counts.sum())) + np.repeat(shift, counts), np.concatenate(([0], np.cumsum(padded) // 4))
+
+
+def encode_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control and data bytes of each document; ``ranks`` are those of all documents in order."""
     ranks = ranks.astype("<u4")
     extra = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    padded[:len(ranks)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+    places, bounds = _places(counts)
+    padded = np.zeros(4 * bounds[-1], dtype=np.uint8)
+    padded[places] = extra
+    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
     used = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    data = ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    sizes = np.concatenate(([0], np.cumsum(extra + np.int64(1))))[np.concatenate(([0], np.cumsum(counts)))]
+    return ([control[i:j] for i, j in zip(bounds.tolist(), bounds[1:].tolist())],
+            [data[i:j] for i, j in zip(sizes.tolist(), sizes[1:].tolist())])
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """Ranks by table lookup of their lengths."""
-    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n]
+def decode_ranks(control: list[bytes], data: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """Ranks of all documents in order, by table lookup of their lengths."""
+    places, _ = _places(counts)
+    lengths = LENGTHS[np.frombuffer(b"".join(control), dtype=np.uint8)].reshape(-1)[places]
     begins = np.cumsum(lengths) - lengths
-    source = np.concatenate((np.frombuffer(data, dtype=np.uint8), np.zeros(3, dtype=np.uint8)))
-    ranks = np.zeros(n, dtype=np.uint32)
-    for k in range(4):
-        byte = source[begins + k].astype(np.uint32)
-        ranks |= np.where(lengths > k, byte, 0).astype(np.uint32) << np.uint32(8 * k)
+    source = np.frombuffer(b"".join([*data, b"\0\0\0"]), dtype=np.uint8)
+    ranks = source[begins].astype(np.uint32)
+    for k in range(1, 4):
+        more = np.flatnonzero(lengths > k)
+        if len(more):
+            ranks[more] |= source[begins[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return ranks
 
 
+def _flat(ids: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """The staged ids of some documents (each has at least its end id)."""
+    raw = b"".join(ids.to_pylist())
+    return np.frombuffer(raw, dtype=f"<u{len(raw) // max(1, int(counts.sum()))}" if raw else "<u2")
+
+
 def _encoded(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
     """id, n_tokens and ids (unsigned 16-bit where the vocabulary allows, else 32-bit), staged."""
 
@@ -80,8 +113,10 @@ def _counted(encoded: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column("n_tokens").to_pylist(), batch.column("ids")):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), dtype=f"<u{ids.as_buffer().size // n}"))
+            counts = batch.column("n_tokens").to_numpy()
+            for block in _blocks(counts):
+                ids = batch.column("ids").slice(block.start, block.stop - block.start)
+                found = np.bincount(_flat(ids, counts[block]))
                 if len(found) > len(total):
                     found, total = total, found.astype(np.int64)
                 total[:len(found)] += found
@@ -122,15 +157,16 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part, control, data = [], [], []
-            for i, (key, n, ids) in enumerate(zip(batch.column("id").to_pylist(), batch.column("n_tokens").to_pylist(),
-                                                  batch.column("ids"))):
+            for i, key in enumerate(batch.column("id").to_pylist()):
                 low = int(np.searchsorted(bounds, key, "left")) if key is not None else 0
                 high = int(np.searchsorted(bounds, key, "right")) if key is not None else 0
                 part.append(low + i % (high - low) if high > low + 1 else low)
-                flat = np.frombuffer(ids.as_buffer(), dtype=f"<u{ids.as_buffer().size // n}")
-                pair = encode_ranks(rank_of[flat])
-                control.append(pair[0])
-                data.append(pair[1])
+            counts = batch.column("n_tokens").to_numpy()
+            for block in _blocks(counts):
+                ids = batch.column("ids").slice(block.start, block.stop - block.start)
+                pair = encode_ranks(rank_of[_flat(ids, counts[block])], counts[block])
+                control += pair[0]
+                data += pair[1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int32()), batch.column("id"), batch.column("n_tokens"),
                  pa.array(control, pa.binary()), pa.array(data, pa.binary())],
@@ -164,11 +200,15 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums, lists = [], []
-            for n, control, data in zip(batch.column("n_tokens").to_pylist(), batch.column("control"), batch.column("data")):
-                ids = id_of[decode_ranks(control.as_buffer(), data.as_buffer(), n)]
-                sums.append(zlib.crc32(ids.tobytes()))
-                if with_ids:
-                    lists.append(ids.astype(np.int32))
+            counts = batch.column("n_tokens").to_numpy()
+            for block in _blocks(counts):
+                control, data = (batch.column(c).slice(block.start, block.stop - block.start).to_pylist() for c in ("control", "data"))
+                ids = id_of[decode_ranks(control, data, counts[block])]
+                raw, ends = ids.tobytes(), np.cumsum(counts[block]).tolist()
+                for begin, end in zip([0, *ends], ends):
+                    sums.append(zlib.crc32(raw[4 * begin:4 * end]))
+                    if with_ids:
+                        lists.append(ids[begin:end].astype(np.int32))
             columns = [batch.column(c) for c in ("part", "id", "n_tokens", "part_offset")] + [pa.array(sums, pa.int64())]
             names = ["part", "id", "n_tokens", "part_offset", "ids_crc32"]
             if with_ids:
