@@ -6,10 +6,11 @@ position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(
 Each needed rank is selected by narrowing a value range: a pass counts the
 values of the range in ``BUCKETS`` equal intervals and keeps the interval with
 the rank, with its true smallest and largest value as the next range.  After
-``ROUNDS`` passes the few values left are ranked.  Bucket numbers never fall
-when values rise, so every step is exact; a pass shuffles one row per task,
-group and interval, and only the last ranking moves values.  All groups and
-sizes take this way; no pass is written out or run while the plan is built.
+``ROUNDS`` passes the distinct values left are counted and the one with the
+rank is read off.  Bucket numbers never fall when values rise, so every step
+is exact; a pass shuffles one row per task, group and interval or value.  All
+groups and sizes take this way: five passes in one lazy plan, each beside the
+broadcast result of the one before.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from fleetpulse.functions import columns as C
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 FENCE_IQR = 1.5
 BUCKETS, ROUNDS = 4096, 2
-KEYS = ["metric", "group"]
+KEYS, CARRIED = ["metric", "group"], ["n", "min", "max"]
 
 
 def stack_metrics(df: DataFrame, group_col: str, metrics: Sequence[str]) -> DataFrame:
@@ -42,73 +43,67 @@ def with_fences(summary: DataFrame) -> DataFrame:
 
 
 def _beside(values: DataFrame, side: DataFrame) -> DataFrame:
-    """Values with their group's rows of ``side`` (a few numbers per group; NULL groups match)."""
+    """Values with their group's rows of ``side`` (NULL groups match)."""
     side = side.withColumnsRenamed({k: f"_{k}" for k in KEYS})
     on = (values["metric"] == side["_metric"]) & values["group"].eqNullSafe(side["_group"])
     # One row per label, metric and rank: labels are the few texts of a CASE or a condition column.
     return values.join(F.broadcast(side), on).drop("_metric", "_group")
 
 
+def _holding_rank(counts: DataFrame, order_col: str) -> DataFrame:
+    """Of each (group, wanted)'s ``counts`` in order, the row that holds its rank; ``rank`` becomes the rank within."""
+    order = Window.partitionBy(*KEYS, "wanted").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
+    held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
+    return counts.filter(held).withColumn("rank", F.col("rank") - F.col("before")).drop("before")
+
+
+def _inside(long: DataFrame, ranges: DataFrame) -> DataFrame:
+    return _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")))
+
+
 def _narrowed(long: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The interval of each (group, rank)'s range that holds the rank, and the rank within it."""
+    """``ranges`` cut to the interval of each range that holds its rank."""
     width = (F.col("hi") - F.col("lo")) / F.lit(float(BUCKETS))
     step = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(BUCKETS - 1)))
-    inside = _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")))
-    counts = inside.groupBy(*KEYS, "wanted", "rank", F.coalesce(step, F.lit(0)).cast("int").alias("step")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    order = Window.partitionBy(*KEYS, "wanted").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
-    return counts.filter(held).select(*KEYS, "wanted", (F.col("rank") - F.col("before")).alias("rank"), "lo", "hi")
-
-
-def rank_values(long: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(metric, group, wanted, value): the value at each 0-based rank ``wanted`` of ``ranks``
-    (metric, group, wanted, lo, hi)."""
-    ranges = ranks.withColumn("rank", F.col("wanted"))
-    for _ in range(ROUNDS):
-        ranges = _narrowed(long, ranges)
-    left = _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")) & (F.col("lo") < F.col("hi")))
-    order = Window.partitionBy(*KEYS, "wanted").orderBy("value")
-    ranked = left.withColumn("at", F.row_number().over(order) - 1).filter(F.col("at") == F.col("rank"))
-    same = ranges.filter(F.col("lo") == F.col("hi")).withColumn("value", F.col("lo"))
-    columns = [*KEYS, "wanted", "value"]
-    return ranked.select(*columns).unionByName(same.select(*columns))
+    counts = (_inside(long, ranges).withColumn("step", F.coalesce(step, F.lit(0)).cast("int"))
+              .groupBy(*KEYS, *CARRIED, "wanted", "rank", "step")
+              .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+    return _holding_rank(counts, "step").select(*KEYS, *CARRIED, "wanted", "rank", "lo", "hi")
 
 
 def quartiles(long: DataFrame) -> DataFrame:
     """(metric, group, n, min, max, q1, median, q3) of every group."""
-    sizes = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    sizes = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
     wanted = []
     for _, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
         wanted += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    ranks = sizes.select(*KEYS, "n", "lo", "hi", F.explode(F.array_distinct(F.array(*wanted))).alias("wanted"))
-    values = rank_values(long, ranks.drop("n"))
-    found = values.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("wanted", "value"))).alias("at"))
-    found = found.withColumnsRenamed({k: f"_{k}" for k in KEYS})
-    on = (sizes["metric"] == found["_metric"]) & sizes["group"].eqNullSafe(found["_group"])
-    out = sizes.join(found, on)
+    ranges = sizes.select("*", F.explode(F.array_distinct(F.array(*wanted))).alias("wanted"))
+    ranges = ranges.withColumns({"rank": F.col("wanted"), "lo": F.col("min"), "hi": F.col("max")})
+    for _ in range(ROUNDS):
+        ranges = _narrowed(long, ranges)
+    # The values left, equal ones counted before they move.
+    left = _inside(long, ranges).groupBy(*KEYS, *CARRIED, "wanted", "rank", "value").agg(F.count(F.lit(1)).alias("rows"))
+    found = _holding_rank(left, "value").groupBy(*KEYS, *CARRIED).agg(
+        F.map_from_entries(F.collect_list(F.struct("wanted", "value"))).alias("at"))
     cols = []
     for name, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
         lo, hi = F.col("at")[F.floor(pos).cast("long")], F.col("at")[F.ceil(pos).cast("long")]
         cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*KEYS, "n", F.col("lo").alias("min"), F.col("hi").alias("max"), *cols)
+    return found.select(*KEYS, *CARRIED, *cols)
 
 
 def box_summary(df: DataFrame, group_col: str, metrics: Sequence[str], decimals: int = 6) -> DataFrame:
     """min, q1, median, q3, max, 1.5·IQR fences and outlier count per (group, metric)."""
     long = stack_metrics(df, group_col, metrics)
     summary = with_fences(quartiles(long))
-    fences = summary.select(*KEYS, "lower_fence", "upper_fence")
+    measures = [c for c in summary.columns if c not in KEYS]
     outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
-    outliers = _beside(long, fences).filter(outside).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("outliers"))
-    outliers = outliers.withColumnsRenamed({k: f"_{k}" for k in KEYS})
-    on = (summary["metric"] == outliers["_metric"]) & summary["group"].eqNullSafe(outliers["_group"])
-    out = summary.join(outliers, on, "left")
+    out = _beside(long, summary).groupBy(*KEYS, *measures).agg(F.count_if(outside).alias("outliers"))
     rnd = [C.half_up_round(c, decimals).alias(c) for c in
            ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")]
     return out.select(F.col("group").alias(group_col), "metric", "n", *rnd,
-                      F.coalesce("outliers", F.lit(0)).cast("long").alias("outliers")
+                      F.col("outliers").cast("long").alias("outliers")
                       ).orderBy("metric", F.asc_nulls_first(group_col))
