@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm import decontamination, packing, pii_crf, simhash, toxicity_gru
 from fleetpulse.llm.common import fold, stage, table
-from fleetpulse.llm.queries import TOXIC_LIMIT, tokenizer_path
+from fleetpulse.llm.queries import QUOTED_TOKENS, TOXIC_LIMIT, tokenizer_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with the benchmark."""
-    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"), verbatim=QUOTED_TOKENS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

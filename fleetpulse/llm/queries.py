@@ -16,6 +16,8 @@ from .common import fold, table
 
 #: Scores from these on are predicted as label 1.
 QUALITY_LIMIT, TOXIC_LIMIT = 0.3, 0.7
+#: Consecutive tokens of a benchmark item that are a leak by themselves.
+QUOTED_TOKENS = 13
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,7 +59,7 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), verbatim=QUOTED_TOKENS)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
