@@ -1,14 +1,15 @@
 """Benchmark decontamination by seed hashing (DataFrame functions only).
 
-A seed is a hash of a few consecutive tokens (``SEED`` or fewer).  An item of
-which ``e`` tokens may be substituted falls into ``e + 1`` unchanged pieces at
-most, so its longest piece has a known least length; an item's seeds are no
-longer than that, and no allowed placement of substitutions is missed.  Seeds
-of the benchmark are joined with the seeds of every document position.  A hit
-gives an alignment of item and document, which is verified token by token: the
-documents that share some stretch of ``window`` tokens (the whole item if it is
-shorter) with at most a fifth of them substituted are leaks, and with
-``verbatim`` also those that quote so many consecutive tokens.
+A seed is a hash of a few consecutive tokens (``SEED`` or fewer).  An item in
+which ``e`` tokens may be substituted, inserted or deleted falls into ``e + 1``
+unchanged pieces at most, so its longest piece has a known least length; an
+item's seeds are no longer than that, and no allowed placement of edits is
+missed.  Seeds of the benchmark are joined with the seeds of every document
+position.  A hit gives an alignment of item and document, which is verified
+token by token, with the alignments a few tokens beside it: the documents that
+share some stretch of ``window`` tokens (the whole item if it is shorter) with
+edits of at most a fifth of them are leaks, and with ``verbatim`` also those
+that quote so many consecutive tokens.
 
 The benchmark's seeds are broadcast behind a check of their number; a larger
 benchmark is searched in blocks of items, each within the bound.  Documents
@@ -65,6 +66,28 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_
     return items.withColumn("length", F.greatest(F.lit(1), F.least(F.lit(SEED), piece, F.col("quote"))))
 
 
+def _fewest_edits(first: Column, last: Column, allowed: Column) -> Column:
+    """The fewest edits that turn a stretch of the item, begun at a token from ``first`` to ``last``, into some stretch
+    of the document, on the alignments up to ``allowed`` tokens beside ``begin``."""
+    width, beside = F.col("width"), F.sequence(F.lit(0), allowed * 2)
+
+    def cell(old: Column, k: Column, new: Column, e: Column) -> Column:
+        same = F.get("hashes", F.col("begin") - allowed + e + k) == F.get("item_hashes", k)
+        cost = F.when(same, F.lit(0)).otherwise(F.lit(1))
+        # Equal or substituted; the item's token deleted; a token of the document inserted.
+        return F.least(F.get(old, e) + cost, F.get(old, e + 1) + 1, F.get(new, e - 1) + 1)
+
+    def after(old: Column, k: Column) -> Column:
+        return F.aggregate(beside, F.array().cast("array<int>"),
+                           lambda new, e: F.concat(new, F.array(cell(old, k, new, e))))
+
+    def edits(start: Column) -> Column:
+        free = F.array_repeat(F.lit(0), allowed * 2 + 1)
+        return F.array_min(F.aggregate(F.sequence(start, start + width - 1), free, after))
+
+    return F.array_min(F.transform(F.sequence(first, last), edits))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", window: int = 24,
           max_substituted: float = 0.2, verbatim: int | None = None) -> DataFrame:
@@ -72,7 +95,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     ``doc_token`` is the position of the aligned item's first token in the
     document (negative if the document starts within the item), matched_tokens
-    the most equal tokens in a window of window_tokens of that alignment.
+    the most equal tokens in a window of window_tokens of that alignment, or if
+    those are too few window_tokens less the fewest edits beside it.
 
     With ``verbatim`` a document that holds so many consecutive tokens of an
     item (all of a shorter one, however short) is a leak too; without it, items
@@ -105,12 +129,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         hits = hits.withColumn("begin", F.col("at") - F.col("item_at"))
         equal = F.transform("item_hashes", lambda h, k: F.coalesce(
             F.when(F.col("begin") + k >= 0, F.get("hashes", F.col("begin") + k)) == h, F.lit(False)).cast("int"))
-        hits = hits.select("id", "item", "begin", "item_at", "width", "needed", "quote", equal.alias("equal"))
+        hits = hits.withColumn("equal", equal)
         sums = F.transform(F.sequence(F.lit(1), F.size("equal") - F.col("width") + 1), lambda s: F.aggregate(
             F.slice("equal", s, F.col("width")), F.lit(0), lambda a, b: a + b))
         end = F.array_position(F.slice("equal", F.col("item_at") + 1, F.size("equal")), 0).cast("int") - 1
         run = F.when(end < 0, F.size("equal") - F.col("item_at")).otherwise(end)
-        hits = hits.select("id", "item", "begin", "width", "needed", "quote", run.alias("run"), F.array_max(sums).alias("matched"))
+        hits = hits.withColumn("run", run).withColumn("matched", F.array_max(sums))
+        # Only where enough of the item's tokens around the run are near it in the document are edits counted.
+        allowed = F.col("width") - F.col("needed")
+        first = F.greatest(F.lit(0), F.col("item_at") + F.col("length") - F.col("width"))
+        last = F.least(F.col("item_at") + F.col("run") - F.col("length"), F.size("item_hashes") - F.col("width"))
+        near_from = F.greatest(F.lit(0), F.col("begin") + first - allowed)
+        near = F.slice("hashes", near_from + 1, F.greatest(F.lit(0), F.col("begin") + last + F.col("width") + allowed - near_from))
+        around = F.slice("item_hashes", first + 1, last - first + F.col("width"))
+        enough = F.size(F.filter(around, lambda h: F.array_contains(near, h))) >= F.col("needed")
+        edited = F.when((allowed > 0) & enough, F.col("width") - _fewest_edits(first, last, allowed))
+        matched = F.when(F.col("matched") >= F.col("needed"), F.col("matched")).otherwise(F.greatest("matched", edited))
+        hits = hits.select("id", "item", "begin", "width", "needed", "quote", "run", matched.alias("matched"))
         found.append(hits.where((F.col("matched") >= F.col("needed")) | (F.col("run") >= F.col("quote"))))
     verified = reduce(DataFrame.unionByName, found)
     best = F.max(F.struct("matched", -F.col("begin"))).alias("best")
