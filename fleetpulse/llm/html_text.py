@@ -2,7 +2,9 @@
 
 A page is cut into blocks at block-level tags.  Elements that say what they
 are (navigation, footers, adverts, forms, comments, ... by tag, role, class or
-id) are left out.  Pass one decides the other blocks by length, link density
+id) are left out, with the articles in them; an element that only its class or
+id names is taken back if it holds decided content and the rest of the page
+holds none.  Pass one decides the other blocks by length, link density
 and stop-word density: long text with stop words is content, link lists and
 long text without stop words are not, and short or middling blocks stay open.
 In pass two an open block takes the label of its nearest decided neighbours,
@@ -12,6 +14,7 @@ those in its own article before others.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -46,6 +49,8 @@ notice notification popup modal overlay newsletter subscribe subscription signup
 breadcrumb breadcrumbs footer masthead comment comments disqus respond reply replies share sharing social related recommended
 widget toolbar pagination pager disclaimer copyright tags
 """.split())
+#: Words before such a word that make it say what an element has or lacks, not what it is.
+SIDE_PREFIXES = frozenset("no non not with without has have hide hides show shows".split())
 BLOCKS = frozenset("""
 address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th
@@ -77,41 +82,74 @@ class Block:
     region: int
     heading: bool
     label: int = OPEN
+    at: int = 0  # where in the page it ends
 
 
-def is_side(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element says of itself that it isn't the article's text."""
+def named_side(value: str, article: bool, in_article: bool) -> bool:
+    """Whether a class or id names such an element; an article's has many words, so the first of a name counts."""
+    for one in value.split():
+        parts = [p.lower() for p in _NAME_PART.findall(one)]
+        for k, part in enumerate(parts[:1] if article else parts):
+            if (part in SIDE_NAMES or part == "header" and not in_article and not article) and not (
+                    k and parts[k - 1] in SIDE_PREFIXES):
+                return True
+    return False
+
+
+def is_side(name: str, attrs: str, in_article: bool, by_name: bool = True) -> str:
+    """How an element says of itself that it isn't the article's text: ``kind``, ``name`` (class or id) or not at all."""
     if name in SIDE or (name == "header" and not in_article):
-        return True
-    if not attrs or name in ("article", "main", "body", "html"):
-        return False
+        return "kind"
+    if not attrs or name in ("main", "body", "html"):
+        return ""
+    found = ""
     for kind, *values in _ATTR.findall(attrs):
         kind, value = kind.lower(), "".join(values)
         if kind == "hidden" and value.lower() in ("", "hidden", "true"):
-            return True
+            return "kind"
         if kind == "role" and value.strip().lower() in SIDE_ROLES:
-            return True
-        if kind in ("class", "id"):
-            parts = {p.lower() for p in _NAME_PART.findall(value)}
-            if parts & SIDE_NAMES or ("header" in parts and not in_article):
-                return True
-    return False
+            return "kind"
+        if by_name and kind in ("class", "id") and named_side(value, name == "article", in_article):
+            found = "name"
+    return found
 
 
-def blocks_of(html: str) -> list[Block]:
-    """The blocks of a page outside the elements that say they aren't text."""
+def closed_tags(html: str) -> set[int]:
+    """Where the tags begin that a closing tag of their name belongs to."""
+    opened: dict[str, list[int]] = {}
+    closed = set()
+    for m in _MARKUP.finditer(html):
+        name = (m["name"] or m["name2"] or "").lower()
+        if not name or name in VOID:
+            continue
+        if not (m["close"] or m["close2"]):
+            if not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+                opened.setdefault(name, []).append(m.start())
+        elif opened.get(name):
+            closed.add(opened[name].pop())
+    return closed
+
+
+def blocks_of(html: str, taken: frozenset[int] | None = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
+    """The blocks of a page outside the elements that say they aren't text, and where those lie that only a class or
+    id names; the ones that begin at ``taken`` (None: all of these) aren't left out."""
     out: list[Block] = []
     words: list[str] = []
     link_chars = links = region = regions = 0
     articles = 0
     side, nested = "", 0  # the element being left out, and elements of its name within
+    inner = 0  # articles open in it
+    named: list[tuple[int, int]] = []
+    begun = -1  # where it begins, if its class or id names it
+    closed: set[int] | None = None
+    side_at = 0
     heading = False
 
     def flush() -> None:
         nonlocal link_chars
         text = " ".join("".join(words).split())
         if text:
-            out.append(Block(text, link_chars, region, heading))
+            out.append(Block(text, link_chars, region, heading, at=here))
         words.clear()
         link_chars = 0
 
@@ -124,10 +162,10 @@ def blocks_of(html: str) -> list[Block]:
         if links:
             link_chars += len("".join(text.split()))
 
-    at = 0
+    at = here = 0
     for m in _MARKUP.finditer(html):
         add(html[at:m.start()])
-        at = m.end()
+        at, here = m.end(), m.start()
         if m["cdata"] is not None:
             add(m["cdata"])
             continue
@@ -137,8 +175,19 @@ def blocks_of(html: str) -> list[Block]:
         name, closing = name.lower(), bool(m["close"] or m["close2"])
         attrs = m["attrs"] or m["attrs2"] or ""
         if side:
-            if name in ("article", "main", "body", "html") and side not in ("article", "main"):
-                side = ""  # an unclosed side element ends where the article or the page does
+            if name in ("article", "main") and name != side:
+                if closing:
+                    ends = inner == 0 and articles > 0  # the article around it
+                    inner = max(0, inner - 1)
+                else:
+                    closed = closed_tags(html) if closed is None else closed
+                    ends = name == "main" or side_at not in closed or side == "p"
+                    inner += 1
+                if not ends:
+                    continue
+                side = ""
+            elif name in ("body", "html") and side != name:
+                side = ""  # an unclosed side element ends where the page does
             elif side in ("p", "li") and not closing and (name == side or side == "p" and name in ENDS_PARAGRAPH):
                 side = ""
             elif side == "li" and closing and name in ("ul", "ol"):
@@ -147,9 +196,19 @@ def blocks_of(html: str) -> list[Block]:
                 nested += -1 if closing else 0 if attrs.endswith("/") else 1
                 if nested == 0:
                     side = ""
+                    if begun >= 0:
+                        named.append((begun, m.end()))
+                        begun = -1
+                    # Its opening tag was counted before it was left out.
+                    if name == "article":
+                        articles = max(0, articles - 1)
+                        region = regions if articles else 0
                 continue
             else:
                 continue
+            if begun >= 0:
+                named.append((begun, m.start()))
+                begun = -1
         if name in BLOCKS:
             flush()
             links = 0
@@ -166,12 +225,18 @@ def blocks_of(html: str) -> list[Block]:
             heading = False
         if name == "a":
             links = 0 if closing else 1
-        if not closing and name not in VOID and not attrs.endswith("/") and is_side(name, attrs, articles > 0):
-            flush()
-            side, nested = name, 1
+        if not closing and name not in VOID and not attrs.endswith("/"):
+            how = is_side(name, attrs, articles > 0, taken is not None and m.start() not in taken)
+            if how:
+                flush()
+                side, nested, inner, side_at = name, 1, 0, m.start()
+                begun = m.start() if how == "name" else -1
     add(html[at:])
+    here = len(html)
     flush()
-    return out
+    if begun >= 0:
+        named.append((begun, len(html)))
+    return out, named
 
 
 def decide(block: Block, long_chars: int, min_stop: float, max_links: float) -> int:
@@ -228,9 +293,27 @@ def inherit(blocks: list[Block]) -> None:
 
 def main_text(html: str, long_chars: int = 70, min_stop: float = 0.2, max_links: float = 0.33) -> str:
     """The article's blocks, one per line."""
-    blocks = blocks_of(html)
-    for b in blocks:
-        b.label = decide(b, long_chars, min_stop, max_links)
+    def labelled(taken: frozenset[int] | None = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
+        blocks, named = blocks_of(html, taken)
+        for b in blocks:
+            b.label = decide(b, long_chars, min_stop, max_links)
+        return blocks, named
+
+    blocks, named = labelled()
+    if named and not any(b.region or b.label == GOOD for b in blocks):
+        # The names left no content: take the elements back that hold some, else look below the outermost ones too.
+        starts = [start for start, _ in named]
+
+        def inside(b: Block) -> int | None:
+            k = bisect_left(starts, b.at) - 1
+            return starts[k] if k >= 0 and b.at <= named[k][1] else None
+
+        for every in (frozenset(starts), None):
+            shown, _ = labelled(every)
+            held = {inside(b) for b in shown if b.label == GOOD} | {None}
+            if len(held) > 1:
+                blocks = [b for b in shown if inside(b) in held]
+                break
     inherit(blocks)
     return "\n".join(b.text for b in blocks if b.label == GOOD)
 
