@@ -1,7 +1,7 @@
 """Operators for preparing language-model training data.
 
-Ten operators over the tables ``documents``, ``pages``, ``benchmark`` and
-``labels``; nothing else in the library imports this package.  Each operator
+Operators over the tables ``documents``, ``pages``, ``embeddings``,
+``benchmark`` and ``labels``; nothing else in the library imports this package.  Each operator
 module has a general DataFrame-in, DataFrame-out interface; ``queries`` holds
 the thin ``op<N>_<name>`` queries with their fixed result columns.
 """
