@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import (decontamination, html_text, licenses, line_quality, metric_codes, packing, pii_crf, quality_svm, simhash, sql,
+from . import (decontamination, html_text, licenses, line_quality, metric_codes, packing, pii_crf, quality_svm, simhash, spelling, sql,
                token_files, toxicity_gru)
 from .common import fold, table
 
@@ -82,6 +82,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_vector_codes": op13_vector_codes,
 }
 
