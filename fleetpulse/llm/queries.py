@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import (decontamination, html_text, licenses, line_quality, metric_codes, packing, pii_crf, quality_svm, simhash, spelling, sql,
+from . import (decontamination, html_text, katz, licenses, line_quality, metric_codes, packing, pii_crf, quality_svm, simhash, spelling, sql,
                token_files, toxicity_gru)
 from .common import fold, table
 
@@ -82,6 +82,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2, order=2)[0]
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_vector_codes": op13_vector_codes,
 }
