@@ -13,17 +13,20 @@ before.  A chunk asks for its *distinct* n-grams, level by level:
 * asks go to buckets by a hash of the n-gram, packed to one row per chunk and
   bucket, with the chunk's training counts and the lower level's probability;
 * a bucket adds up the counts of all chunks, stores its part of the n-gram
-  table, and answers every chunk with the counts of what it asked and, per
-  history, the total, the number of followers seen once, twice, ... and the
-  sum of their lower probabilities (all that a backoff weight takes);
+  table, and answers every chunk with the counts of what it asked and what the
+  weights of its histories take: the smallest count of a follower and, where
+  the chunk may back off, the number of followers seen once, twice, ... and
+  the sum of their lower probabilities;
 * the answers meet the chunk again, which evaluates its tokens at this level
   and asks for the next.
 
-n-grams are named exactly, by the id of their history (an n-gram of the level
-below) and of their last token; ids number a bucket's entries.  A frequent
-history is dealt over as many buckets as its count fills, so no task holds all
-followers of one.  Equal n-grams of a chunk move once, whatever their number.
-Only the counts of counts and totals reach the driver.
+n-grams are named exactly, by two ids of the level below: of the n-gram without
+its last token (its history) and of that without its first (what is backed off
+to); an n-gram without either was never seen and isn't asked for.  Ids number
+a bucket's entries.  A frequent history is dealt over as many buckets as its
+count fills, so no task holds all followers of one.  Equal n-grams of a chunk
+move once, whatever their number.  Only the counts of counts and totals reach
+the driver.
 """
 
 from __future__ import annotations
@@ -163,6 +166,11 @@ def left_over(total: np.ndarray, few: np.ndarray, d: np.ndarray) -> tuple[np.nda
     return below, np.where(taken <= 0, 1.0, taken) / below
 
 
+def by(which: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``x`` by group."""
+    return np.bincount(which, weights=x, minlength=n)
+
+
 @dataclass
 class Chunk:
     """A chunk's tokens, evaluated level by level."""
@@ -187,31 +195,35 @@ class Chunk:
         out[self.at == 0] = none
         return out
 
-    def words(self, level: Level, answers: list[tuple[np.ndarray, np.ndarray]], where: np.ndarray) -> None:
-        """Level 1: ``answers`` (ids, counts) in order of bucket, ``where`` the bucket of each word."""
-        ids, counts = np.full(len(where) + 1, START, np.int64), np.zeros(len(where) + 1, np.int64)
-        order = np.argsort(where, kind="stable") + 1
-        ids[order], counts[order] = (np.concatenate(x) for x in zip(*answers, strict=True))
-        self.word, self.count = ids[self.tokens], counts[self.tokens]
-        self.count1, self.gram = self.count, self.word.copy()
+    def words(self, level: Level, answers: list[list[np.ndarray]]) -> None:
+        """Level 1: ``answers`` are (places, ids, counts) of the chunk's words."""
+        ids, counts = np.full(int(self.tokens.max()) + 1, START, np.int64), np.zeros(int(self.tokens.max()) + 1, np.int64)
+        for places, own, n in answers:
+            ids[unsteps(places) + 1], counts[unsteps(places) + 1] = own, n
+        self.gram, self.count = ids[self.tokens], counts[self.tokens]
+        self.count1 = self.count
         below, free = left_over(np.float64(level.total), level.few, level.discount)
         d = np.where(self.count <= CUT, level.discount[np.minimum(self.count, CUT)], 1.0)
         self.p = np.where(self.count > 0, d * self.count / below, free)
 
     def ask(self, k: int, buckets: int) -> dict[int, tuple]:
-        """Bucket -> (histories of its n-grams, last tokens, training counts, lower probabilities, histories)."""
+        """Bucket -> (history and suffix of each n-gram, its training count, its suffix's probability; the histories'
+        ids, and whether the chunk may back off from each)."""
         real = (self.at >= k - 1) & (self.tokens != BEFORE)
-        h, count = self._before(self.gram, UNSEEN), self._before(self.count, 0)
+        h, total = self._before(self.gram, UNSEEN), self._before(self.count, 0)
+        total[h == START] = self.train_docs
         known = np.flatnonzero(real & (h != UNSEEN))
         history, first, of_history = np.unique(h[known], return_index=True, return_inverse=True)
-        often = np.where(history == START, self.train_docs, count[known[first]])
-        parts = 1 + often // HOT
-        keyed = np.flatnonzero(self.word[known] > UNSEEN)
+        total = total[known[first]]
+        parts = 1 + total // HOT
+        # Training has seen every n-gram of its own texts: only other texts back off.
+        backs = by(of_history, ~self.learned[known], len(history)) > 0
+        keyed = np.flatnonzero(self.gram[known] > UNSEEN)
         rows = known[keyed]
-        first, which = pairs(h[rows], self.word[rows])
-        kh, kw = h[rows[first]], self.word[rows[first]]
-        kc = np.bincount(which, weights=self.learned[rows], minlength=len(first)).astype(np.int64)
-        kb = bucket_of(kh, kw % parts[of_history[keyed[first]]], buckets)
+        first, which = pairs(h[rows], self.gram[rows])
+        kh, kg = h[rows[first]], self.gram[rows[first]]
+        kc = by(which, self.learned[rows], len(first)).astype(np.int64)
+        kb = bucket_of(kh, kg % parts[of_history[keyed[first]]], buckets)
         each = np.repeat(np.arange(len(history)), parts)
         part = np.arange(len(each)) - np.repeat(np.cumsum(parts) - parts, parts)
         hb = bucket_of(history[each], part, buckets)
@@ -219,36 +231,37 @@ class Chunk:
         hb, hi = hb[one], each[one]
         korder = np.argsort(kb, kind="stable")
         self.state = {"known": known, "of_history": of_history, "rows": rows, "which": which, "korder": korder, "hi": hi,
-                      "histories": len(history)}
+                      "total": total, "backs": backs}
         kb = kb[korder]
         asks = {}
         for b in np.unique(hb):
             k0, k1 = np.searchsorted(kb, [b, b + 1])
             h0, h1 = np.searchsorted(hb, [b, b + 1])
-            own = korder[k0:k1]
-            asks[int(b)] = (kh[own], kw[own], kc[own], self.p[rows[first[own]]], history[hi[h0:h1]])
+            own, its = korder[k0:k1], hi[h0:h1]
+            asks[int(b)] = (kh[own], kg[own], kc[own], self.p[rows[first[own]]], history[its], backs[its])
         return asks
 
     def evaluate(self, k: int, level: Level, answers: list[list[np.ndarray]]) -> None:
         """Level k, after :meth:`ask`: answers in order of bucket."""
         s = self.state
         parts = [np.concatenate(x) for x in zip(*answers, strict=True)] if answers else [np.zeros(0, np.int64)] * (4 + CUT)
-        found, ids, total, *few, low = parts
+        found, ids, least, *few, low = parts
         counts, grams = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
         counts[s["korder"]], grams[s["korder"]] = found, ids
-
-        def by_history(x: np.ndarray) -> np.ndarray:
-            return np.bincount(s["hi"], weights=x, minlength=s["histories"])
-
-        total, low, few = by_history(total), by_history(low), [by_history(x) for x in few]
-        below, free = left_over(total, few, level.discount)
-        back = np.where(total > 0, free / np.maximum(1 - low, 1e-300), 1.0)
+        n, total, hi = len(s["total"]), s["total"], s["hi"]
+        smallest = np.full(n, CUT + 1)
+        np.minimum.at(smallest, hi, least)
+        d = np.append(level.discount, 1.0)
+        # The denominators of left_over: something is discounted if the smallest count is.
+        below = total + (d[smallest] >= 1)
+        backs = hi[s["backs"][hi]]
+        _, free = left_over(total, [by(backs, x, n) for x in few], level.discount)
+        weight = np.where(total > 0, free / np.maximum(1 - by(backs, low, n), 1e-300), 1.0)
         self.count, self.gram = np.zeros(len(self.tokens), np.int64), np.where(self.tokens == BEFORE, START, UNSEEN)
         self.count[s["rows"]], self.gram[s["rows"]] = counts[s["which"]], grams[s["which"]]
         c, of = self.count[s["known"]], s["of_history"]
-        d = np.where(c <= CUT, level.discount[np.minimum(c, CUT)], 1.0)
         self.p = self.p.copy()
-        self.p[s["known"]] = np.where(c > 0, d * c / np.maximum(below[of], 1), back[of] * self.p[s["known"]])
+        self.p[s["known"]] = np.where(c > 0, d[np.minimum(c, CUT + 1)] * c / np.maximum(below[of], 1), weight[of] * self.p[s["known"]])
 
 
 # ------------------------------------------------------------------- the buckets
@@ -271,9 +284,9 @@ def count_words(rows: pa.Table, buckets: int) -> pa.Table:
     bucket = rows.column("bucket")[0].as_py()
     asked, total = [], defaultdict(int)
     for chunk, blob in zip(rows.column("chunk").to_pylist(), rows.column("payload").to_pylist(), strict=True):
-        text, counts = unpack(blob)
+        places, counts, text = unpack(blob)
         words = text.tobytes().split(b" ")
-        asked.append((chunk, words))
+        asked.append((chunk, places, words))
         for w, n in zip(words, counts.tolist(), strict=True):
             total[w] += n
     seen = sorted((-n, w) for w, n in total.items() if n)
@@ -281,43 +294,53 @@ def count_words(rows: pa.Table, buckets: int) -> pa.Table:
     counts = np.array([-n for n, _ in seen], np.int64)
     out = [("table", None, bucket, pack(np.frombuffer(b" ".join(w for _, w in seen), np.uint8), counts), None),
            ("numbers", None, bucket, None, _numbers(counts))]
-    for chunk, words in asked:
+    for chunk, places, words in asked:
         ids = np.array([place.get(w, UNSEEN) for w in words], np.int64)
-        out.append(("answer", chunk, bucket, pack(ids, np.array([total[w] for w in words], np.int64)), None))
+        out.append(("answer", chunk, bucket, pack(places, ids, np.array([total[w] for w in words], np.int64)), None))
     return _staged(out)
 
 
+def pack_ask(h: np.ndarray, g: np.ndarray, counts: np.ndarray, lower: np.ndarray, histories: np.ndarray, backs: np.ndarray) -> bytes:
+    """n-grams in order of (h, g); a suffix and its probability are written once, and histories only where no n-gram names them."""
+    suffixes, first, of = np.unique(g, return_index=True, return_inverse=True)
+    values, at = np.unique(lower[first], return_inverse=True)
+    bare = np.setdiff1d(histories, h, assume_unique=False)
+    return pack(steps(h), of.astype(np.int64), counts, steps(suffixes), values, at.astype(np.int64), steps(bare), backs.astype(np.int64))
+
+
+def unpack_ask(blob: bytes) -> tuple[np.ndarray, ...]:
+    """(h, g, counts, lower probabilities, histories, whether each is backed off from)."""
+    h, of, counts, suffixes, values, at, bare, backs = unpack(blob)
+    h = unsteps(h)
+    return h, unsteps(suffixes)[of], counts, values[at][of], np.union1d(h, unsteps(bare)), backs.astype(bool)
+
+
 def count_ngrams(rows: pa.Table, buckets: int, named: bool) -> pa.Table:
     """A bucket of a table of n-grams: counts (and ids if ``named``) and the histories' sums to each chunk."""
     bucket = rows.column("bucket")[0].as_py()
-    chunks, asks = rows.column("chunk").to_pylist(), [unpack(b) for b in rows.column("payload").to_pylist()]
-    h, w = (np.concatenate([unsteps(a[i]) for a in asks]) for i in (0, 1))
-    first, which = pairs(h, w)
-    counts = np.bincount(which, weights=np.concatenate([a[2] for a in asks]), minlength=len(first)).astype(np.int64)
-    lower = np.concatenate([a[3][a[4]] for a in asks])[first]
+    chunks, asks = rows.column("chunk").to_pylist(), [unpack_ask(b) for b in rows.column("payload").to_pylist()]
+    h, g, asked, lower = (np.concatenate([a[i] for a in asks]) for i in range(4))
+    first, which = pairs(h, g)
+    counts = by(which, asked, len(first)).astype(np.int64)
     seen = np.flatnonzero(counts)
     ids = np.zeros(len(first), np.int64)
     ids[seen[np.argsort(-counts[seen], kind="stable")]] = np.arange(len(seen)) * buckets + bucket + 1
     histories, of = np.unique(h[first[seen]], return_inverse=True)
-
-    def by_history(x: np.ndarray) -> np.ndarray:
-        return np.bincount(of, weights=x, minlength=len(histories))
-
-    total = by_history(counts[seen]).astype(np.int64)
-    few = [by_history(counts[seen] == r).astype(np.int64) for r in range(1, CUT + 1)]
-    low = by_history(lower[seen])
-    table = [steps(h[first[seen]]), steps(w[first[seen]]), counts[seen], *([ids[seen]] if named else [])]
-    out = [("table", None, bucket, pack(*table), None), ("numbers", None, bucket, None, _numbers(counts[seen]))]
+    n, own = len(histories), counts[seen]
+    least = np.full(n + 1, CUT + 1)
+    np.minimum.at(least, of, own)
+    few = [np.append(by(of, own == r, n), 0).astype(np.int64) for r in range(1, CUT + 1)]
+    low = np.append(by(of, lower[first[seen]], n), 0.0)
+    table = [steps(h[first[seen]]), steps(g[first[seen]]), own, *([ids[seen]] if named else [])]
+    out = [("table", None, bucket, pack(*table), None), ("numbers", None, bucket, None, _numbers(own))]
     start = 0
-    for chunk, ask in zip(chunks, asks, strict=True):
-        own = which[start:start + len(ask[0])]
-        start += len(ask[0])
-        wanted = unsteps(ask[5])
-        at = np.minimum(np.searchsorted(histories, wanted), max(0, len(histories) - 1))
-        there = histories[at] == wanted if len(histories) else np.zeros(len(wanted), bool)
-        sums = [np.where(there, x[at], 0) if len(histories) else np.zeros(len(wanted), x.dtype) for x in (total, *few, low)]
-        gram = ids[own] if named else np.zeros(0, np.int64)
-        out.append(("answer", chunk, bucket, pack(counts[own], gram, *sums), None))
+    for chunk, (ask_h, _, _, _, wanted, backs) in zip(chunks, asks, strict=True):
+        mine = which[start:start + len(ask_h)]
+        start += len(ask_h)
+        at = np.searchsorted(histories, wanted)
+        at = np.where(np.append(histories, START - 1)[at] == wanted, at, n)  # entry n: no such history
+        gram = ids[mine] if named else np.zeros(0, np.int64)
+        out.append(("answer", chunk, bucket, pack(counts[mine], gram, least[at], *[x[at[backs]] for x in (*few, low)]), None))
     return _staged(out)
 
 
@@ -371,10 +394,16 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str, train: Column, order: i
 
         def chunk(id_type: pa.DataType) -> pa.RecordBatch:
             rows, ids, train, sizes = zip(*pieces, strict=True)
+            # Words in order of frequency (the end token first): their ids pack best.
+            coded, words = np.array(tokens, "<i4"), list(local)
+            order = np.argsort(-np.bincount(coded, minlength=len(words) + 1)[2:], kind="stable")
+            rank = np.arange(len(words) + 1, dtype="<i4")
+            rank[order + 2] = np.arange(len(order), dtype="<i4") + 2
+            words = [END_WORD, *[words[i + 1] for i in order]]
             lists = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), pa.array(x, t)) for x, t in (
                 (ids, id_type), (rows, pa.int64()), (train, pa.bool_()), (sizes, pa.int64()))]
             one = [pa.array([x], pa.int64()) for x in (base + made, len(local), sum(sizes))]
-            blobs = [pa.array([pack(x)], pa.binary()) for x in (np.frombuffer(b" ".join(local), np.uint8), np.array(tokens, "<i4"))]
+            blobs = [pa.array([pack(x)], pa.binary()) for x in (np.frombuffer(b" ".join(words), np.uint8), rank[coded])]
             return pa.RecordBatch.from_arrays([*one, *lists, *blobs], [
                 "chunk", "n_words", "n_tokens", "ids", "rows", "train", "sizes", "words", "tokens"])
 
@@ -401,10 +430,6 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str, train: Column, order: i
                                   "train array<boolean>, sizes array<bigint>, words binary, tokens binary")
 
 
-def _word_buckets(words: list[bytes], buckets: int) -> np.ndarray:
-    return np.array([zlib.crc32(w) for w in words], np.int64) % buckets
-
-
 @dataclass(frozen=True)
 class _Plan:
     """What every task needs to evaluate chunks up to the levels known so far."""
@@ -413,22 +438,20 @@ class _Plan:
     train_docs: int
     levels: tuple
 
-    def chunk(self, rows: pa.Table) -> tuple[Chunk, list[bytes]]:
-        row = {c: rows.column(c)[0] for c in ("tokens", "sizes", "train", "words")}
-        tokens, = unpack(row["tokens"].as_py())
-        text, = unpack(row["words"].as_py())
-        sizes, train = (np.array(row[c].values.to_numpy(zero_copy_only=False)) for c in ("sizes", "train"))
-        return Chunk(self.order, tokens.astype(np.int64), sizes, train.astype(bool), self.train_docs), text.tobytes().split(b" ")
+    def chunk(self, rows: pa.Table) -> Chunk:
+        tokens, = unpack(rows.column("tokens")[0].as_py())
+        sizes, train = (np.array(rows.column(c)[0].values.to_numpy(zero_copy_only=False)) for c in ("sizes", "train"))
+        return Chunk(self.order, tokens.astype(np.int64), sizes, train.astype(bool), self.train_docs)
 
     def evaluated(self, rows: pa.Table, answers: pa.Table) -> Chunk:
-        chunk, words = self.chunk(rows)
+        chunk = self.chunk(rows)
         by_level: dict[int, list] = defaultdict(list)
         for level, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", "payload")), strict=True):
             by_level[level].append((bucket, blob))
         for k, level in enumerate(self.levels, 1):
             given = [unpack(blob) for _, blob in sorted(by_level[k], key=lambda x: x[0])]
             if k == 1:
-                chunk.words(level, given, _word_buckets(words, level.buckets))
+                chunk.words(level, given)
             else:
                 chunk.ask(k, level.buckets)
                 if k == self.order:  # ids of the longest n-grams are never asked for
@@ -451,14 +474,15 @@ def _ask_words(chunks: DataFrame, plan: _Plan, buckets: int) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 rows = pa.Table.from_batches([batch.slice(k, 1)])
-                chunk, words = plan.chunk(rows)
+                chunk = plan.chunk(rows)
+                words = unpack(rows.column("words")[0].as_py())[0].tobytes().split(b" ")
                 counts = np.bincount(chunk.tokens[chunk.learned], minlength=len(words) + 1)[1:]
-                where = _word_buckets(words, buckets)
+                where = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
                 order = np.argsort(where, kind="stable")
                 out = []
                 for b, own in zip(np.unique(where), np.split(order, np.flatnonzero(np.diff(where[order])) + 1), strict=True):
                     text = np.frombuffer(b" ".join([words[i] for i in own]), np.uint8)
-                    out.append((rows.column("chunk")[0].as_py(), int(b), pack(text, counts[own])))
+                    out.append((rows.column("chunk")[0].as_py(), int(b), pack(steps(own), counts[own], text)))
                 yield from _asked(out).combine_chunks().to_batches()
 
     return chunks.select("chunk", "sizes", "train", "words", "tokens").mapInArrow(ask, ASKED)
@@ -466,18 +490,14 @@ def _ask_words(chunks: DataFrame, plan: _Plan, buckets: int) -> DataFrame:
 
 def _ask_ngrams(chunks: DataFrame, answers: DataFrame, plan: _Plan, k: int, buckets: int) -> DataFrame:
     def ask(rows: pa.Table, given: pa.Table) -> pa.Table:
-        chunk, out = plan.evaluated(rows, given), []
-        for b, (h, w, counts, lower, histories) in chunk.ask(k, buckets).items():
-            values, at = np.unique(lower, return_inverse=True)
-            out.append((rows.column("chunk")[0].as_py(), b, pack(steps(h), steps(w), counts, values, at.astype(np.int64), steps(histories))))
-        return _asked(out)
+        chunk, number = plan.evaluated(rows, given), rows.column("chunk")[0].as_py()
+        return _asked([(number, b, pack_ask(*what)) for b, what in chunk.ask(k, buckets).items()])
 
-    return _beside(chunks, answers).applyInArrow(ask, ASKED)
+    return _beside(chunks.select("chunk", "sizes", "train", "tokens"), answers).applyInArrow(ask, ASKED)
 
 
 def _beside(chunks: DataFrame, answers: DataFrame):
-    left = chunks.select("chunk", "ids", "rows", "sizes", "train", "words", "tokens")
-    return left.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
 
 
 def _level(found: DataFrame, buckets: int) -> Level:
@@ -538,7 +558,7 @@ def score(docs: DataFrame, train: Column, order: int = 2, id_col: str = "doc_id"
                          pa.array(chunk.sizes), pa.array(known), pa.array(by_piece(plain)), pa.array(by_piece(np.log10(chunk.p)))],
                         names=["row", "id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    pieces = _beside(chunks, answers).applyInArrow(
+    pieces = _beside(chunks.select("chunk", "ids", "rows", "sizes", "train", "tokens"), answers).applyInArrow(
         evaluate, f"row long, id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     summed = pieces.groupBy("row").agg(F.first("id").alias("id"), F.first("held_out").alias("held_out"),
                                        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
@@ -547,9 +567,10 @@ def score(docs: DataFrame, train: Column, order: int = 2, id_col: str = "doc_id"
 
 
 def ngrams(tables: list[DataFrame], level: int) -> DataFrame:
-    """The training n-grams of a level as rows: (id, word, n) of level 1, else (history, token, n), by ids.
+    """The training n-grams of a level as rows: (id, word, n) of level 1, else (history, suffix, n).
 
-    The history is the id of an n-gram of the level below, or -1 before a text; the end token's word is a line feed.
+    History and suffix are ids of n-grams of the level below (of single tokens at level 2); the history before a
+    text is -1.  The end token's word is a line feed.
     """
     buckets = tables[level - 1].agg(F.coalesce(F.max("bucket"), F.lit(0))).first()[0] + 1 if level == 1 else 0
 
@@ -564,6 +585,6 @@ def ngrams(tables: list[DataFrame], level: int) -> DataFrame:
                                                       pa.array(arrays[1], pa.int64())], ["id", "word", "n"])
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array(unsteps(arrays[0])), pa.array(unsteps(arrays[1])), pa.array(arrays[2])],
-                                                     ["history", "token", "n"])
+                                                     ["history", "suffix", "n"])
 
-    return tables[level - 1].mapInArrow(rows, "id long, word string, n long" if level == 1 else "history long, token long, n long")
+    return tables[level - 1].mapInArrow(rows, "id long, word string, n long" if level == 1 else "history long, suffix long, n long")

@@ -112,7 +112,7 @@ def test_equals_plain_model(frame, monkeypatch, order, small):
     words = {r.id: r.word for r in katz.ngrams(tables, 1).collect()}
     assert Counter({words[r.id]: r.n for r in katz.ngrams(tables, 1).collect()}) == Counter({k[0]: n for k, n in model.counts[1].items()})
     if order > 1:
-        found = {("" if r.history == -1 else words[r.history], words[r.token]): r.n for r in katz.ngrams(tables, 2).collect()}
+        found = {("" if r.history == -1 else words[r.history], words[r.suffix]): r.n for r in katz.ngrams(tables, 2).collect()}
         assert found == {g: n for g, n in model.counts[2].items()}
 
 
