@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators.aggregates import mean_of, per_unit, unit_mean
-from fleetpulse.operators.joins import (attach_units, fits_broadcast, join_salted, join_small,
-                                       restrict_to_units)
+from fleetpulse.operators.joins import (attach_units, attach_units_splitting, fits_broadcast, join_small,
+                                       join_splitting, restrict_to_units, restrict_to_units_splitting)
 from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 # (output name, metric column, decimal places) for the fleet overview.
@@ -177,28 +177,31 @@ def hourly_pattern(readings: DataFrame, metrics=HOURLY_METRICS) -> DataFrame:
 
 # ------------------------------------------------------------- A6 / D7 – D9
 def unit_stats(readings: DataFrame, metric: str = "avg_temp_c") -> DataFrame:
-    """Per-unit mean and population std; units with std 0, NULL or NaN are dropped."""
+    """Per-unit count, mean and population std; units with std 0, NULL or NaN are dropped."""
     return (readings.groupBy("unit_id")
-            .agg(F.avg(metric).alias("mu"), F.stddev_pop(metric).alias("sigma"))
+            .agg(F.count(metric).alias("n"), F.avg(metric).alias("mu"), F.stddev_pop(metric).alias("sigma"))
             .filter((F.col("sigma") > 0) & ~F.isnan("sigma")))
 
 
 def scored_readings(readings: DataFrame, units: DataFrame, metric: str = "avg_temp_c",
-                    k_sigma: float = schema.ZSCORE_THRESHOLD) -> DataFrame:
+                    k_sigma: float = schema.ZSCORE_THRESHOLD, stats: DataFrame | None = None) -> DataFrame:
     """Readings of known units whose |z| exceeds ``k_sigma``, with mu and z.
 
+    ``stats`` are the units' statistics, if they are at hand (:func:`unit_stats`).
+
     The statistics are restricted to units that exist, so they have no more
     rows than the unit table; when that passes the size check they are
-    broadcast and the fact is never shuffled.  Otherwise the join is salted: a
-    hot unit's readings go to several tasks, its statistics to each of them.
-    A NaN reading is no reading.
+    broadcast and the fact is never shuffled.  Otherwise the join splits the
+    units that the statistics show to be hot: their readings go to several
+    tasks, their statistics to each of these.  A NaN reading is no reading.
     """
     known = readings.filter(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
-    stats = restrict_to_units(unit_stats(known, metric), units)
+    stats = unit_stats(known, metric) if stats is None else stats
+    stats = restrict_to_units(stats, units)
     if fits_broadcast(units.select("unit_id")):
-        joined = known.join(F.broadcast(stats), "unit_id")
+        joined = known.join(F.broadcast(stats.drop("n")), "unit_id")
     else:
-        joined = join_salted(known, stats, "unit_id", "reading_id")
+        joined = join_splitting(known, stats.drop("n"), "unit_id", "reading_id", stats.select("unit_id", "n"))
     z = C.zscore(metric, "mu", "sigma")
     return (joined.withColumn("_z", z).withColumn("_abs_z", F.abs(F.col("_z")))
             .filter(F.col("_abs_z") > F.lit(k_sigma)))
@@ -266,7 +269,7 @@ def multi_fault(readings: DataFrame, units: DataFrame, top: int | None = 10) ->
     """
     faulty = readings.filter((F.col("cooler_condition") < 100) & (F.col("valve_condition") < 100)
                              & (F.col("pump_leakage") > 0))
-    faulty = restrict_to_units(faulty, units)
+    faulty = restrict_to_units_splitting(faulty, units)
     order = [F.asc_nulls_first(c) for c in FAULT_COLUMNS]
     if top is not None:
         faulty = faulty.orderBy(*order).limit(top)
@@ -281,13 +284,19 @@ def multi_fault(readings: DataFrame, units: DataFrame, top: int | None = 10) ->
 
 # ------------------------------------------------------------------ A9 / W1
 def readings_of_unit(readings: DataFrame, units: DataFrame, unit_code: str) -> DataFrame:
-    """Readings of the unit(s) with ``unit_code``: a semi-join when the query runs.
+    """Readings of the unit(s) with ``unit_code``, found when the query runs.
 
-    The ids come from the unit table as it is then; the join sits below any
-    window, so only that unit's readings move.
+    The smallest and largest id of the units with that code are scalar
+    subqueries over the unit table as it is then; as bounds on the fact they
+    reach the Parquet reader, which skips the row groups and pages without
+    them (readings are written in order of unit).  The semi-join below any
+    window leaves out units in between; only that unit's readings move.
     """
-    chosen = units.filter(F.col("unit_code") == F.lit(unit_code)).select("unit_id")
-    return join_small(readings, chosen, "unit_id", "left_semi")
+    chosen = units.filter((F.col("unit_code") == F.lit(unit_code)) & F.col("unit_id").isNotNull()).select("unit_id")
+    # By order, not min and max: Spark would merge these to one subquery of two fields, which the reader can't take.
+    first, last = (chosen.orderBy(order("unit_id")).limit(1).scalar() for order in (F.asc, F.desc))
+    near = readings.filter((F.col("unit_id") >= first) & (F.col("unit_id") <= last))
+    return join_small(near, chosen, "unit_id", "left_semi")
 
 
 def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None = None,
@@ -305,15 +314,19 @@ def moving_average(readings: DataFrame, units: DataFrame, unit_code: str | None
     window leaves them, rather than paying a global sort of the entire fact.
     """
     ordered = (unit_code is not None) if ordered is None else ordered
-    base = (readings_of_unit(readings, units, unit_code) if unit_code is not None
-            else restrict_to_units(readings, units))
-    base = base.select("unit_id", "reading_id", "timestamp", metric, "cooler_condition")
-    if top is not None:
-        head = base.orderBy("timestamp", "reading_id").limit(top)
-        framed = moving_mean_bounded(head, metric, "_mv", rows)
+    columns = ["unit_id", "reading_id", "timestamp", metric, "cooler_condition"]
+    if unit_code is None and top is None:
+        known = attach_units_splitting(readings.select(*columns), units, columns=("unit_code",))
+        shown = moving_mean(known, metric, "_mv", rows)
     else:
-        framed = moving_mean(base, metric, "_mv", rows)
-    shown = attach_units(framed, units, columns=("unit_code",))
+        base = (readings_of_unit(readings, units, unit_code) if unit_code is not None
+                else restrict_to_units_splitting(readings, units)).select(*columns)
+        if top is not None:
+            head = base.orderBy("timestamp", "reading_id").limit(top)
+            framed = moving_mean_bounded(head, metric, "_mv", rows)
+        else:
+            framed = moving_mean(base, metric, "_mv", rows)
+        shown = attach_units(framed, units, columns=("unit_code",))
     if ordered:
         shown = shown.orderBy("timestamp", "reading_id")
     rnd = (lambda c: C.half_up_round(c, round_to)) if round_to is not None else (lambda c: F.col(c))

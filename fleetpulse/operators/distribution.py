@@ -1,30 +1,36 @@
-"""Exact distribution summaries per group (D6) without sorting or gathering a group.
+"""Exact distribution summaries per group (D6) in three passes over the fact.
 
 Quantiles use the linear rule of SQL ``percentile`` / ``quantile_cont``: at
 position p = q·(n−1) the value is v[⌊p⌋] + (v[⌈p⌉] − v[⌊p⌋])·(p − ⌊p⌋).
 
-Each needed rank is selected by narrowing a value range: a pass counts the
-values of the range in ``BUCKETS`` equal intervals and keeps the interval with
-the rank, with its true smallest and largest value as the next range.  After
-``ROUNDS`` passes the distinct values left are counted and the one with the
-rank is read off.  Bucket numbers never fall when values rise, so every step
-is exact; a pass shuffles one row per task, group and interval or value.  All
-groups and sizes take this way: five passes in one lazy plan, each beside the
-broadcast result of the one before.
+1. A quantile sketch per group (``percentile_approx``, ranks off by at most a
+   share ``1 / ACCURACY`` of the group) brackets each quartile: the values at
+   the sketch's quantiles two such shares below and above it.  Groups of up to
+   ``ACCURACY`` values are their own bracket.
+2. An exact pass counts the values outside of the brackets by the gap they lie
+   in, and the values inside one by one, equal ones together, before anything
+   is shuffled.  The counts give every kept value its exact rank.
+3. The fences known, a pass counts what lies outside of them.
+
+Brackets are cut by rank, not by value, so heavy tails and far outliers don't
+fill them: about ``6 / ACCURACY`` of a group's rows are kept per quartile,
+whatever the values.  A rank that its bracket doesn't hold would break the
+sketch's guarantee and stops the query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import columns as C
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 FENCE_IQR = 1.5
-BUCKETS, ROUNDS = 4096, 2
+#: Inverse of the sketch's relative rank error.
+ACCURACY = 10_000
 KEYS, CARRIED = ["metric", "group"], ["n", "min", "max"]
 
 
@@ -50,47 +56,62 @@ def _beside(values: DataFrame, side: DataFrame) -> DataFrame:
     return values.join(F.broadcast(side), on).drop("_metric", "_group")
 
 
-def _holding_rank(counts: DataFrame, order_col: str) -> DataFrame:
-    """Of each (group, wanted)'s ``counts`` in order, the row that holds its rank; ``rank`` becomes the rank within."""
-    order = Window.partitionBy(*KEYS, "wanted").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
-    held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows"))
-    return counts.filter(held).withColumn("rank", F.col("rank") - F.col("before")).drop("before")
-
-
-def _inside(long: DataFrame, ranges: DataFrame) -> DataFrame:
-    return _beside(long, ranges).filter(F.col("value").between(F.col("lo"), F.col("hi")))
-
-
-def _narrowed(long: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``ranges`` cut to the interval of each range that holds its rank."""
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(BUCKETS))
-    step = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(BUCKETS - 1)))
-    counts = (_inside(long, ranges).withColumn("step", F.coalesce(step, F.lit(0)).cast("int"))
-              .groupBy(*KEYS, *CARRIED, "wanted", "rank", "step")
-              .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-    return _holding_rank(counts, "step").select(*KEYS, *CARRIED, "wanted", "rank", "lo", "hi")
+def _brackets(long: DataFrame) -> DataFrame:
+    """(metric, group, n, min, max, brackets): of each group and quartile the values (lo, hi) that hold its ranks."""
+    slack = 2 / ACCURACY
+    shares = [share for _, q in QUARTILES for share in (q - slack, q + slack)]
+    sketch = F.percentile_approx("value", F.array(*[F.lit(x) for x in shares]), F.lit(ACCURACY))
+    groups = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+                                     sketch.alias("cuts"))
+    small = F.col("n") <= ACCURACY
+    brackets = [F.struct(F.when(small, F.col("min")).otherwise(F.col("cuts")[2 * k]).alias("lo"),
+                         F.when(small, F.col("max")).otherwise(F.col("cuts")[2 * k + 1]).alias("hi"))
+                for k in range(len(QUARTILES))]
+    return groups.select(*KEYS, *CARRIED, F.array(*brackets).alias("brackets"))
+
+
+def _counted(long: DataFrame, brackets: DataFrame) -> DataFrame:
+    """(group columns, kept, gap, rows): values inside a bracket with their rows, and the rows of each gap between brackets."""
+    beside = _beside(long, brackets)
+    edges = [F.col("brackets")[k] for k in range(len(QUARTILES))]
+    inside = edges[0]["lo"].isNull()
+    gap = F.lit(0)
+    for e in edges:
+        inside = inside | F.col("value").between(e["lo"], e["hi"])
+        gap = gap + (F.col("value") > e["hi"]).cast("int")
+    return (beside.withColumns({"kept": F.when(inside, F.col("value")), "gap": F.when(~inside, gap)})
+            .groupBy(*KEYS, *CARRIED, "brackets", "kept", "gap").agg(F.count(F.lit(1)).alias("rows")))
 
 
 def quartiles(long: DataFrame) -> DataFrame:
     """(metric, group, n, min, max, q1, median, q3) of every group."""
-    sizes = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
-    wanted = []
-    for _, q in QUARTILES:
+    counted = _counted(long, _brackets(long))
+    # In order of value: gap k lies before the kept values above k brackets' ends.
+    whole = [F.col("brackets")[k]["hi"] for k in range(len(QUARTILES))]
+    ends = F.lit(0)
+    for hi in whole:
+        ends = ends + (F.col("kept") > hi).cast("int")
+    # A gap's rows come after the brackets that end below it and before the next one begins.
+    after = F.when(F.col("gap").isNotNull(), F.col("gap") * 2).otherwise(ends * 2 + 1)
+    order = Window.partitionBy(*KEYS).orderBy("_after", "kept").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (counted.withColumn("_after", after)
+              .withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
+              .filter(F.col("kept").isNotNull()))
+
+    def at(rank: Column) -> Column:
+        holds = (F.col("before") <= rank) & (rank < F.col("before") + F.col("rows"))
+        return F.max(F.when(holds, F.col("kept")))
+
+    ranks = {}
+    for name, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
-        wanted += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    ranges = sizes.select("*", F.explode(F.array_distinct(F.array(*wanted))).alias("wanted"))
-    ranges = ranges.withColumns({"rank": F.col("wanted"), "lo": F.col("min"), "hi": F.col("max")})
-    for _ in range(ROUNDS):
-        ranges = _narrowed(long, ranges)
-    # The values left, equal ones counted before they move.
-    left = _inside(long, ranges).groupBy(*KEYS, *CARRIED, "wanted", "rank", "value").agg(F.count(F.lit(1)).alias("rows"))
-    found = _holding_rank(left, "value").groupBy(*KEYS, *CARRIED).agg(
-        F.map_from_entries(F.collect_list(F.struct("wanted", "value"))).alias("at"))
+        ranks |= {f"{name}_lo": at(F.floor(pos).cast("long")), f"{name}_hi": at(F.ceil(pos).cast("long"))}
+    found = ranked.groupBy(*KEYS, *CARRIED).agg(*[c.alias(k) for k, c in ranks.items()])
     cols = []
     for name, q in QUARTILES:
         pos = (F.col("n") - 1) * F.lit(q)
-        lo, hi = F.col("at")[F.floor(pos).cast("long")], F.col("at")[F.ceil(pos).cast("long")]
+        lost = F.raise_error(F.lit("a quantile sketch's bracket doesn't hold its rank")).cast("double")
+        lo, hi = (F.coalesce(F.col(f"{name}_{end}"), lost) for end in ("lo", "hi"))
         cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
     return found.select(*KEYS, *CARRIED, *cols)
 

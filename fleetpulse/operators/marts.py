@@ -15,7 +15,7 @@ from fleetpulse.functions import columns as C
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators.aggregates import mean_of, per_unit
 from fleetpulse.operators.distribution import box_summary
-from fleetpulse.operators.joins import attach_units, restrict_to_units
+from fleetpulse.operators.joins import attach_units, restrict_to_units, restrict_to_units_splitting
 from fleetpulse.operators.windows import moving_mean
 
 UNROUNDED_DECIMALS = 6  # unrounded means are emitted at 6 dp (engine-independent)
@@ -76,7 +76,7 @@ def box_summary_by_condition(readings: DataFrame, units: DataFrame,
                              metrics=("avg_temp_c", "motor_power_w"),
                              labels=schema.LABELS_STATUS) -> DataFrame:
     """Quartiles, fences and outliers of each metric per condition label."""
-    known = restrict_to_units(readings, units)
+    known = restrict_to_units_splitting(readings, units)
     labelled = known.withColumn("condition_label", C.condition_label("cooler_condition", labels))
     return box_summary(labelled, "condition_label", list(metrics))
 

@@ -22,43 +22,61 @@ def time_bucket(column: str, seconds: int) -> Column:
     return F.coalesce(F.floor(since / F.lit(seconds)).cast("long"), F.lit(-(1 << 62)))
 
 
+def _sequential_mean(values: list[Column]) -> Column:
+    """Mean of the values that aren't NULL, added up in the order given, as a running frame adds them."""
+    total, n = F.lit(0.0), F.lit(0)
+    for v in values:
+        total, n = total + F.coalesce(v, F.lit(0.0)), n + v.isNotNull().cast("int")
+    return F.when(n > 0, total / n)
+
+
 def moving_mean(df: DataFrame, value_col: str, out: str, rows: int = 4,
                 partition_col: str = "unit_id", order_cols=("timestamp", "reading_id"),
                 bucket_seconds: int | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS rows-1 PRECEDING)``.
 
     Rows are dealt by (p, time bucket) on the first order column, so a unit
-    with billions of rows is spread over many window tasks.  Each bucket also
-    gets the last ``rows - 1`` rows before it, taken from the buckets that end
-    before it, so a frame that starts earlier is whole.  The fact is shuffled
-    once; the carried rows are a few per unit and bucket.
+    with billions of rows is spread over many window tasks.  Within a bucket a
+    row's frame is its ``lag`` values.  The last row of a bucket holds the
+    bucket's tail in its lags; these rows, one per unit and bucket, give each
+    bucket the ``rows - 1`` values before it, and only a bucket's first
+    ``rows - 1`` rows look at them.  Both uses read one shuffle of one scan if
+    the caller uses all columns of ``df``: the carried rows keep them all, so
+    their exchange is the fact's own.
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
     width = bucket_seconds or conf_int(df.sparkSession, BUCKET_SECONDS_KEY, DEFAULT_BUCKET_SECONDS)
+    value = F.col(value_col).cast("double")
+    if rows == 1:
+        return df.withColumn(out, value)
     # A struct: rows without a unit are one group here as in a plain window.
-    base = df.withColumns({"_unit": F.struct(F.col(partition_col).alias("k")),
-                           "_bucket": time_bucket(order_cols[0], width)})
-    keys, value = ["_unit", "_bucket"], F.struct(F.col(value_col).alias("v"))
-    framed = base.withColumn("_own", F.collect_list(value).over(_frame(keys, order_cols, rows)))
-    if rows > 1:
-        latest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
-        tails = (base.select(*keys, *order_cols, value.alias("_v"))
-                 .withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") < rows)
-                 .groupBy(*keys).agg(F.array_sort(F.collect_list(
-                     F.struct((-F.col("_back")).alias("at"), F.col("_v").alias("v")))).alias("_tail")))
-        before = Window.partitionBy("_unit").orderBy("_bucket").rowsBetween(-(rows - 1), -1)
-        carried = F.transform(F.flatten(F.collect_list("_tail").over(before)), lambda x: x["v"])
-        framed = framed.join(tails.select(*keys, carried.alias("_carried")), keys, "left")
-        whole = F.concat("_carried", "_own")
-    else:
-        whole = F.col("_own")
-    framed = framed.withColumn("_whole", whole)
-    last = F.slice("_whole", F.greatest(F.size("_whole") - rows, F.lit(0)) + 1, rows)
-    framed = framed.withColumn("_last", F.filter(last, lambda x: x["v"].isNotNull()))
-    total = F.aggregate("_last", F.lit(0.0), lambda a, x: a + x["v"].cast("double"))
-    mean = F.when(F.size("_last") > 0, total / F.size("_last"))
-    return framed.select(*df.columns, mean.alias(out))
+    others = [c for c in df.columns if c != partition_col]
+    base = df.select(F.struct(F.col(partition_col).alias("k")).alias("_unit"),
+                     time_bucket(order_cols[0], width).alias("_bucket"), *others)
+    keys = ["_unit", "_bucket"]
+    in_order = Window.partitionBy(*keys).orderBy(*order_cols)
+    framed = base.withColumns({"_at": F.row_number().over(in_order)} | {
+        f"_lag{k}": F.lag(value, k).over(in_order) for k in range(1, rows)})
+    # The last row of each bucket and its lags: the bucket's last values, oldest first.
+    own = [F.when(F.col("_at") > k, F.struct(F.col(f"_lag{k}").alias("v"))) for k in range(rows - 2, 0, -1)]
+    own.append(F.struct(value.alias("v")))
+    last = framed.withColumn("_next", F.lead(F.lit(1)).over(in_order)).filter(F.col("_next").isNull())
+    tails = last.select(*keys, F.struct(F.array_compact(F.array(*own)).alias("tail"),
+                                        F.struct(*others).alias("row")).alias("_end"))
+    before = Window.partitionBy("_unit").orderBy("_bucket").rowsBetween(-(rows - 1), -1)
+    carried = F.flatten(F.transform(F.collect_list("_end").over(before), lambda x: x["tail"]))
+    carried = tails.select(*keys, F.reverse(carried).alias("_carried"))  # latest first
+    joined = framed.join(carried, keys, "left")
+
+    def back(k: int) -> Column:
+        """The value ``k`` rows before this one, from the bucket or from those before it."""
+        from_carried = F.get("_carried", F.lit(k) - F.col("_at"))["v"]
+        return F.when(F.col("_at") > k, F.col(f"_lag{k}")).otherwise(from_carried)
+
+    mean = _sequential_mean([*[back(k) for k in range(rows - 1, 0, -1)], value])
+    kept = [F.col("_unit.k").alias(c) if c == partition_col else F.col(c) for c in df.columns]
+    return joined.select(*kept, mean.alias(out))
 
 
 def moving_mean_bounded(df: DataFrame, value_col: str, out: str, rows: int = 4,

@@ -16,14 +16,14 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.operators.joins import attach_units
+from fleetpulse.operators.joins import attach_units_splitting
 
 Report = Callable[[], DataFrame]
 
 
 def readings_enriched(readings: DataFrame, units: DataFrame) -> DataFrame:
     """Every reading of a known unit, with the unit's code, model, region and site."""
-    return attach_units(readings, units).select(
+    return attach_units_splitting(readings, units).select(
         *readings.columns, "unit_code", "model", "region", "site")
 
 

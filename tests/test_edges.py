@@ -141,13 +141,30 @@ def test_quartiles_at_forced_small_buckets(spark, monkeypatch):
             for i in range(400)] + [reading(1000, 1, 5, float("nan"), 3), reading(1001, 1, 5, None, 3)]
     r, u = frames(spark, rows, [unit(1)])
     wide = sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str)
-    for buckets, rounds in ((2, 1), (3, 4), (64, 1)):
-        monkeypatch.setattr(distribution, "BUCKETS", buckets)
-        monkeypatch.setattr(distribution, "ROUNDS", rounds)
+    for accuracy in (8, 25, 90):
+        monkeypatch.setattr(distribution, "ACCURACY", accuracy)
         assert sorted(map(tuple, D.box_summary_by_condition(r, u).collect()), key=str) == wide
     assert len(wide) == 8
 
 
+def test_heavy_tails_keep_few_rows_and_stay_exact(spark):
+    """Values on three scales: brackets are cut by rank, so the outliers don't fill them."""
+    import numpy as np
+
+    from fleetpulse.operators import distribution
+
+    n = 200_000
+    value = F.when(F.col("id") == 0, F.lit(1e15)).when(F.col("id") == 1, F.lit(1e8)).otherwise(F.rand(5) * 100)
+    df = spark.range(n, numPartitions=8).select(F.lit("g").alias("label"), value.alias("v"))
+    long = distribution.stack_metrics(df, "label", ["v"])
+    kept = distribution._counted(long, distribution._brackets(long)).filter(F.col("kept").isNotNull())
+    assert 6 <= kept.count() <= 6 / distribution.ACCURACY * n * len(distribution.QUARTILES)
+    got = distribution.quartiles(long).first()
+    v = np.array([r.v for r in df.select("v").collect()])
+    assert [got.q1, got.median, got.q3] == pytest.approx(np.percentile(v, [25, 50, 75]).tolist(), rel=1e-12)
+    assert got.n == n and got.max == 1e15
+
+
 # ------------------------------------------------------------------- properties
 def test_condition_counts_sum_to_total(spark):
     rows = [reading(i, 1 + i % 3, i, float(i % 17), [100, 20, 3][i % 3]) for i in range(90)]
@@ -267,6 +284,30 @@ def test_salted_statistics_join(spark, no_broadcast):
     assert len(salted) == want > 10
 
 
+def test_joins_split_a_hot_unit(spark, no_broadcast):
+    """One unit has a third of the rows: no task gets more than twice the median, and no other unit is repeated."""
+    from fleetpulse.operators import joins
+
+    n, units_n = 60_000, 20_000
+    unit_id = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % units_n)
+    fact = spark.range(n, numPartitions=8).select(F.col("id").alias("reading_id"), unit_id.alias("unit_id"))
+    units = spark.range(units_n).select(F.col("id").alias("unit_id"), F.lit("c").alias("unit_code"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for joined in (joins.attach_units_splitting(fact, units, ("unit_code",)), joins.restrict_to_units_splitting(fact, units)):
+            sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+            assert sum(sizes) == n and len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+            assert joined.select("reading_id").distinct().count() == n
+        plain = fact.join(units, "unit_id").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in plain) > 5 * n / 16
+    finally:
+        for key, value in (("spark.sql.adaptive.enabled", "true"), ("spark.sql.shuffle.partitions", "8")):
+            spark.conf.set(key, value)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_box_summary_against_numpy(spark, seed):
     import random

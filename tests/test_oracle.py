@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 import compare_oracle as co  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from fleet_fixtures import SF_SMALL  # noqa: E402
 from fleetpulse.plans.catalog import all_queries  # noqa: E402
 from fleetpulse.plans.oracle import all_sql  # noqa: E402
 
