@@ -1,15 +1,17 @@
 """Quality rules from cross-document line frequency (DataFrame functions only).
 
 Lines are normalised (lower case, digits as 0, white space as one space) and
-hashed with their host.  A line that more than ``max_docs`` documents of one
-host hold is removed from all of them; a document that loses more than a share
-of its words, or keeps too few, is rejected.  Rules on the text itself (too
-few words, too many repeated three-word windows) reject a document before.
-
+hashed with their host.  A line that more than ``max_docs`` documents and more
+than ``max_percent`` of all documents of one host hold is removed from all of
+them; a document that loses more than a share of its words, or keeps too few,
+is rejected.  Rules on the text itself (too few words, too many repeated
+three-word windows) reject a document before.
+
+Texts are read once: a row's measures and its lines' hashes and word counts
+are written to the checkpoint folder, and everything after works on these.
 Each document counts a line once, before anything is shuffled; the shuffle
 carries a hash and a count per line and task.  The lines above the limit are
-broadcast behind a check of their number, else joined by a shuffle.  Words are
-then summed per document in the task that holds it.
+broadcast behind a check of their number, else joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -61,27 +63,36 @@ def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }).drop("_words", "_windows", "_lines", "_ordered", "_again")
 
 
-def _lines(text: Column, host: Column) -> Column:
-    """Of each line: its key (null if it has no word) and its words."""
+def _lines(text: Column, host: Column, with_text: bool) -> Column:
+    """Of each line: its key (null if it has no word), its words, and the line itself if ``with_text``."""
     def normal(line: Column) -> Column:
         plain = F.translate(F.lower(line), "0123456789\t\x0b\x0c\r", "0" * 10 + " " * 4)
         return F.trim(F.regexp_replace(plain, " +", " "))
 
-    return F.transform(F.split(text, "\n"), lambda line: F.struct(
-        F.when(F.translate(line, ASCII_SPACE, "") != "", F.xxhash64(F.coalesce(host.cast("string"), F.lit("")), normal(line))).alias("key"),
-        F.size(ascii_words(line)).alias("words"), line.alias("line")))
+    def parts(line: Column) -> Column:
+        # In a normal line each space but those around it ends a word.
+        form = normal(line)
+        worded = form != F.lit("")
+        fields = [F.when(worded, F.xxhash64(host, form)).alias("key"),
+                  F.when(worded, F.length(form) - F.length(F.translate(form, " ", "")) + 1).otherwise(0).alias("words")]
+        return F.struct(*fields, *([line.alias("line")] if with_text else []))
+
+    return F.transform(F.split(text, "\n"), parts)
 
 
-def frequent_lines(docs: DataFrame, host: Column, text_col: str = "text", max_docs: int = 20) -> DataFrame:
-    """(key): hashes of a host and a line that more than ``max_docs`` rows hold."""
-    keys = F.transform(_lines(text_or_empty(text_col), host), lambda x: x["key"])
-    # explode_outer: explode would add a filter on the array and so compute it twice.
-    each = docs.select(F.explode_outer(F.array_distinct(keys)).alias("key")).where(F.col("key").isNotNull())
-    return each.groupBy("key").count().where(F.col("count") > max_docs).select("key")
+def frequent_lines(measured: DataFrame, max_docs: int, max_percent: int) -> DataFrame:
+    """(key): hashes of a host and a line that more than ``max_docs`` rows, and ``max_percent`` of the host's, hold."""
+    keys = F.array_distinct(F.transform("lines", lambda x: x["key"]))
+    each = measured.select("host", F.explode(keys).alias("key")).where(F.col("key").isNotNull())
+    many = stage(each.groupBy("key", "host").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > max_docs), "common-lines")
+    hosts = stage(measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs), "hosts")
+    if hosts.count() <= MAX_BROADCAST_LINES:
+        hosts = F.broadcast(hosts)
+    return many.join(hosts, "host").where(100 * F.col("held") > max_percent * F.col("docs")).select("key")
 
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               max_docs: int = 20, min_words: int = 50, max_repeat_percent: int = 50,
+               max_docs: int = 4, max_percent: int = 2, min_words: int = 50, max_repeat_percent: int = 50,
                max_removed_percent: int = 50, with_text: bool = False) -> DataFrame:
     """A row per row of ``docs``: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     removed_words, removed_lines, base_failed, kept, and ``text`` without the removed lines if
@@ -93,16 +104,16 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted.  An empty table gives no rows; other columns are ignored.
     """
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("string").alias("text"),
-                         F.col(host_col).cast("string").alias("host"))
-    frequent = stage(frequent_lines(source, F.col("host"), max_docs=max_docs), "frequent-lines")
+                         F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit(""))).alias("host"))
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    lines = _lines(F.col("text"), F.col("host"), with_text).alias("lines")
+    measured = stage(with_base(source).select(F.monotonically_increasing_id().alias("row"), "id", "host", *measures, lines), "lines")
+    frequent = stage(frequent_lines(measured, max_docs, max_percent), "frequent-lines")
     if frequent.count() <= MAX_BROADCAST_LINES:
         frequent = F.broadcast(frequent)
-    base = with_base(source).withColumn("row", F.monotonically_increasing_id())
-    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    lines = base.select("row", "id", *measures, F.posexplode_outer(_lines(F.col("text"), F.col("host"))).alias("at", "part"))
-    lines = lines.select("row", "id", *measures, "at", "part.*")
+    each = measured.select("row", "id", *measures, F.posexplode("lines").alias("at", "part")).select("row", "id", *measures, "at", "part.*")
     gone = F.col("hot").isNotNull()
-    joined = lines.join(frequent.withColumnRenamed("key", "hot"), F.col("key") == F.col("hot"), "left")
+    joined = each.join(frequent.withColumnRenamed("key", "hot"), F.col("key") == F.col("hot"), "left")
     sums = [F.sum(F.when(gone, F.col("words")).otherwise(0)).alias("removed_words"),
             F.sum(gone.cast("long")).alias("removed_lines")]
     if with_text:

@@ -28,8 +28,11 @@ WITH docs AS (
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), repeated AS (
   SELECT rid, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY rid
+), hosts AS (
+  SELECT host, count(*) AS n FROM docs GROUP BY host
 ), frequent AS (
-  SELECT host, normal FROM worded GROUP BY host, normal HAVING count(DISTINCT rid) > 20
+  SELECT host, normal FROM worded JOIN hosts USING (host) GROUP BY host, normal, hosts.n
+  HAVING count(DISTINCT rid) > 4 AND 100 * count(DISTINCT rid) > 2 * hosts.n
 ), removed AS (
   SELECT rid, sum(n) AS n FROM worded SEMI JOIN frequent USING (host, normal) GROUP BY rid
 ), measured AS (

@@ -166,6 +166,21 @@ def test_line_rules_without_broadcast(frame, monkeypatch):
     test_line_rules(frame)
 
 
+def test_line_limit_is_a_share_of_the_host(frame):
+    own = lambda i: " ".join(str(i).translate({48 + d: 97 + d for d in range(10)}) + chr(107 + k % 10) for k in range(60))
+    small = docs_of(frame, [(i, f"boiler plate line\n{own(i)}") for i in range(10)], "small")
+    texts = [(100 + i, ("boiler plate line\n" if i < 250 else "chance line\n" if i < 350 else "") + own(i)) for i in range(10_000)]
+    rows = line_quality.line_rules(small.unionByName(docs_of(frame, texts, "large"))).collect()
+    removed = {r.doc_id for r in rows if r.removed_lines}
+    assert removed == {*range(10), *range(100, 350)} and all(r.kept and r.removed_words in (0, 3) for r in rows)
+
+
+def test_very_long_text(frame):
+    long = "\n".join(f"line {i} of a long text with words w{i % 5000}" for i in range(30_000))
+    row = line_quality.line_rules(docs_of(frame, [(1, long)])).first()
+    assert row.n_words == 270_000 and row.kept and row.removed_lines == 0
+
+
 # decontamination
 
 def plain_leaks(docs, items, window=24):
