@@ -47,8 +47,8 @@ from .common import ASCII_SPACE, stage, text_or_empty
 
 #: Tokens of a chunk, and of a piece of a text.
 CHUNK, PIECE = 1 << 20, 1 << 18
-#: n-grams asked of a bucket, about; a history with more occurrences than HOT is dealt over several buckets.
-BUCKET, HOT = 1 << 21, 1 << 20
+#: Words and n-grams asked of a bucket, about; a history with more occurrences than HOT is dealt over several buckets.
+WORDS, BUCKET, HOT = 1 << 19, 1 << 21, 1 << 20
 #: Counts up to this are discounted.
 CUT = 5
 #: Characters of a text split at once.
@@ -534,7 +534,7 @@ def score(docs: DataFrame, train: Column, order: int = 2, id_col: str = "doc_id"
     plan = _Plan(order, docs.where(learned).count(), ())
     tables, answers = [], None
     for k in range(1, order + 1):
-        buckets = 1 + sizes["words" if k == 1 else "tokens"] // BUCKET
+        buckets = 1 + (sizes["words"] // WORDS if k == 1 else sizes["tokens"] // BUCKET)
         asked = _ask_words(chunks, plan, buckets) if k == 1 else _ask_ngrams(chunks, answers, plan, k, buckets)
         found = stage(asked.groupBy("bucket").applyInArrow(_counting(k, buckets, named=k < order), STAGED), f"katz-{k}")
         plan = _Plan(order, plan.train_docs, (*plan.levels, _level(found, buckets)))

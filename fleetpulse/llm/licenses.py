@@ -10,9 +10,13 @@ Jaccard similarity to it of at least 0.45, so a band collides with that
 probability and all bands miss with less than one in a million.  Retrieved
 pairs are then verified by exact shingle containment.
 
+Matches compete only for the same words: of matches that count the same
+shingle of the document, the ones with the largest containment stay.
+
 Template sets come from the caller (or the built-in notices) and are small
-whatever the corpus: they are literals and broadcast.  Documents aren't
-shuffled; only verified pairs are grouped.
+whatever the corpus: they are literals and broadcast, and documents aren't
+shuffled; only verified pairs are grouped.  A set beyond
+``MAX_TEMPLATE_SHINGLES`` is joined with the documents' shingles instead.
 """
 
 from __future__ import annotations
@@ -21,12 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import alnum_words, text_or_empty
+from .common import alnum_words, stage, text_or_empty
 
 SHINGLE_WORDS, BANDS = 5, 24
-#: Licenses found within so many tokens of each other are one notice: the best match stays.
-SAME_PLACE = 8
-#: Bound on all templates' shingles together: they become literals of the plan.
+#: Up to so many shingles all templates together become literals of the plan; more are joined.
 MAX_TEMPLATE_SHINGLES = 50_000
 
 #: Public license notices, in their usual wording.
@@ -37,6 +39,11 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files, to deal in the Software without restriction, including without limitation "
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -128,58 +135,72 @@ def license_matches(docs: DataFrame, templates: dict[str, tuple[str, ...]] | Non
     """(id, license, containment, first_token): a row per document and license found in it.
 
     ``containment`` is the largest share of one of the license's templates'
-    five-word shingles in a window, ``first_token`` the start of the first
-    window that holds enough; of licenses found at one place only the best
-    match stays.  Tokens are lower-cased runs of letters and
-    digits.  Null and short texts (under five tokens) match nothing; repeated
-    rows of an id and null ids are one document each; an empty table gives no
-    rows; other columns are ignored.  A template under five words is refused.
+    five-word shingles in a window, ``first_token`` the position of the first
+    shingle matched.  Matches that count one and the same shingle of the
+    document compete: only those with the largest share stay.  Tokens are
+    lower-cased runs of letters and digits.  Null and short texts (under five
+    tokens) match nothing; repeated rows of an id and null ids are one document
+    each; an empty table gives no rows; other columns are ignored.  A template
+    under five words is refused.
     """
     spark = docs.sparkSession
     table = template_table(spark, templates or NOTICES)
     known = table.collect()  # the caller's templates, hashed
     if any(not r["shingles"] for r in known):
         raise ValueError("a license template needs at least five words")
-    if sum(len(r["shingles"]) for r in known) > MAX_TEMPLATE_SHINGLES:
-        raise ValueError("too many license templates for one scan; scan with a part of them at a time")
     by_class: dict[int, set[int]] = {}
     for r in known:
         by_class.setdefault(class_of(len(r["shingles"])), set()).update(r["shingles"])
-    every = sorted(set().union(*by_class.values()))
+    few = sum(len(r["shingles"]) for r in known) <= MAX_TEMPLATE_SHINGLES
 
-    source = docs.select(F.col(id_col).alias("id"),
+    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                          F.transform(alnum_words(text_or_empty(text_col)), lambda w: F.xxhash64(w)).alias("hashes"))
-    found = _shingled(source).select("id", "shingles")
-    hits = F.array_compact(F.transform("shingles", lambda h, i: F.when(h.isin(every), i)))
-    found = found.withColumn("hits", hits)
+    found = _shingled(source).select("row", "id", "shingles")
+    if few:
+        every = sorted(set().union(*by_class.values()))
+        found = found.withColumn("hits", F.array_compact(F.transform("shingles", lambda h, i: F.when(h.isin(every), i))))
+    else:
+        found = stage(found, "license-shingles")
+        places = found.select("row", F.posexplode("shingles").alias("i", "h"))
+        wanted = table.select(F.explode("shingles").alias("h")).distinct()
+        hits = places.join(wanted, "h").groupBy("row").agg(F.array_sort(F.collect_list("i")).alias("hits"))
+        found = found.join(hits, "row")
 
     def windows(size: int, own: set[int]):
-        """Numbers of the class's windows that hold one of its shingles."""
+        """The class's windows that hold one of its shingles, each with its own part of the document."""
         length, step = window_of(size)
-        mine = F.filter("hits", lambda i: F.get(F.col("shingles"), i).isin(sorted(own)))
+        mine = F.filter("hits", lambda i: F.get(F.col("shingles"), i).isin(sorted(own))) if few else F.col("hits")
         numbers = F.flatten(F.transform(mine, lambda i: F.sequence(
             F.greatest(F.lit(0), F.floor((i - F.lit(length) + F.lit(step)) / F.lit(step)).cast("int")),
             F.floor(i / F.lit(step)).cast("int"))))
-        return F.transform(F.array_distinct(numbers), lambda j: F.struct(
-            F.lit(size).alias("size"), (j * step).alias("begin"), F.lit(length).alias("length")))
+
+        def part(j: Column) -> Column:
+            places = F.filter("hits", lambda i: (i >= j * step) & (i < j * step + length))
+            return F.struct(F.lit(size).alias("size"), F.array_distinct(F.slice("shingles", j * step + 1, length)).alias("window"),
+                            F.transform(places, lambda i: F.struct(i.alias("at"), F.get(F.col("shingles"), i).alias("h"))).alias("places"))
+
+        return F.transform(F.array_distinct(numbers), part)
 
     spots = F.concat(*[windows(size, own) for size, own in sorted(by_class.items())])
     # explode_outer: explode would add a filter on the array and so compute it twice.
-    held = found.select("id", "shingles", F.explode_outer(spots).alias("w")).where(F.col("w").isNotNull()).select(
-        "id", F.col("w.size").alias("size"), F.col("w.begin").alias("begin"),
-        F.array_distinct(F.slice("shingles", F.col("w.begin") + 1, F.col("w.length"))).alias("window"))
+    held = found.select("row", "id", F.explode_outer(spots).alias("w")).where(F.col("w").isNotNull()).select("row", "id", "w.*")
     banded = held.select("*", F.explode_outer(_bands(F.col("window"))).alias("band"))
 
     sizes = spark.createDataFrame([(r["template"], class_of(len(r["shingles"]))) for r in known],
                                   "template string, size int")
     templates_banded = table.join(F.broadcast(sizes), "template").select(
         "license", "template", "size", F.col("shingles").alias("wanted"), F.explode_outer(_bands(F.col("shingles"))).alias("band"))
-    pairs = banded.join(F.broadcast(templates_banded), ["size", "band"])  # bounded by MAX_TEMPLATE_SHINGLES
+    pairs = banded.join(F.broadcast(templates_banded) if few else templates_banded, ["size", "band"])
     share = F.size(F.array_intersect("wanted", "window")) / F.size("wanted")
-    verified = pairs.select("id", "license", "begin", share.alias("share")).where(F.col("share") >= min_containment)
-    best = verified.groupBy("id", "license").agg(
-        F.max("share").alias("containment"), F.min("begin").cast("long").alias("first_token"))
-    # A document has a row per license at most here; versions of one notice match the same place.
-    near = Window.partitionBy("id").orderBy("first_token").rangeBetween(-SAME_PLACE, SAME_PLACE)
-    best = best.withColumn("rival", F.max("containment").over(near)).where(F.col("containment") == F.col("rival"))
-    return best.drop("rival").withColumnRenamed("id", id_col)
+    matched = F.transform(F.filter("places", lambda p: F.array_contains("wanted", p["h"])), lambda p: p["at"])
+    verified = (pairs.select("row", "id", "license", "template", share.alias("share"), matched.alias("matched"))
+                .where(F.col("share") >= min_containment))
+    # One row per window and template (bands find a pair again and again), then per shingle that it counts.
+    verified = verified.dropDuplicates(["row", "template", "matched"])
+    each = verified.select("row", "id", "license", "template", "share", F.array_min("matched").alias("first"),
+                           F.explode("matched").alias("at"), F.xxhash64("matched").alias("which"))
+    rival = F.max("share").over(Window.partitionBy("row", "at"))
+    kept = (each.withColumn("rival", rival).groupBy("row", "id", "license", "template", "share", "first", "which")
+            .agg(F.max("rival").alias("rival")).where(F.col("rival") <= F.col("share")))
+    return kept.groupBy("id", "license").agg(
+        F.max("share").alias("containment"), F.min("first").cast("long").alias("first_token")).withColumnRenamed("id", id_col)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import NOTICES, SAME_PLACE, class_of, window_of
+from .licenses import NOTICES, class_of, window_of
 
 
 def _quoted(text: str) -> str:
@@ -73,19 +73,21 @@ notice_shingles AS (
   SELECT doc_id, rid, i - 1 AS i, array_to_string(ws[i:i + 4], ' ') AS s
   FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM doc_words)
 ), hits AS (
-  SELECT doc_id, rid, license, template, s, n, length, step,
+  SELECT doc_id, rid, license, template, s, i, n, length, step,
          unnest(range(greatest(0, (i - length + step) // step), i // step + 1)) * step AS begin
   FROM doc_shingles JOIN notice_shingles USING (s) JOIN wanted USING (template) JOIN classes USING (size)
   WHERE i >= 0
 ), verified AS (
-  SELECT doc_id, license, begin, count(DISTINCT s)::DOUBLE / n AS share
+  SELECT doc_id, rid, license, template, begin, count(DISTINCT s)::DOUBLE / n AS share
   FROM hits GROUP BY doc_id, rid, license, template, begin, n HAVING count(DISTINCT s)::DOUBLE / n >= 0.8
-), best AS (
-  SELECT doc_id, license, max(share) AS containment, min(begin)::BIGINT AS first_token FROM verified GROUP BY doc_id, license
+), matched AS (
+  SELECT *, max(share) OVER (PARTITION BY rid, i) AS rival FROM (SELECT DISTINCT rid, template, begin, i FROM hits)
+  JOIN verified USING (rid, template, begin)
+), kept AS (
+  SELECT doc_id, license, share, min(i) AS first FROM matched
+  GROUP BY doc_id, rid, license, template, begin, share HAVING max(rival) <= share
 )
-SELECT doc_id, license, containment, first_token FROM best AS b
-WHERE containment >= (SELECT max(containment) FROM best AS o WHERE o.doc_id IS NOT DISTINCT FROM b.doc_id
-                      AND abs(o.first_token - b.first_token) <= {SAME_PLACE})
+SELECT doc_id, license, max(share) AS containment, min(first)::BIGINT AS first_token FROM kept GROUP BY doc_id, license
 """
 
 

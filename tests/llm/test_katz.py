@@ -102,7 +102,7 @@ def same(rows, want):
 @pytest.mark.parametrize("order, small", [(1, False), (2, False), (2, True), (3, True)])
 def test_equals_plain_model(frame, monkeypatch, order, small):
     if small:  # many chunks, pieces, buckets and parts of frequent histories
-        for name, value in (("CHUNK", 300), ("PIECE", 13), ("BUCKET", 200), ("HOT", 40), ("BLOCK", 30)):
+        for name, value in (("CHUNK", 300), ("PIECE", 13), ("WORDS", 30), ("BUCKET", 200), ("HOT", 40), ("BLOCK", 30)):
             monkeypatch.setattr(katz, name, value)
     docs = corpus(120)
     scores, tables = katz.score(frame([(*d, "x", 0.0) for d in docs], DOCS + ", id string, score double"), train(), order)

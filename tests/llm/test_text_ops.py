@@ -167,7 +167,7 @@ def test_line_rules_without_broadcast(frame, monkeypatch):
 
 
 def test_line_limit_is_a_share_of_the_host(frame):
-    own = lambda i: " ".join(str(i).translate({48 + d: 97 + d for d in range(10)}) + chr(107 + k % 10) for k in range(60))
+    own = lambda i: " ".join(f"{i}x{k}" for k in range(60)).translate({48 + d: 97 + d for d in range(10)})
     small = docs_of(frame, [(i, f"boiler plate line\n{own(i)}") for i in range(10)], "small")
     texts = [(100 + i, ("boiler plate line\n" if i < 250 else "chance line\n" if i < 350 else "") + own(i)) for i in range(10_000)]
     rows = line_quality.line_rules(small.unionByName(docs_of(frame, texts, "large"))).collect()
@@ -260,6 +260,63 @@ def test_licenses(frame):
         licenses.license_matches(docs_of(frame, texts), {"x": ("too short",)})
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:"""
+
+
+def plain_licenses(text, templates):
+    """{license: (largest containment, first matched shingle)} by all windows of all templates."""
+    def shingles(t):
+        w = re.findall(r"[^\W_]+", t.lower())
+        return [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+
+    doc, found = shingles(text), []
+    for name, texts in templates.items():
+        for t in texts:
+            wanted = set(shingles(t))
+            length, step = licenses.window_of(licenses.class_of(len(wanted)))
+            for begin in range(0, len(doc), step):
+                places = [i for i in range(begin, min(begin + length, len(doc))) if doc[i] in wanted]
+                share = len({doc[i] for i in places}) / len(wanted)
+                if share >= 0.8:
+                    found.append((name, share, places))
+    best = {}
+    for name, share, places in found:
+        if all(s <= share or not set(p) & set(places) for _, s, p in found):
+            old = best.get(name, (0.0, len(doc)))
+            best[name] = (max(old[0], share), min(old[1], places[0]))
+    return best
+
+
+def test_licenses_beside_each_other_equal_brute_force(frame):
+    rng = random.Random(9)
+    apache = "Licensed under the Apache License, Version 2.0."
+    every = [t for texts in licenses.NOTICES.values() for t in texts]
+    texts = [f"{apache} {MIT_TEXT}", f"{' '.join(['x'] * 30)} {apache}\n{MIT_TEXT}", MIT_TEXT]
+    for _ in range(60):
+        words = " and then ".join(rng.choices(every, k=rng.randint(1, 4))).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = "other"
+        texts.append(" ".join([*["pad"] * rng.randint(0, 25), *words]))
+    want = {(i, name): value for i, t in enumerate(texts) for name, value in plain_licenses(t, licenses.NOTICES).items()}
+    assert {(0, "MIT"), (0, "Apache-2.0"), (1, "MIT"), (1, "Apache-2.0"), (2, "MIT")} <= want.keys() and want[2, "MIT"][0] == 1
+    docs = docs_of(frame, list(enumerate(texts)))
+    for bound in (licenses.MAX_TEMPLATE_SHINGLES, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(licenses, "MAX_TEMPLATE_SHINGLES", bound)
+            got = {(r.doc_id, r.license): (r.containment, r.first_token) for r in licenses.license_matches(docs).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == pytest.approx(want[k][0]) and got[k][1] == want[k][1] for k in want)
+
+
+def test_license_in_a_very_long_text(frame):
+    long = " ".join(f"w{i % 7001}" for i in range(200_000))
+    row, = licenses.license_matches(docs_of(frame, [(1, f"{long} {MIT_TEXT} {long}")])).collect()
+    assert (row.license, row.containment, row.first_token) == ("MIT", 1.0, 200_000)
+
+
 def test_license_bands_rarely_miss():
     for n in range(1, 257):
         size = licenses.class_of(n)
