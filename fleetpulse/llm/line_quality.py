@@ -19,11 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_words, stage, text_or_empty
+from .common import ASCII_SPACE, stage, text_or_empty
 
 #: Lines above the limit that are broadcast (8 bytes each and their table).
 MAX_BROADCAST_LINES = 500_000
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+SPACES = r"[\x20\x09-\x0D]+"
+#: Up to so many different repeated windows of a text are looked up one by one.
+FEW_REPEATED = 64
 
 
 def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -34,8 +37,8 @@ def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     text = text_or_empty(text_col)
     blank = F.lit("")
-    df = docs.withColumn("_words", ascii_words(text))
-    with_word = F.filter(F.split(text, "\n"), lambda line: F.translate(line, ASCII_SPACE, "") != blank)
+    df = docs.withColumn("_words", F.array_remove(F.split(text, SPACES), ""))
+    with_word = F.filter(F.split(text, "\n"), lambda line: F.trim(line, F.lit(ASCII_SPACE)) != blank)
     starts = F.greatest(F.size("_words") - 2, F.lit(0))
     windows = F.transform(F.slice("_words", F.lit(1), starts), lambda w, i: F.xxhash64(
         w, F.get(F.col("_words"), i + 1), F.get(F.col("_words"), i + 2)))
@@ -43,41 +46,45 @@ def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_windows": windows,
         "_lines": with_word,
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.translate(text, ASCII_SPACE, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
     })
-    # Only where some window repeats are (hash, position) sorted; equal neighbours are repeated windows.
-    ordered = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    # Only where some window repeats: the hashes that do, and the positions that hold one of them.
+    ordered = F.sort_array("_windows")
     df = df.withColumn("_ordered", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), ordered))
-    same = F.transform("_ordered", lambda x, k: F.when(
-        F.coalesce(F.get("_ordered", k - 1)["h"] == x["h"], F.lit(False))
-        | F.coalesce(F.get("_ordered", k + 1)["h"] == x["h"], F.lit(False)), x["i"]))
-    df = df.withColumn("_again", F.array_sort(F.array_compact(same)))
+    again = F.array_distinct(F.filter("_ordered", lambda h, k: h == F.get("_ordered", k - 1)))
+    df = df.withColumn("_again", again)
+    places = F.array_compact(F.transform("_windows", lambda h, i: F.when(F.array_contains("_again", h), i)))
+    # Many repeated hashes are found by sorting (hash, position) instead, not one by one.
+    pairs = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    beside = F.transform(F.array(pairs), lambda p: F.array_sort(F.array_compact(F.transform(p, lambda x, k: F.when(
+        F.coalesce(F.get(p, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(p, k + 1)["h"] == x["h"], F.lit(False)), x["i"])))))[0]
+    df = df.withColumn("_places", F.when(F.size("_again") <= FEW_REPEATED, places).when(F.size("_again") > FEW_REPEATED, beside))
     # Each repeated window adds what the one before it doesn't cover.
-    added = F.transform("_again", lambda p, k: F.when(k == 0, F.lit(3)).otherwise(
-        F.least(F.lit(3), p - F.get("_again", k - 1))))
+    added = F.transform("_places", lambda p, k: F.when(k == 0, F.lit(3)).otherwise(
+        F.least(F.lit(3), p - F.get("_places", k - 1))))
     total = F.aggregate(added, F.lit(0), lambda a, b: a + b)
     return df.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(total, F.lit(0)).cast("long"),
-    }).drop("_words", "_windows", "_lines", "_ordered", "_again")
+    }).drop("_words", "_windows", "_lines", "_ordered", "_again", "_places")
 
 
 def _lines(text: Column, host: Column, with_text: bool) -> Column:
     """Of each line: its key (null if it has no word), its words, and the line itself if ``with_text``."""
     def normal(line: Column) -> Column:
-        plain = F.translate(F.lower(line), "0123456789\t\x0b\x0c\r", "0" * 10 + " " * 4)
-        return F.trim(F.regexp_replace(plain, " +", " "))
+        return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), SPACES, " "))
 
-    def parts(line: Column) -> Column:
-        # In a normal line each space but those around it ends a word.
-        form = normal(line)
+    def parts(both: Column) -> Column:
+        # In a normal form each space ends a word.
+        form = both["form"]
         worded = form != F.lit("")
         fields = [F.when(worded, F.xxhash64(host, form)).alias("key"),
-                  F.when(worded, F.length(form) - F.length(F.translate(form, " ", "")) + 1).otherwise(0).alias("words")]
-        return F.struct(*fields, *([line.alias("line")] if with_text else []))
+                  F.when(worded, F.regexp_count(form, F.lit(" ")) + 1).otherwise(0).alias("words")]
+        return F.struct(*fields, *([both["line"].alias("line")] if with_text else []))
 
-    return F.transform(F.split(text, "\n"), parts)
+    # Two steps, so that a line is normalised once and not at each use.
+    return F.transform(F.transform(F.split(text, "\n"), lambda line: F.struct(line.alias("line"), normal(line).alias("form"))), parts)
 
 
 def frequent_lines(measured: DataFrame, max_docs: int, max_percent: int) -> DataFrame:

@@ -176,7 +176,7 @@ def test_line_limit_is_a_share_of_the_host(frame):
 
 
 def test_very_long_text(frame):
-    long = "\n".join(f"line {i} of a long text with words w{i % 5000}" for i in range(30_000))
+    long = "\n".join(" ".join(f"{c}{i}" for c in "abcdefghi") for i in range(30_000))
     row = line_quality.line_rules(docs_of(frame, [(1, long)])).first()
     assert row.n_words == 270_000 and row.kept and row.removed_lines == 0
 
@@ -218,7 +218,7 @@ def test_leaks(frame, monkeypatch):
     got = decontamination.leaks(docs_of(frame, docs), bench).collect()
     assert len(got) == len({(r.doc_id, r.item_id) for r in got})
     assert {(r.doc_id, r.item_id) for r in got} == want and (None, 4) in want and len(want) > 20
-    monkeypatch.setattr(decontamination, "MAX_SEEDS", 60)  # in several blocks
+    monkeypatch.setattr(decontamination, "MAX_SEEDS", 60)  # joined by a shuffle
     assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs_of(frame, docs), bench).collect()} == want
     clean = decontamination.decontaminated(docs_of(frame, docs), bench)
     assert clean.columns == docs_of(frame, docs).columns
@@ -232,14 +232,29 @@ def test_leaks_empty_sides(frame):
     assert decontamination.leaks(docs_of(frame, []), frame([(1, "a b c d e f g h")], "item_id long, text string")).collect() == []
 
 
-def test_masks_tolerate_substitutions():
-    """Nearly all ways to substitute a fifth of 24 tokens leave a seed of some mask whole."""
-    masks = [{s + d for s in m for d in (0, 1)} for m in decontamination.MASKS]
-    found = total = 0
-    for gone in itertools.combinations(range(24), 4):
-        total += 1
-        found += any(not any(p + o in gone for o in m) for m in masks for p in range(24 - decontamination.SPAN + 1))
-    assert found / total > 0.999
+def keeps_a_seed(mask, n, gone):
+    return any(not any(p + k in gone for k in mask) for p in range(n - mask[-1]))
+
+
+def test_the_spaced_mask_loses_no_allowed_substitution():
+    """Every way to substitute the allowed fifth of a stretch leaves a seed of the spaced mask whole."""
+    assert decontamination.SPACED[-1] + 1 > len(decontamination.SPACED)
+    for n in range(8, 25):
+        allowed = n - -(-8 * n // 10)
+        assert all(keeps_a_seed(decontamination.SPACED, n, set(gone)) for gone in itertools.combinations(range(n), allowed)), n
+
+
+def test_a_very_long_text_takes_seconds(frame):
+    import time
+
+    item = " ".join(f"q{k}" for k in range(40))
+    filler = " ".join(f"w{k % 9973}" for k in range(256_000))
+    bench = frame([(1, item)] + [(2 + k, " ".join(f"z{k}x{j}" for j in range(30))) for k in range(50)], "item_id long, text string")
+    decontamination.leaks(docs_of(frame, [(1, item)]), bench).collect()
+    begun = time.time()
+    got = decontamination.leaks(docs_of(frame, [(1, f"{filler} {item} {filler}"), (2, filler)]), bench).collect()
+    assert [(r.doc_id, r.item_id, r.doc_token) for r in got] == [(1, 1, 256_000)]
+    assert time.time() - begun < 30
 
 
 # licenses
