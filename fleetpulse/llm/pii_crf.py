@@ -315,9 +315,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     """Fit on at most ``sample_docs`` documents that have a node (smallest hashes of their id, of
     ``max_chars`` at most)."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    with_nodes = source.where(F.col("text").rlike("[0-9@]") & F.col("id").isNotNull())
+    short = source.where(F.length("text") <= max_chars)
+    with_nodes = short.where(F.col("text").rlike("[0-9@]") & F.col("id").isNotNull())
     chosen = with_nodes.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
-    taken = source.join(F.broadcast(chosen), "id").where(F.length("text") <= max_chars).groupBy("id").agg(F.min("text").alias("text"))
+    taken = short.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"))
     texts = [r["text"] for r in sorted(taken.collect(), key=lambda r: r["id"])]  # the bounded sample
     return fit(Batch([graph_of(t, base_spans(t)) for t in texts]))
 

@@ -3,27 +3,38 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Characters of a sample's texts together, per class: what the driver holds at most.
+MAX_SAMPLE_CHARS = 30_000_000
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, per_class: int,
                     max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
     """(id, text, label) of at most ``per_class`` documents of each class, and the classes' true sizes.
 
     ``usable`` (a condition on ``labels``) says which rows may be learned
-    from.  The documents with the smallest hashes of their id are taken;
-    those above ``max_chars`` are passed over for training.  Labels other
+    from.  Of the documents of at most ``max_chars`` characters (of all, if a
+    class has none so short) those with the smallest hashes of their id are
+    taken, up to ``MAX_SAMPLE_CHARS`` together (one at least).  Labels other
     than 0 and 1 and null ids are ignored; an id with both labels counts as 1.
     """
     known = (labels.where(usable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    taken = [known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
-    chosen = taken[0].unionByName(taken[1])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.length("text") <= max_chars)
-    rows = source.join(F.broadcast(chosen), "id")  # at most 2 * per_class rows
+    source = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    lengths = source.select("id", F.length("text").alias("chars")).groupBy("id").agg(F.min("chars").alias("chars"))
+    # Lengths first, so that long texts are passed over before rows are taken and not after.
+    there = lengths.join(known, "id").withColumn("long", F.col("chars") > max_chars)
+    taken = [there.where(F.col("label") == y).orderBy("long", F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
+    in_order = Window.partitionBy("label").orderBy("long", F.xxhash64("id"), "id")  # over at most per_class rows
+    chosen = taken[0].unionByName(taken[1]).withColumns({
+        "sum": F.sum("chars").over(in_order), "at": F.row_number().over(in_order), "first": F.first("long").over(in_order)})
+    chosen = chosen.where(((F.col("sum") <= MAX_SAMPLE_CHARS) & (F.col("long") == F.col("first"))) | (F.col("at") == 1))
+    rows = source.join(F.broadcast(chosen.select("id", "label", "chars")), "id").where(F.length("text") == F.col("chars"))
     return rows.groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")), sizes
 
 
