@@ -83,6 +83,7 @@ class Block:
     heading: bool
     label: int = OPEN
     at: int = 0  # where in the page it ends
+    linked: bool = False  # mostly links
 
 
 def named_side(value: str, article: bool, in_article: bool) -> bool:
@@ -239,18 +240,31 @@ def blocks_of(html: str, taken: frozenset[int] | None = frozenset()) -> tuple[li
     return out, named
 
 
-def decide(block: Block, long_chars: int, min_stop: float, max_links: float) -> int:
-    """Pass one: a block's label from itself alone."""
+def _latin(text: str) -> bool:
+    """Whether most letters are Latin: the stop words' script."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c < "\u0250" for c in letters) >= len(letters)
+
+
+def stop_density(text: str) -> float:
+    found = [w.lower() for w in _WORD.findall(text)]
+    return sum(w in STOP_WORDS for w in found) / max(1, len(found))
+
+
+def decide(block: Block, long_chars: int, min_stop: float, max_links: float, stops: bool = True) -> int:
+    """Pass one: a block's label from itself alone; without ``stops``, or in another script, by length and links."""
     text = block.text
     visible = max(1, len(text) - text.count(" "))
-    if block.link_chars / visible > max_links:
+    block.linked = block.link_chars / visible > max_links
+    if block.linked:
         return BAD
     if "©" in text and len(text) < 2 * long_chars:
         return BAD
     if len(text) < long_chars:
         return OPEN
-    found = [w.lower() for w in _WORD.findall(text)]
-    density = sum(w in STOP_WORDS for w in found) / max(1, len(found))
+    if not stops or not _latin(text):
+        return GOOD
+    density = stop_density(text)
     if density >= min_stop:
         return GOOD
     if block.region or density >= min_stop / 2:
@@ -263,9 +277,10 @@ def inherit(blocks: list[Block]) -> None:
 
     Blocks of an article look at its decided blocks only, and are content
     without any; other blocks look at all, and are content if the page has
-    neither a decided block nor an article.
+    neither a decided block nor an article.  Lists of links in an article
+    decide nothing about the blocks beside them.
     """
-    decided = [(i, b.region, b.label) for i, b in enumerate(blocks) if b.label != OPEN]
+    decided = [(i, b.region, b.label) for i, b in enumerate(blocks) if b.label != OPEN and not (b.region and b.linked)]
     any_article = any(b.region for b in blocks)
     regions: dict[int, list[tuple[int, int]]] = {}
     for i, region, label in decided:
@@ -295,8 +310,11 @@ def main_text(html: str, long_chars: int = 70, min_stop: float = 0.2, max_links:
     """The article's blocks, one per line."""
     def labelled(taken: frozenset[int] | None = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
         blocks, named = blocks_of(html, taken)
+        # A page whose long blocks hold next to no stop words is in a language without a list here.
+        long = " ".join(b.text for b in blocks if len(b.text) >= long_chars)
+        stops = stop_density(long) >= min_stop / 2
         for b in blocks:
-            b.label = decide(b, long_chars, min_stop, max_links)
+            b.label = decide(b, long_chars, min_stop, max_links, stops)
         return blocks, named
 
     blocks, named = labelled()

@@ -3,14 +3,17 @@
 Base patterns find e-mail addresses, IP addresses, card and phone numbers; what
 they find stays.  The field then labels the other tokens with a digit or an at
 sign, each document on its own: neighbouring tokens are chained, and distant
-tokens that repeat a string or its last seven digits are linked by skip edges,
-which favour one label for all of them.  Tokens inside base findings are
-observed; loopy belief propagation gives the rest their probabilities, and
-tokens that are surely personal become further spans, so a number that was
-found once is also found where its form is unusual.
+tokens that repeat a string or its last seven digits are linked by skip edges
+to the first of them, which favour one label for all.  Tokens inside base
+findings are observed; loopy belief propagation gives the rest their
+probabilities, and tokens that repeat a finding and are surely personal become
+further spans, so a number that was found once is also found where its form is
+unusual.  The form of such a token says nothing, so it has no features.
 
 The weights are trained here, in numpy, by pseudo-likelihood on a bounded
-sample of documents with the base findings as labels.  Every document is read
+sample of documents with the base findings as labels: of findings that repeat,
+every second one hides its features, and tokens that repeat a finding without
+being one have no label to learn.  Every document is read
 whole, in one pass without a shuffle; words without digits or at signs are no
 nodes, which bounds the work tables by a document's numbers and addresses.
 """
@@ -106,6 +109,22 @@ class Graph:
 N_FEATURES = 26
 
 
+def linked_groups(n: int, skip: list[tuple[int, int]]) -> list[int]:
+    """The smallest node that each node is linked to, over any number of links."""
+    group = list(range(n))
+
+    def root(i: int) -> int:
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    for a, b in skip:
+        a, b = root(a), root(b)
+        group[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]
+
+
 def node_features(core: str, digits: str, follows: bool, leads: bool) -> list[float]:
     """What a token looks like; ``follows`` and ``leads``: the token beside it is a node as well."""
     n = len(digits)
@@ -125,7 +144,7 @@ def graph_of(text: str, base: list[Span]) -> Graph:
     tokens = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
     g = Graph([], [], [], [], [])
     beside = [not text[a[1]:b[0]].strip() and b[0] - a[1] <= 2 for a, b in zip(tokens, tokens[1:])]
-    last: dict[str, int] = {}
+    hub: dict[str, int] = {}
     k = 0
     ends = np.maximum.accumulate([s[1] for s in base]).tolist() if base else []
     for i, (start, end, raw) in enumerate(tokens):
@@ -134,12 +153,13 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         stop = begin + len(core)
         while k < len(base) and ends[k] <= begin:
             k += 1
-        label, whole = OTHER, ""
+        label, whole, alone = OTHER, "", True
         for s in base[k:]:
             if s[0] >= stop:
                 break
             if s[1] > begin:
                 label = s[2]
+                alone = start <= s[0] and s[1] <= end  # the finding is within the token
                 if s[1] <= stop:  # its last token stands for the finding's digits as well
                     whole = _NOT_DIGIT.sub("", text[s[0]:s[1]])
                 break
@@ -149,15 +169,15 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         g.features.append(node_features(core, digits, i > 0 and beside[i - 1], i < len(beside) and beside[i]))
         if i and beside[i - 1]:
             g.chain.append((i - 1, i))
-        keys = [core.lower()] if len(core) >= 4 else []
-        keys += {"#" + d[-7:] for d in (digits, whole) if len(d) >= 7}
+        # Parts of a longer finding are no entity of their own: only its last token has a key, the whole's.
+        keys = [core.lower()] if len(core) >= 4 and alone else []
+        keys += {"#" + d[-7:] for d in (digits if alone else "", whole) if len(d) >= 7}
         linked = set()
-        for key in keys:  # to the last node alike: links grow with the nodes, not with their pairs
-            before = last.get(key)
-            if before is not None and before != i and before not in linked:
-                linked.add(before)
-                g.skip.append((before, i))
-            last[key] = i
+        for key in keys:  # to the first node alike: links grow with the nodes, and any two are two links apart
+            first = hub.setdefault(key, i)
+            if first != i and first not in linked:
+                linked.add(first)
+                g.skip.append((first, i))
     return g
 
 
@@ -184,10 +204,17 @@ class Batch:
                             dtype=np.int64).reshape(-1, 2)
 
         self.chain, self.skip = edges("chain"), edges("skip")
+        groups = [[x + b0 for x in linked_groups(len(g.spans), g.skip)] for g, b0 in zip(graphs, self.begins)]
+        self.group = np.array([x for g in groups for x in g], dtype=np.int64)
+        found = np.zeros(len(self.group), dtype=bool)
+        found[self.group[self.observed > 0]] = True
+        #: Unobserved nodes that repeat a finding.
+        self.repeats = found[self.group] & (self.observed == 0)
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
 
 
 #: Prior mean of the skip potentials: repeated tokens share a label unless training says otherwise.
-SKIP_PRIOR = 3.0
+SKIP_PRIOR = 5.0
 
 
 def fit(batch: Batch, steps: int = 600, rate: float = 0.1, decay: float = 2e-4) -> Field:
@@ -199,13 +226,18 @@ def fit(batch: Batch, steps: int = 600, rate: float = 0.1, decay: float = 2e-4)
         return field
     counts = np.bincount(labels, minlength=k)
     weight = (n / (np.count_nonzero(counts) * np.maximum(counts, 1)))[labels] / n
+    weight[batch.repeats] = 0
+    often = np.bincount(batch.group[labels > 0], minlength=n)[batch.group] > 1
+    hidden = np.flatnonzero(often & (labels > 0))[::2]
+    features = batch.features.copy()
+    features[hidden] = 0
     truth = np.eye(k)[labels]
     a, b = batch.chain.T
     p, q = batch.skip.T
     names = ("node", "chain", "skip")
     first, second = ({x: np.zeros_like(getattr(field, x)) for x in names} for _ in range(2))
     for step in range(1, steps + 1):
-        logits = batch.features @ field.node
+        logits = features @ field.node
         np.add.at(logits, b, field.chain[labels[a]])
         np.add.at(logits, a, field.chain[:, labels[b]].T)
         np.add.at(logits, q, truth[p] * field.skip)
@@ -216,7 +248,7 @@ def fit(batch: Batch, steps: int = 600, rate: float = 0.1, decay: float = 2e-4)
         error = (prob - truth) * weight[:, None]
         chain = truth[a].T @ error[b] + error[a].T @ truth[b]
         skip = (truth[p] * error[q] + truth[q] * error[p]).sum(axis=0)
-        for name, grad in zip(names, (batch.features.T @ error, chain, skip)):
+        for name, grad in zip(names, (features.T @ error, chain, skip)):
             value = getattr(field, name)
             grad = grad + decay * (value - (SKIP_PRIOR if name == "skip" else 0.0))
             first[name] = 0.9 * first[name] + 0.1 * grad
@@ -230,10 +262,13 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def infer(field: Field, batch: Batch, rounds: int = 20, damping: float = 0.3) -> np.ndarray:
-    """Label probabilities of every node by loopy sum-product; observed nodes keep their label."""
+def infer(field: Field, batch: Batch, rounds: int = 200, damping: float = 0.3) -> np.ndarray:
+    """Label probabilities of every node by loopy sum-product; observed nodes keep their label.
+
+    Each text's messages are passed until its own stand still, whatever texts are beside it.
+    """
     k = len(KINDS) + 1
-    node = batch.features @ field.node
+    node = np.where(batch.repeats[:, None], 0.0, batch.features @ field.node)
     seen = batch.observed > 0
     node[seen] = np.where(np.eye(k)[batch.observed[seen]] > 0, 0.0, -50.0)
     node -= _log_sum(node, 1)[:, None]
@@ -247,39 +282,30 @@ def infer(field: Field, batch: Batch, rounds: int = 20, damping: float = 0.3) ->
     tables = np.concatenate([np.broadcast_to(t, (m, k, k)) for t, m in (
         (field.chain, n_chain), (alike, n_edges - n_chain), (field.chain.T, n_chain), (alike, n_edges - n_chain))])
     messages = np.full((2 * n_edges, k), -np.log(k))
+    text = batch.text[sources]
+    moving = np.arange(2 * n_edges)  # messages of texts that don't stand still yet
     for _ in range(rounds):
         belief = node.copy()
-        np.add.at(belief, targets, messages)
-        new = _log_sum((belief[sources] - messages[twin])[:, :, None] + tables, 1)
+        np.add.at(belief, targets[moving], messages[moving])
+        new = _log_sum((belief[sources[moving]] - messages[twin[moving]])[:, :, None] + tables[moving], 1)
         new -= _log_sum(new, 1)[:, None]
-        change = np.abs(new - messages).max()
-        messages = damping * messages + (1 - damping) * new
-        if change < 1e-3:
+        change = np.zeros(len(batch.begins))
+        np.maximum.at(change, text[moving], np.abs(new - messages[moving]).max(axis=1))
+        messages[moving] = damping * messages[moving] + (1 - damping) * new
+        moving = moving[change[text[moving]] >= 1e-3]
+        if not len(moving):
             break
     belief = node.copy()
     np.add.at(belief, targets, messages)
     return np.exp(belief - _log_sum(belief, 1)[:, None])
 
 
-def added_spans(graph: Graph, prob: np.ndarray, base: list[Span], sure: float) -> list[Span]:
-    """Unobserved tokens that surely are personal and repeat a base finding or stand beside one, chained
-    ones of a kind as one span; spans that overlap a base finding aren't added."""
-    label = np.where(prob[:, 1:].max(axis=1) >= sure, prob[:, 1:].argmax(axis=1) + 1, OTHER)
-    chained = set(graph.chain)
-    out: list[Span] = []
-    i = 0
-    while i < len(label):
-        if graph.observed[i] or label[i] == OTHER:
-            i += 1
-            continue
-        j = i
-        while j + 1 < len(label) and (j, j + 1) in chained and not graph.observed[j + 1] and label[j + 1] == label[i]:
-            j += 1
-        span = graph.spans[i][0], graph.spans[j][1], int(label[i])
-        if not any(s[0] < span[1] and span[0] < s[1] for s in base):
-            out.append(span)
-        i = j + 1
-    return out
+def added_spans(graph: Graph, prob: np.ndarray, base: list[Span], sure: float, repeats: np.ndarray) -> list[Span]:
+    """Unobserved tokens that repeat a base finding and surely are personal, a span each; none that overlaps a finding."""
+    best = prob[:, 1:].argmax(axis=1)
+    chosen = np.flatnonzero(repeats & (prob[:, 1:].max(axis=1) >= sure))
+    spans = [(*graph.spans[i], int(best[i]) + 1) for i in chosen]
+    return [x for x in spans if not any(s[0] < x[1] and x[0] < s[1] for s in base)]
 
 
 def find_all(texts: list[str], field: Field, sure: float) -> list[tuple[list[Span], list[Span]]]:
@@ -290,7 +316,7 @@ def find_all(texts: list[str], field: Field, sure: float) -> list[tuple[list[Spa
     prob = infer(field, batch)
     out = []
     for g, base, begin, end in zip(graphs, bases, batch.begins, batch.begins[1:]):
-        more = added_spans(g, prob[begin:end], base, sure) if end > begin else []
+        more = added_spans(g, prob[begin:end], base, sure, batch.repeats[begin:end]) if end > begin else []
         out.append((base, sorted(base + more, key=lambda s: (s[0], s[2]))))
     return out
 

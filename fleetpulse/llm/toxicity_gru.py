@@ -35,8 +35,16 @@ CACHE_WORDS = 150_000
 _EDGE = ".,;:!?\"'()[]{}<>#$%&*|-_/\\~`^+="
 
 
+#: Characters of a word; longer ones (unspaced text) are cut into pieces of that size that overlap by half.
+LONGEST = 32
+
+
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    words = text.lower().split()
+    if all(len(w) <= LONGEST for w in words):
+        return words
+    half = LONGEST // 2
+    return [w[k:k + LONGEST] for w in words for k in range(0, max(1, len(w) - half), half)]
 
 
 def char_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
