@@ -125,6 +125,11 @@ def install_date(index, start: str = schema.START_DATE,
     return F.date_sub(F.lit(start).cast("date"), days)
 
 
+def grouped_number(column, decimals: int = 0) -> Column:
+    """a number as text, thousands separated by commas, with so many decimal places (half up)."""
+    return F.format_number(half_up_round(_col(column), decimals), decimals)
+
+
 def cycled(index, values: list) -> Column:
     """``values[index % len(values)]`` as a literal-array lookup."""
     arr = F.array(*[F.lit(v) for v in values])

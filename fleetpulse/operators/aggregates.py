@@ -12,22 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse import schema
-
-
-def per_unit(readings: DataFrame, metrics=(), keys=(),
-             failure_level: int = schema.FAILING,
-             condition_col: str = "cooler_condition") -> DataFrame:
-    """(unit_id, *keys, _n, _fail, _s_<m>, _c_<m> for m in metrics)."""
-    aggs = [
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.when(F.col(condition_col) == F.lit(failure_level), 1).otherwise(0))
-        .cast("long").alias("_fail"),
-    ]
-    for m in metrics:
-        aggs.append(F.sum(m).alias(f"_s_{m}"))
-        aggs.append(F.count(m).alias(f"_c_{m}"))
-    return readings.groupBy("unit_id", *keys).agg(*aggs)
+from fleetpulse.operators.state import Source, condense
+
+
+def per_unit(readings: Source, metrics=(), keys=()) -> DataFrame:
+    """(unit_id, *keys, _n, _fail, _s_<m>, _c_<m> for m in metrics), of readings or of their state."""
+    return condense(readings, ["unit_id", *keys], metrics)
 
 
 def mean_of(metric: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
@@ -13,6 +13,7 @@ from fleetpulse.functions import columns as C
 from fleetpulse.operators.aggregates import mean_of, per_unit, unit_mean
 from fleetpulse.operators.joins import (attach_units, attach_units_splitting, fits_broadcast, join_small,
                                        join_splitting, restrict_to_units, restrict_to_units_splitting)
+from fleetpulse.operators.state import Source, UnitState, condense, unit_moments
 from fleetpulse.operators.windows import moving_mean, moving_mean_bounded
 
 # (output name, metric column, decimal places) for the fleet overview.
@@ -21,7 +22,7 @@ OVERVIEW_METRICS = [("avg_temp", "avg_temp_c", 1), ("avg_power", "motor_power_w"
 
 
 # ------------------------------------------------------------------ A1 / A10
-def group_health(readings: DataFrame, units: DataFrame, keys: Sequence[str],
+def group_health(readings: Source, units: DataFrame, keys: Sequence[str],
                  metrics=OVERVIEW_METRICS, failures: bool = False,
                  separator: str | None = None, condition_decimals: int = 0) -> DataFrame:
     """Units, readings and rounded means per unit attribute(s).
@@ -65,18 +66,17 @@ def site_failure_summary(readings, units, separator: str = schema.SEPARATOR_SQL,
 
 
 # ------------------------------------------------------------- A2 / A4 / A7
-def condition_breakdown(readings: DataFrame, labels: Mapping[int, str] = schema.LABELS_EFFICIENCY,
-                        condition_col: str = "cooler_condition") -> DataFrame:
+def condition_breakdown(readings: Source, labels: Mapping[int, str] = schema.LABELS_EFFICIENCY) -> DataFrame:
     """A2: readings per condition level, its label, and its share of all readings.
 
     The total is a scalar subquery over the grouped counts, so the fact is
     scanned once: the subquery reuses the grouping's shuffle.
     """
-    counts = readings.groupBy(condition_col).agg(F.count(F.lit(1)).alias("reading_count"))
+    counts = condense(readings, ["cooler_condition"]).select("cooler_condition", F.col("_n").alias("reading_count"))
     total = counts.select(F.sum("reading_count")).scalar()
     return counts.select(
-        F.col(condition_col).alias("condition_pct"),
-        C.condition_label(condition_col, labels).alias("label"),
+        F.col("cooler_condition").alias("condition_pct"),
+        C.condition_label("cooler_condition", labels).alias("label"),
         "reading_count",
         C.half_up_round(F.try_divide(F.col("reading_count") * F.lit(100.0),
                                      total.cast("double")), 1).alias("pct_of_total"),
@@ -90,27 +90,27 @@ TEMPERATURE_STATS = [
     ("max_temp", "max", "avg_temp_c", 2),
     ("mean_power", "avg", "motor_power_w", 1),
 ]
-_AGG = {"avg": F.avg, "min": F.min, "max": F.max}
 
 
-def condition_profile(readings: DataFrame, stats=TEMPERATURE_STATS,
+def _stat(fn: str, metric: str) -> Column:
+    """A statistic of a metric from a row of ``condense``."""
+    return unit_mean(metric) if fn == "avg" else F.col(f"_{fn}_{metric}")
+
+
+def condition_profile(readings: Source, stats=TEMPERATURE_STATS,
                       labels: Mapping[int, str] | None = schema.LABELS_GROUP,
                       else_label: str | None = None, label_name: str = "condition_group",
-                      keep_condition: bool = False, descending: bool = True,
-                      condition_col: str = "cooler_condition") -> DataFrame:
+                      keep_condition: bool = False, descending: bool = True) -> DataFrame:
     """Per-condition statistics, optionally labelled (ELSE label optional)."""
-    aggs = []
-    for name, fn, col, k in stats:
-        if fn is None:
-            aggs.append(F.count(F.lit(1)).alias(name))
-        else:
-            aggs.append(C.half_up_round(_AGG[fn](col), k).alias(name))
-    grouped = readings.groupBy(condition_col).agg(*aggs)
-    order = F.desc_nulls_last(condition_col) if descending else F.asc_nulls_first(condition_col)
-    head = [condition_col] if keep_condition else []
+    condition = "cooler_condition"
+    grouped = condense(readings, [condition], list(dict.fromkeys(m for _, _, m, _ in stats if m)))
+    shown = [F.col("_n").alias(name) if fn is None else C.half_up_round(_stat(fn, metric), k).alias(name)
+             for name, fn, metric, k in stats]
+    order = F.desc_nulls_last(condition) if descending else F.asc_nulls_first(condition)
+    head = [F.col(condition)] if keep_condition else []
     if labels is not None:
-        head.append(C.condition_label(condition_col, labels, else_label).alias(label_name))
-    return grouped.orderBy(order).select(*head, *[s[0] for s in stats])
+        head.append(C.condition_label(condition, labels, else_label).alias(label_name))
+    return grouped.orderBy(order).select(*head, *shown)
 
 
 def condition_temperature_stats(readings, else_label: str | None = None) -> DataFrame:
@@ -133,7 +133,7 @@ def condition_power_profile(readings, stats=POWER_PROFILE) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A3 / D4
-def rank_units(readings: DataFrame, units: DataFrame, k: int | None = None,
+def rank_units(readings: Source, units: DataFrame, k: int | None = None,
                with_site: bool = True, with_failures: bool = False) -> DataFrame:
     """Units by ascending mean condition (NULL first, ties by unit_code)."""
     metrics = ["cooler_condition", "avg_temp_c", "motor_power_w"]
@@ -166,13 +166,11 @@ HOURLY_METRICS = [("avg_temp", "avg_temp_c", 2), ("avg_power", "motor_power_w",
                   ("avg_efficiency", "cooling_efficiency_pct", 1)]
 
 
-def hourly_pattern(readings: DataFrame, metrics=HOURLY_METRICS) -> DataFrame:
+def hourly_pattern(readings: Source, metrics=HOURLY_METRICS) -> DataFrame:
     """A5: readings and rounded means per hour of day."""
-    out = readings.groupBy(C.hour_of_day("timestamp").alias("hour")).agg(
-        F.count(F.lit(1)).alias("readings"),
-        *[C.half_up_round(F.avg(m), k).alias(name) for name, m, k in metrics],
-    )
-    return out.orderBy("hour")
+    out = condense(readings, ["hour"], [m for _, m, _ in metrics])
+    return out.select("hour", F.col("_n").alias("readings"),
+                      *[C.half_up_round(unit_mean(m), k).alias(name) for name, m, k in metrics]).orderBy("hour")
 
 
 # ------------------------------------------------------------- A6 / D7 – D9
@@ -219,10 +217,13 @@ def _anomaly_columns(metric: str, with_region: bool):
 
 def zscore_anomalies(readings: DataFrame, units: DataFrame, metric: str = "avg_temp_c",
                      k_sigma: float = schema.ZSCORE_THRESHOLD, top: int | None = None,
-                     with_region: bool | None = None) -> DataFrame:
-    """A6 (``top`` set) / D7 (all): per-unit Z-score anomalies by |z| descending."""
+                     with_region: bool | None = None, state: UnitState | None = None) -> DataFrame:
+    """A6 (``top`` set) / D7 (all): per-unit Z-score anomalies by |z| descending.
+
+    With the readings' ``state`` the statistics come from it, and the readings are scanned once.
+    """
     with_region = (top is None) if with_region is None else with_region
-    hits = scored_readings(readings, units, metric, k_sigma)
+    hits = scored_readings(readings, units, metric, k_sigma, unit_moments(state, metric) if state else None)
     order = [F.desc("_abs_z"), F.asc("reading_id")]
     if top is not None:
         # Top-k before the unit join: only k rows meet the unit table.

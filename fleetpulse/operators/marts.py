@@ -16,6 +16,7 @@ from fleetpulse.operators import analytics as A
 from fleetpulse.operators.aggregates import mean_of, per_unit
 from fleetpulse.operators.distribution import box_summary
 from fleetpulse.operators.joins import attach_units, restrict_to_units, restrict_to_units_splitting
+from fleetpulse.operators.state import Source
 from fleetpulse.operators.windows import moving_mean
 
 UNROUNDED_DECIMALS = 6  # unrounded means are emitted at 6 dp (engine-independent)
@@ -26,7 +27,7 @@ UNROUNDED_DECIMALS = 6  # unrounded means are emitted at 6 dp (engine-independen
 # rows to known units, so the fact itself never meets a join.
 
 
-def fleet_kpis(readings: DataFrame, units: DataFrame) -> DataFrame:
+def fleet_kpis(readings: Source, units: DataFrame) -> DataFrame:
     """Units, readings, units with any failing reading, mean temperature."""
     total_units = units.select(F.count(F.lit(1))).scalar()
     partial = restrict_to_units(per_unit(readings, ["avg_temp_c"]), units)
@@ -38,7 +39,15 @@ def fleet_kpis(readings: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def region_units_counts(readings: DataFrame, units: DataFrame) -> DataFrame:
+def fleet_kpis_text(readings: Source, units: DataFrame) -> DataFrame:
+    """D1 as a page shows it: counts with thousands separators, the temperature to one place with its unit."""
+    kpis = fleet_kpis(readings, units)
+    return kpis.select(
+        *[C.grouped_number(c, 0).alias(c) for c in ("total_units", "total_readings", "failing_units")],
+        C.with_suffix(C.grouped_number("avg_temp_c", 1), " °C").alias("avg_temp_c"))
+
+
+def region_units_counts(readings: Source, units: DataFrame) -> DataFrame:
     """Units and readings per region (NULL regions dropped, as pandas does)."""
     partial = attach_units(per_unit(readings), units, columns=("region",))
     out = (partial.filter(F.col("region").isNotNull()).groupBy("region")
@@ -47,7 +56,7 @@ def region_units_counts(readings: DataFrame, units: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("units"), "region")
 
 
-def condition_value_counts(readings: DataFrame, units: DataFrame,
+def condition_value_counts(readings: Source, units: DataFrame,
                            labels=schema.LABELS_GROUP) -> DataFrame:
     """D3: labelled frequency of cooler conditions, descending (NULL labels dropped)."""
     label = C.condition_label("cooler_condition", labels)
@@ -63,7 +72,7 @@ def maintenance_ranking(readings, units) -> DataFrame:
     return A.rank_units(readings, units, k=None, with_failures=True)
 
 
-def urgent_units(readings: DataFrame, units: DataFrame,
+def urgent_units(readings: Source, units: DataFrame,
                  threshold: float = schema.URGENT_CONDITION_THRESHOLD) -> DataFrame:
     """Number of units whose rounded mean condition is at most ``threshold``."""
     partial = restrict_to_units(per_unit(readings, ["cooler_condition"]), units)
@@ -86,10 +95,10 @@ HOURLY_MEANS = [("avg_temp_c", "avg_temp_c"), ("avg_power_w", "motor_power_w"),
                 ("avg_efficiency", "cooling_efficiency_pct")]
 
 
-def hourly_pattern_halfeven(readings: DataFrame, units: DataFrame) -> DataFrame:
+def hourly_pattern_halfeven(readings: Source, units: DataFrame) -> DataFrame:
     """Hourly counts and means, all rounded to 2 dp half to even."""
     metrics = [m for _, m in HOURLY_MEANS]
-    partial = per_unit(readings, metrics, keys=[C.hour_of_day("timestamp").alias("hour")])
+    partial = per_unit(readings, metrics, keys=["hour"])
     partial = restrict_to_units(partial, units)
     out = partial.groupBy("hour").agg(
         F.sum("_n").cast("long").alias("readings"),
@@ -97,7 +106,7 @@ def hourly_pattern_halfeven(readings: DataFrame, units: DataFrame) -> DataFrame:
     return out.orderBy("hour")
 
 
-def site_failure_details(readings: DataFrame, units: DataFrame,
+def site_failure_details(readings: Source, units: DataFrame,
                          separator: str = schema.SEPARATOR_DASHBOARD) -> DataFrame:
     """Per-site table with location, units, failures and totals."""
     out = A.group_health(readings, units, ["region", "site"], metrics=[], failures=True,

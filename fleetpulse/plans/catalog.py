@@ -19,6 +19,7 @@ from fleetpulse import schema
 from fleetpulse.functions import columns as C
 from fleetpulse.operators import analytics as A
 from fleetpulse.operators import marts as D
+from fleetpulse.operators.state import KEYS, UnitState, merge, unit_state
 from fleetpulse.plans.runner import readings_enriched
 from fleetpulse.sources import standins as S
 
@@ -43,6 +44,13 @@ def _m2(fn) -> Query:
     return run
 
 
+def _m2_state(fn) -> Query:
+    """The query on the fleet's per-unit state in place of its readings."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(UnitState(unit_state(S.lineitem_readings(spark, sf_dir))), S.lineitem_units(spark, sf_dir))
+    return run
+
+
 def _readings_only(fleet, fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(fleet(spark, sf_dir))
@@ -131,6 +139,7 @@ def mart_queries() -> dict[str, Query]:
                 ("avg_efficiency_pct", "avg", "cooling_efficiency_pct", 1),
                 ("avg_vibration", "avg", "vibration_mm_s", 3)]).withColumn(
             "condition_text", C.with_suffix("cooler_condition"))),
+        "kpi_fleet_text": _m2(D.fleet_kpis_text),
         "unit_selection_list": lambda spark, d: D.unit_codes(S.lineitem_units(spark, d)),
         "unit_drilldown_series": _m1(lambda r, u: D.unit_drilldown_series(r, u, M1_UNIT)),
         "unit_kpis": _m1(lambda r, u: D.unit_kpis(r, u, M1_UNIT)),
@@ -138,6 +147,44 @@ def mart_queries() -> dict[str, Query]:
     }
 
 
+def _state_rows(state: DataFrame) -> DataFrame:
+    """The state's counts and the moments of one metric, rounded."""
+    m = "avg_temp_c"
+    return state.select(*KEYS, "n", f"{m}_n", *[C.half_up_round(f"{m}_{x}", 3).alias(f"{m}_{x}") for x in ("sum", "min", "max", "m2")])
+
+
+def _merged_halves(readings: DataFrame) -> DataFrame:
+    """The state merged from those of two halves of the readings."""
+    half = F.pmod(F.xxhash64("reading_id"), F.lit(2))
+    return _state_rows(merge(*[unit_state(readings.filter(half == k), ["avg_temp_c"]) for k in (0, 1)]))
+
+
+def state_queries() -> dict[str, Query]:
+    """The per-unit state, and the grouped reports read from it."""
+    def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+        readings, units = S.events_readings(spark, sf_dir), S.events_units(spark, sf_dir)
+        return A.zscore_anomalies(readings, units, top=15, state=UnitState(unit_state(readings, ["avg_temp_c"])))
+
+    return {
+        "unit_state": _readings_only(S.lineitem_readings, lambda r: _state_rows(unit_state(r))),
+        "unit_state_merged": _readings_only(S.lineitem_readings, _merged_halves),
+        "state_fleet_overview_by_region": _m2_state(A.fleet_overview_by_region),
+        "state_condition_breakdown": _m2_state(lambda s, u: A.condition_breakdown(s)),
+        "state_worst_units_topk": _m2_state(lambda s, u: A.rank_units(s, u, k=10)),
+        "state_condition_temperature_stats": _m2_state(lambda s, u: A.condition_temperature_stats(s)),
+        "state_condition_power_profile": _m2_state(lambda s, u: A.condition_power_profile(s)),
+        "state_site_failure_summary": _m2_state(A.site_failure_summary),
+        "state_kpi_fleet": _m2_state(D.fleet_kpis),
+        "state_region_units_counts": _m2_state(D.region_units_counts),
+        "state_condition_value_counts": _m2_state(D.condition_value_counts),
+        "state_maintenance_ranking": _m2_state(D.maintenance_ranking),
+        "state_urgent_units": _m2_state(lambda s, u: D.urgent_units(s, u, M2_URGENT_THRESHOLD)),
+        "state_site_failure_details": _m2_state(D.site_failure_details),
+        "state_site_extremes": _m2_state(lambda s, u: D.site_extremes(D.site_failure_details(s, u))),
+        "state_zscore_anomalies_topk": zscore,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     from fleetpulse.plans.etl_catalog import etl_queries
     from fleetpulse.plans.sql_text import sql_queries
@@ -145,6 +192,7 @@ def all_queries() -> dict[str, Query]:
     out = {}
     out.update(analytics_queries())
     out.update(mart_queries())
+    out.update(state_queries())
     out.update(etl_queries())
     out.update(sql_queries())
     return out

@@ -18,6 +18,7 @@ from fleetpulse.operators import quality as Q
 from fleetpulse.operators import transform as T
 from fleetpulse.sources import matrix as M
 from fleetpulse.sources import standins as S
+from fleetpulse.sources.tables import read_table
 
 ODD_UNITS = 7  # a unit count that does not divide the cycles: remainder dropped
 
@@ -101,6 +102,14 @@ def dq_constraints_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check_constraints(S.lineitem_units(spark, sf_dir), S.lineitem_readings(spark, sf_dir))
 
 
+def unit_codes_cycled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A padded code per supplier, models and sites dealt in turn."""
+    key = F.col("s_suppkey")
+    return read_table(spark, sf_dir, "supplier").select(
+        key.alias("unit_id"), C.unit_code(key).alias("unit_code"), C.cycled(key, schema.MODELS).alias("model"),
+        C.cycled(key, [site for _, site in schema.SITES]).alias("site"))
+
+
 def etl_queries() -> dict:
     return {
         "matrix_cycle_means": matrix_cycle_means,
@@ -110,6 +119,7 @@ def etl_queries() -> dict:
         "ordinal_hour_counts": ordinal_hour_counts,
         "cycle_assembly": cycle_assembly,
         "unit_dimension": unit_dimension,
+        "unit_codes_cycled": unit_codes_cycled,
         "etl_readings": etl_readings,
         "text_readings": text_readings,
         "text_timestamps": text_timestamps,
@@ -147,6 +157,11 @@ b AS (SELECT m.*, cycle_id // cpu + 1 AS unit_id, cycle_id % cpu AS "offset",
       FROM m, c WHERE cpu > 0 AND cycle_id < cpu * {n_units})""")
 
 
+def _cycled_sql(index: str, values: list) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"([{listed}])[{index} % {len(values)} + 1]"
+
+
 def _sensor_means() -> str:
     return ", ".join(f"{_slice(i)} AS {name}" for i, name in enumerate(schema.SENSOR_NAMES))
 
@@ -200,6 +215,10 @@ def etl_sql() -> dict:
             + ", ".join(_R(_slice(i), 6) + f" AS {n}" for i, n in enumerate(schema.SENSOR_NAMES))
             + ", " + LABELS + " FROM m"),
         "unit_dimension": f"WITH {M2}\nSELECT * FROM units",
+        "unit_codes_cycled": (
+            "SELECT s_suppkey AS unit_id, format('CLR-{:04d}', s_suppkey + 1) "
+            "AS unit_code, " + _cycled_sql("s_suppkey", schema.MODELS) + " AS model, "
+            + _cycled_sql("s_suppkey", [site for _, site in schema.SITES]) + " AS site FROM supplier"),
         "text_readings": readings_sql,
         "text_timestamps": f"WITH {M1}\nSELECT reading_id, strftime(date_trunc('second', \"timestamp\"), '%Y-%m-%d %H:%M:%S') AS text, "
                            "CAST(date_trunc('second', \"timestamp\") AS TIMESTAMP) AS \"timestamp\" FROM readings",

@@ -296,6 +296,10 @@ def mart_sql() -> dict[str, str]:
             + R("AVG(vibration_mm_s)", 3) + " AS avg_vibration, "
               "CAST(cooler_condition AS VARCHAR) || '%' AS condition_text FROM readings "
               "GROUP BY cooler_condition ORDER BY cooler_condition NULLS FIRST")),
+        "kpi_fleet_text": w(M2, (
+            "SELECT format('{:,}', (SELECT COUNT(*) FROM units)) AS total_units, format('{:,}', COUNT(*)) AS total_readings, "
+            "format('{:,}', COUNT(DISTINCT CASE WHEN r.cooler_condition = 3 THEN r.unit_id END)) AS failing_units, "
+            "format('{:,.1f}', " + R("AVG(r.avg_temp_c)", 1) + f") || ' °C' AS avg_temp_c {JOIN}")),
         "unit_selection_list": w(M2, "SELECT unit_code FROM units ORDER BY unit_id"),
         "unit_profile": w(M2, (
             "SELECT unit_code, model, region, site, install_date FROM units "
@@ -317,6 +321,20 @@ def mart_sql() -> dict[str, str]:
     }
 
 
+STATE_TWINS = (
+    "fleet_overview_by_region", "condition_breakdown", "worst_units_topk", "condition_temperature_stats",
+    "condition_power_profile", "site_failure_summary", "kpi_fleet", "region_units_counts", "condition_value_counts",
+    "maintenance_ranking", "urgent_units", "site_failure_details", "site_extremes", "zscore_anomalies_topk")
+
+
+def state_sql() -> dict[str, str]:
+    rows = (f"WITH {M2}\nSELECT unit_id, CAST(hour(\"timestamp\") AS INTEGER) AS hour, cooler_condition, COUNT(*) AS n, "
+            "COUNT(avg_temp_c) AS avg_temp_c_n, " + R("SUM(avg_temp_c)", 3) + " AS avg_temp_c_sum, "
+            + R("MIN(avg_temp_c)", 3) + " AS avg_temp_c_min, " + R("MAX(avg_temp_c)", 3) + " AS avg_temp_c_max, "
+            + R("VAR_POP(avg_temp_c) * COUNT(avg_temp_c)", 3) + " AS avg_temp_c_m2 FROM readings GROUP BY 1, 2, 3")
+    return {"unit_state": rows, "unit_state_merged": rows}
+
+
 def all_sql() -> dict[str, str]:
     from fleetpulse.plans.etl_catalog import etl_sql
     from fleetpulse.plans.sql_text import FLEET
@@ -325,6 +343,8 @@ def all_sql() -> dict[str, str]:
     out.update(analytics_sql())
     out.update(mart_sql())
     out.update(etl_sql())
+    out.update(state_sql())
+    out.update({f"state_{twin}": out[twin] for twin in STATE_TWINS})
     # The SQL-text forms mean the same as their DataFrame twins.
     out.update({name: out[twin] for name, (_, twin) in FLEET.items()})
     return out

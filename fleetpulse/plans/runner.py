@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetpulse.operators.joins import attach_units_splitting
+from fleetpulse.operators.state import UnitState
 
 Report = Callable[[], DataFrame]
 
@@ -49,20 +50,26 @@ def run_batch(reports: Mapping[str, Report], out_dir: str) -> dict[str, int]:
     return rows
 
 
-def table_reports(readings: DataFrame, units: DataFrame, unit_code: str = "CLR-0001") -> dict[str, Report]:
-    """The runner's reports on ``readings`` / ``units`` tables, with the original parameters."""
+def table_reports(readings: DataFrame, units: DataFrame, unit_code: str = "CLR-0001",
+                  state: UnitState | None = None) -> dict[str, Report]:
+    """The runner's reports on ``readings`` / ``units`` tables, with the original parameters.
+
+    With the readings' ``state`` the grouped reports read that: all reports
+    together then scan the readings once (the anomalies), but for the few row
+    groups of the moving average's unit.
+    """
     from fleetpulse import schema
     from fleetpulse.operators import analytics as A
 
-    temps = A.TEMPERATURE_STATS
+    temps, grouped = A.TEMPERATURE_STATS, state or readings
     return {
-        "run_fleet_overview": lambda: A.fleet_overview_by_region(readings, units, A.OVERVIEW_METRICS[:2]),
-        "run_condition_distribution": lambda: A.condition_breakdown(readings, schema.LABELS_SHORT),
-        "run_worst_units": lambda: A.rank_units(readings, units, k=5, with_site=False),
+        "run_fleet_overview": lambda: A.fleet_overview_by_region(grouped, units, A.OVERVIEW_METRICS[:2]),
+        "run_condition_distribution": lambda: A.condition_breakdown(grouped, schema.LABELS_SHORT),
+        "run_worst_units": lambda: A.rank_units(grouped, units, k=5, with_site=False),
         "run_healthy_vs_degraded": lambda: A.condition_profile(
-            readings, [temps[0], temps[1], temps[4]], schema.LABELS_STATUS, else_label="Failing", label_name="status"),
-        "run_zscore_anomalies": lambda: A.zscore_anomalies(readings, units, top=10),
-        "run_site_failure_rate": lambda: A.site_failure_summary(readings, units, with_condition=False),
+            grouped, [temps[0], temps[1], temps[4]], schema.LABELS_STATUS, else_label="Failing", label_name="status"),
+        "run_zscore_anomalies": lambda: A.zscore_anomalies(readings, units, top=10, state=state),
+        "run_site_failure_rate": lambda: A.site_failure_summary(grouped, units, with_condition=False),
         "run_moving_average": lambda: A.moving_average(readings, units, unit_code, top=15),
     }
 
@@ -80,9 +87,10 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = get_spark(args.master)
     if args.tables:
-        from fleetpulse.operators.sink import read_tables
+        from fleetpulse.operators.sink import read_state, read_tables
 
-        reports = table_reports(*read_tables(spark, args.sf_dir))
+        loaded_units, loaded = read_tables(spark, args.sf_dir)
+        reports = table_reports(loaded, loaded_units, state=read_state(spark, args.sf_dir))
     else:
         names = [n for n in all_queries() if args.all or n.startswith("run_")]
         reports = {n: (lambda n=n: all_queries()[n](spark, args.sf_dir)) for n in names}

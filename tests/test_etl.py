@@ -344,3 +344,94 @@ def test_failing_units_run_hotter_end_to_end(spark, tmp_path):
         want[label] = round(sum(temps) / len(temps), 2)
     assert stats == pytest.approx(want, abs=0.011)
     assert stats["Failing (3%)"] - stats["Healthy (100%)"] == pytest.approx(20.0, abs=0.02)
+
+
+def test_two_writers_publish_one_after_the_other(spark, tmp_path, monkeypatch):
+    """Of two loads that began from one version the first to finish wins, the other fails and changes nothing."""
+    from fleet_fixtures import frames, reading, unit
+
+    def tables(k):
+        r, u = frames(spark, [reading(i, 1, i, float(k)) for i in range(1, 4)], [unit(1)])
+        return u, r
+
+    root, real = str(tmp_path), sink._publish
+    sink.write_tables(*tables(0), root)
+    inner = []
+
+    def second_load_first(spark_, root_, version, expected):
+        if not inner:  # a whole other load finishes while this one is about to publish
+            inner.append(version)
+            assert sink.path_exists(spark_, f"{root_}/leases/{version}")
+            sink.write_tables(*tables(2), root)
+            assert sink.path_exists(spark_, f"{root_}/versions/{version}")  # leased: the other load left it
+        return real(spark_, root_, version, expected)
+
+    monkeypatch.setattr(sink, "_publish", second_load_first)
+    with pytest.raises(sink.LoadError, match="another load"):
+        sink.write_tables(*tables(1), root)
+    assert {r.avg_temp_c for r in sink.read_tables(spark, root)[1].collect()} == {2.0}
+    assert not sink.path_exists(spark, f"{root}/versions/{inner[0]}")
+    # A claim whose holder died doesn't block the next load.
+    expected = sink.current_version(spark, root)
+    sink._put(spark, f"{root}/claims/{expected}", "dead")
+    sink.write_tables(*tables(3), root)
+    assert {r.avg_temp_c for r in sink.read_tables(spark, root)[1].collect()} == {3.0}
+
+
+def test_reports_from_the_stored_state(spark, tmp_path):
+    """All grouped reports read the state of a load and equal those of its readings; merged parts equal the whole."""
+    import random
+
+    from fleet_fixtures import frames, reading, unit
+    from fleetpulse.operators import analytics as A
+    from fleetpulse.operators import marts as D
+    from fleetpulse.operators import state as U
+    from fleetpulse.plans.runner import table_reports
+
+    rnd = random.Random(5)
+    rows = [reading(i, 1 + i % 5, 7 * i, None if i % 11 == 0 else 1e6 + rnd.gauss(0, 3), rnd.choice([100, 20, 3]),
+                    motor_power_w=rnd.gauss(900, 50)) for i in range(600)]
+    r, u = frames(spark, rows, [unit(k) for k in range(1, 6)])
+    sink.write_tables(u, r, str(tmp_path), check=False)
+    units, readings = sink.read_tables(spark, str(tmp_path))
+    state = sink.read_state(spark, str(tmp_path))
+    assert state.df.count() <= 5 * 24 * 3
+    plain, read = table_reports(readings, units), table_reports(readings, units, state=state)
+    for name in plain:
+        assert [tuple(x) for x in read[name]().collect()] == [tuple(x) for x in plain[name]().collect()], name
+        scanned = read[name]()._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [reading_id")
+        assert scanned == (1 if name in ("run_zscore_anomalies", "run_moving_average") else 0), name
+    for mart in (D.fleet_kpis, D.region_units_counts, D.condition_value_counts, D.maintenance_ranking, D.urgent_units,
+                 D.site_failure_details, D.hourly_pattern_halfeven):
+        assert [tuple(x) for x in mart(state, units).collect()] == [tuple(x) for x in mart(readings, units).collect()]
+    assert [tuple(x) for x in A.hourly_pattern(state).collect()] == [tuple(x) for x in A.hourly_pattern(readings).collect()]
+    whole = {tuple(x)[:3]: x for x in U.unit_state(readings).collect()}
+    parts = [U.unit_state(readings.filter(F.col("reading_id") % 3 == k)) for k in range(3)]
+    for x in U.merge(*parts).collect():
+        y = whole.pop(tuple(x)[:3])
+        for c in U.unit_state(readings).columns:
+            assert x[c] == y[c] if isinstance(y[c], (int, type(None))) else x[c] == pytest.approx(y[c], rel=1e-9, abs=1e-6), c
+    assert not whole
+
+
+def test_distinct_ids_at_any_id(spark):
+    from fleetpulse.operators.quality import distinct_ids
+
+    ids = [0, 0, 1, -1, -1, 32767, 32768, 2**40, 2**40, 2**62, -(2**62), None]
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(3)
+    assert tuple(distinct_ids(df, "id").first()) == (11, 8)
+    assert tuple(distinct_ids(df.limit(0), "id").first()) == (0, 0)
+
+
+def test_no_job_before_a_query_runs(spark):
+    """Declared schemas: building a report on the given tables starts no Spark job."""
+    import __spark_entry__ as entry
+    from fleet_fixtures import SF_SMALL
+
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("zscore_anomalies_all", "moving_average_unit", "box_summary_by_condition", "etl_readings", "dq_constraints"):
+        group = f"build-{name}"
+        spark.sparkContext.setJobGroup(group, name)
+        entry.queries()[name](spark, SF_SMALL)
+        assert list(tracker.getJobIdsForGroup(group)) == [], name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
