@@ -11,15 +11,22 @@ Every reader reads the text once and writes the tagged rows as Parquet under
 the checkpoint directory; positions come from that stage.  ``read_matrix``
 stages the lines, the ETL's ``stage_sensor_set`` only their means.
 
+Numbers are parsed in columns: Arrow batches of lines are split and cast as a
+whole, and a line's mean is a segment sum; no line becomes a row of Python.
+
 Text rules kept from the reference's loader: blank lines and ``#`` comments
 are skipped, ``nan`` parses as NaN, an empty field or an unparsable number
-raises (ANSI cast), rows of different widths raise.
+raises, rows of different widths raise.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -90,6 +97,62 @@ def place(staged: DataFrame, group_cols=()) -> DataFrame:
     return staged.join(starts, keys).select(cycle, *rest)
 
 
+#: Characters of lines parsed at once.
+PARSED_CHARS = 16 << 20
+
+
+def _numbers(lines: pa.Array) -> pa.ListArray:
+    """The tab-separated numbers of each line."""
+    fields = pc.split_pattern(lines, "\t")
+    try:
+        values = pc.cast(fields.values, pa.float64())
+    except pa.ArrowInvalid:
+        try:  # numbers with blanks around them
+            values = pc.cast(pc.utf8_trim_whitespace(fields.values), pa.float64())
+        except pa.ArrowInvalid as e:
+            raise ValueError(f"a field of a raw matrix cannot be cast to a number: {e}") from None
+    return pa.ListArray.from_arrays(fields.offsets, values)
+
+
+def _parse(tagged: DataFrame, made: Callable[[pa.ListArray], list[pa.Array]], fields: str) -> DataFrame:
+    """The columns of ``tagged`` but its last, ``line``, and those that ``made`` builds from the lines' numbers."""
+    kept = tagged.schema.fields[:-1]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = [f.strip().split(" ")[0] for f in fields.split(", ")]
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column(len(names))).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + PARSED_CHARS, side="right")))
+                part = batch.slice(start, stop - start)
+                lines = pa.concat_arrays([part.column(len(names))])  # a copy without the slice's offset
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made(_numbers(lines))], [*names, *new])
+                start = stop
+
+    return tagged.mapInArrow(run, ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in kept], fields]))
+
+
+def _widths(numbers: pa.ListArray) -> np.ndarray:
+    return np.diff(numbers.offsets.to_numpy())
+
+
+def _means(numbers: pa.ListArray) -> pa.Array:
+    """The mean of each line, null if it isn't a number (ledger V2)."""
+    values, starts = numbers.values.to_numpy(zero_copy_only=False), numbers.offsets.to_numpy()[:-1]
+    means = np.add.reduceat(values, starts) / _widths(numbers) if len(values) else np.zeros(0)
+    return pa.array(means, pa.float64(), mask=np.isnan(means))
+
+
+def _truncated(numbers: pa.ListArray) -> pa.ListArray:
+    values = np.trunc(numbers.values.to_numpy(zero_copy_only=False))
+    if not np.isfinite(values).all():
+        raise ValueError("a label of a raw matrix cannot be cast to an integer")
+    return pa.ListArray.from_arrays(numbers.offsets, pa.array(values.astype(np.int32)))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(cycle_id, line): kept lines of a text matrix with 0-based positions (read once and staged)."""
     return place(materialize(_tagged_lines(spark, path), "raw-lines"))
@@ -97,9 +160,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """(cycle_id, samples ARRAY<DOUBLE>) of a tab-delimited matrix."""
-    lines = read_lines(spark, path)
-    fields = F.split(F.col("line"), "\t")
-    return lines.select("cycle_id", fields.cast("array<double>").alias("samples"))
+    return _parse(read_lines(spark, path), lambda numbers: [numbers], "samples array<double>")
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -127,22 +188,16 @@ def stage_sensor_set(spark: SparkSession, raw_dir: str,
     small table, so the raw text is read exactly once.  Returns (cycle_id, sensor, width,
     mean, labels).
     """
-    from fleetpulse.functions.columns import row_mean
-
     files = [f for f, _ in sensors] + [schema.LABEL_FILE]
     paths = require_inputs(spark, raw_dir, files)
-    tags = ["_file", "_blk", "_mid"]
     frames = []
     for path, (_, name) in zip(paths, sensors):
-        fields = F.split(F.col("line"), "\t")  # averaged as text: no double array built
-        frames.append(_tagged_lines(spark, path).select(
-            F.lit(name).alias("sensor"), *tags, F.size(fields).alias("width"),
-            row_mean(fields).alias("mean"), F.lit(None).cast("array<int>").alias("labels")))
-    values = F.split(F.col("line"), "\t").cast("array<double>")
-    frames.append(_tagged_lines(spark, paths[-1]).select(
-        F.lit("profile").alias("sensor"), *tags, F.size(values).alias("width"),
-        F.lit(None).cast("double").alias("mean"),
-        F.transform(values, lambda x: x.cast("int")).alias("labels")))
+        tagged = _tagged_lines(spark, path).select(F.lit(name).alias("sensor"), "_file", "_blk", "_mid", "line")
+        parsed = _parse(tagged, lambda x: [pa.array(_widths(x), pa.int32()), _means(x)], "width int, mean double")
+        frames.append(parsed.withColumn("labels", F.lit(None).cast("array<int>")))
+    tagged = _tagged_lines(spark, paths[-1]).select(F.lit("profile").alias("sensor"), "_file", "_blk", "_mid", "line")
+    parsed = _parse(tagged, lambda x: [pa.array(_widths(x), pa.int32()), _truncated(x)], "width int, labels array<int>")
+    frames.append(parsed.select("sensor", "_file", "_blk", "_mid", "width", F.lit(None).cast("double").alias("mean"), "labels"))
     narrow = materialize(reduce(DataFrame.unionByName, frames), "raw-stage")
     return place(narrow, ["sensor"]).select("cycle_id", "sensor", "width", "mean", "labels")
 
