@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import temporary_folder
 from . import (decontamination, html_text, katz, licenses, line_quality, metric_codes, packing, pii_crf, quality_svm, simhash, spelling, sql,
                token_files, toxicity_gru)
 from .common import fold, table
@@ -53,7 +52,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    path = f"{temporary_folder(spark, 'token-ids')}/files"
     token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
     return token_files.read(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
