@@ -155,6 +155,13 @@ def test_held_out_accuracy(spark):
     quality = QUERIES["op2_quality_classifier"](spark, SF)
     right = quality.where("held_out").join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
     assert right >= 0.95 and quality.count() == 1000
-    toxic = QUERIES["op4_toxicity"](spark, SF)
-    clean = toxic.where("held_out").join(labels.where("toxic = 0"), "doc_id").agg(F.avg("predicted")).first()[0]
-    assert clean <= 0.05 and toxic.count() == 1000
+
+
+def test_held_out_toxic_documents_are_caught(spark):
+    """On the larger table: about 290 toxic documents to learn from, 144 held out."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    toxic = QUERIES["op4_toxicity"](spark, sf)
+    held = toxic.where("held_out").join(labels.where("toxic in (0, 1)"), "doc_id")
+    rate = {r["toxic"]: r["p"] for r in held.groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()}
+    assert rate[1] >= 0.4 and rate[0] <= 0.05 and toxic.count() == 10_000

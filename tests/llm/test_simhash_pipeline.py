@@ -145,10 +145,13 @@ def test_queries_have_their_columns(spark):
             "op4": ["doc_id", "held_out", "score", "predicted"], "op5": ["doc_id", "start", "n_tokens", "ids_crc32"],
             "op7": ["doc_id", "fingerprint", "component_id"],
             "op9": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
-            "op10": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]}
+            "op10": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+            "op11": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            "op12": ["word", "form", "root", "n", "n_near", "form_n"],
+            "op13": ["vec_id", "code", "error", "label_error", "codebooks_sha256"]}
     names = {n.split("_")[0]: n for n in QUERIES}
-    assert set(names) == {f"op{k}" for k in range(1, 11)} and set(SQL) <= set(QUERIES)
-    for k in ("op1", "op3", "op10"):
+    assert set(names) == {f"op{k}" for k in range(1, 14)} and set(SQL) <= set(QUERIES)
+    for k in ("op1", "op3", "op10", "op11", "op12", "op13"):
         assert QUERIES[names[k]](spark, SF).columns == want[k]
 
 
