@@ -4,7 +4,9 @@ Each round points every node at the smallest node it knows (large star, then
 small star), which keeps connectivity and takes a logarithmic number of rounds
 in practice.  Rounds are written to the checkpoint folder, so a lost executor
 recomputes one round.  A hot centre is a row per neighbour on one side of a
-join and a single row on the other; adaptive execution splits it.
+join and a single row on the other, which is an aggregate of the same rows:
+adaptive execution may not split such a join, so a centre's neighbours then
+meet in one task, streamed and not gathered.
 """
 
 from __future__ import annotations
