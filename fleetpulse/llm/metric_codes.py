@@ -63,8 +63,8 @@ def anchors(points: np.ndarray, count: int) -> np.ndarray:
         pivot = int(far.argmax())
         if far[pivot] == 0:
             break
-        # A point at least twice as near to its anchor as the two anchors are apart can't be nearer to the new one;
-        # all distances at once cost less here than finding those points.
+        # Points within half the distance of two anchors from their own can't be nearer to the new one; all distances
+        # at once cost less here than finding those points.
         away = _distance(points, points[pivot])
         nearer = away < far
         owner[nearer], far[nearer] = new, away[nearer]
