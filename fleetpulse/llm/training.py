@@ -53,15 +53,27 @@ def fit_probability(margins: np.ndarray, labels: np.ndarray, sizes: dict[int, in
     total = max(1, sizes.get(0, 0) + sizes.get(1, 0))
     share = (sizes.get(1, 0) + 1) / (total + 2)
     weight = np.where(y > 0, share / n1, (1 - share) / n0)
-    x = np.column_stack([margins, np.ones(len(margins))])
+    # In units of the margins' spread, and never uphill: a full step may overshoot where all margins are far from zero.
+    middle, spread = float(margins.mean()), max(float(margins.std()), 1e-12)
+    x = np.column_stack([(margins - middle) / spread, np.ones(len(margins))])
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((weight * (np.logaddexp(0, z) - target * z)).sum() + 0.5e-6 * beta[0] ** 2)
+
     beta = np.array([0.0, np.log(share / (1 - share))])
+    now = loss(beta)
     for _ in range(steps):
         p = sigmoid(x @ beta)
         slope = x.T @ (weight * (p - target)) + 1e-6 * beta * (1, 0)
         curve = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + 1e-6 * np.eye(2)
         step = np.linalg.solve(curve, slope)
         step *= min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
+        while np.abs(step).max() >= 1e-8 and not loss(beta - step) < now:
+            step /= 2
         beta = beta - step
+        now = loss(beta)
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(beta[0]), 1e-3), float(beta[1])
+    slope = max(float(beta[0]) / spread, 1e-3)
+    return slope, float(beta[1]) - slope * middle
