@@ -11,7 +11,8 @@ every few rounds, first by the character n-grams' class log-ratios.
 
 Scoring reads every document once, without a shuffle, with broadcast weights.
 A distinct word's gate inputs are computed once per task and kept in a bounded
-cache.
+cache; n-grams are looked up for ``AT_ONCE`` words at a time, as a word has
+about 25 and each brings a vector.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ WINDOW, STRIDE = 64, 48
 WORD_SLOTS, CHAR_SLOTS = 1 << 13, 1 << 15
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 8, 16, 8, 8
 CACHE_WORDS = 150_000
+AT_ONCE = 2048
 _EDGE = ".,;:!?\"'()[]{}<>#$%&*|-_/\\~`^+="
 
 
@@ -49,6 +51,11 @@ def words_of(text: str) -> list[str]:
 
 def char_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all words' character 3- to 5-grams (edges marked), and each word's number of them."""
+    parts = [_char_slots(words[k:k + AT_ONCE]) for k in range(0, max(1, len(words)), AT_ONCE)]
+    return np.concatenate([slots for slots, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+
+def _char_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     marked = [b"\x02" + w.strip(_EDGE).encode() + b"\x03" for w in words]
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     data = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint32)
@@ -65,10 +72,10 @@ def char_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         slots.append((code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(32 - 15))
         owners.append(owner[at])
     if not slots:
-        return np.zeros(0, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        return np.zeros(0, dtype=np.int32), np.zeros(len(words), dtype=np.int64)
     owners = np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return np.concatenate(slots)[order].astype(np.int64), np.bincount(owners, minlength=len(words))
+    return np.concatenate(slots)[order].astype(np.int32), np.bincount(owners, minlength=len(words))
 
 
 def word_slots(words: list[str]) -> np.ndarray:
@@ -119,10 +126,13 @@ class Network:
 def word_inputs(p: dict[str, np.ndarray], slots: np.ndarray, chars: np.ndarray, counts: np.ndarray) -> np.ndarray:
     x = np.zeros((len(slots), WORD_DIM + CHAR_DIM), dtype=np.float32)
     x[:, :WORD_DIM] = p["word"][slots]
-    some = counts > 0
-    if some.any():
-        begins = (np.cumsum(counts) - counts)[some]
-        x[some, WORD_DIM:] = np.add.reduceat(p["char"][chars], begins, axis=0) / counts[some, None]
+    some = np.flatnonzero(counts > 0)
+    ends = np.cumsum(counts)
+    for k in range(0, len(some), AT_ONCE):
+        part = some[k:k + AT_ONCE]
+        begins = ends[part] - counts[part]
+        vectors = p["char"][chars[begins[0]:ends[part[-1]]]]
+        x[part, WORD_DIM:] = np.add.reduceat(vectors, begins - begins[0], axis=0) / counts[part, None]
     return x
 
 
@@ -368,6 +378,7 @@ def fit(texts: list[str], labels: np.ndarray, sizes: dict[int, int], rounds: int
             part = picked[k:k + batch]
             trainer.learn(corpus, [corpus.windows[i] for i in part], marks[k:k + batch], balance[k:k + batch])
     held = np.flatnonzero(back) if back.any() else front
+    corpus = None  # its memory is free for the next
     check = Corpus([texts[i] for i in held])
     top = np.full(len(held), -np.inf)
     np.maximum.at(top, [d for d, _ in check.windows], trainer.logits(check, check.windows))
@@ -384,22 +395,31 @@ class Scorer:
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((1, 6 * HIDDEN), dtype=np.float32)
+        self.table = np.zeros((2 * CACHE_WORDS, 6 * HIDDEN), dtype=np.float32)  # memory is taken as it fills
 
-    def _numbers(self, docs: list[list[str]]) -> list[np.ndarray]:
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's words as rows of the table; only distinct words are held as strings."""
         if len(self.rows) > CACHE_WORDS:
             self._clear()
-        fresh = list(set().union(*docs).difference(self.rows))
-        if fresh:
-            first = len(self.rows)
-            self.table = np.concatenate([self.table[:first], self.net.gates(fresh)])
-            self.rows.update(zip(fresh, range(first, first + len(fresh))))
+        first, fresh, numbers = len(self.rows), [], []
         get = self.rows.__getitem__
-        return [np.fromiter(map(get, d), np.int64, len(d)) for d in docs]
+        for text in texts:
+            words = words_of(text)
+            new = list(set(words).difference(self.rows))
+            self.rows.update(zip(new, range(first + len(fresh), first + len(fresh) + len(new))))
+            fresh += new
+            numbers.append(np.fromiter(map(get, words), np.int64, len(words)))
+        if len(self.rows) > len(self.table):
+            more = np.zeros((len(self.rows) - first, 6 * HIDDEN), dtype=np.float32)
+            self.table = np.concatenate([self.table[:first], more])
+        for k in range(0, len(fresh), AT_ONCE):
+            part = fresh[k:k + AT_ONCE]
+            self.table[first + k:first + k + len(part)] = self.net.gates(part)
+        return numbers
 
     def logits(self, texts: list[str]) -> np.ndarray:
         """Each text's highest window."""
-        numbers = self._numbers([words_of(t) for t in texts])
+        numbers = self._numbers(texts)
         flat = np.concatenate([*numbers, np.zeros(WINDOW, dtype=np.int64)])
         begins = np.cumsum([0] + [len(x) for x in numbers])
         owner, start, length = [], [], []

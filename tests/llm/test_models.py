@@ -1,13 +1,15 @@
 """Quality and toxicity models: gradients, accuracy on held-out rows, odd rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import quality_svm, toxicity_gru, training
-from fleetpulse.llm.common import fold
+from fleetpulse.llm.common import beside_text, fold
 from fleetpulse.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -122,6 +124,51 @@ def test_gru_learns_and_scores_every_window():
     assert np.allclose(scorer.scores(["", "x", long]), [scorer.scores([t])[0] for t in ("", "x", long)], atol=1e-5)
 
 
+def _peak_mb(work):
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_gru_memory_does_not_follow_the_distinct_words():
+    net, words = toxicity_gru.Network.new(3), [f"longish{k:08d}" for k in range(60_000)]
+    scorer, many = toxicity_gru.Scorer(net), [" ".join(words[k:k + 100]) for k in range(0, len(words), 100)]
+    assert _peak_mb(lambda: scorer.scores(many)) < 70  # 39 n-grams a word; all their vectors at once are 150 MB
+    corpus = toxicity_gru.Corpus(many)
+    assert _peak_mb(lambda: toxicity_gru.word_inputs(net.p, corpus.slots, corpus.chars, corpus.counts)) < 40
+    each = np.concatenate([net.inputs([w]) for w in words[:5000]])
+    assert np.array_equal(net.inputs(words)[:5000], each)
+
+
+def test_gru_scores_beyond_the_cache(monkeypatch):
+    net = toxicity_gru.Network.new(3)
+    texts = [" ".join(f"w{k * j}" for k in range(50 * j)) for j in range(8)]
+    expected = toxicity_gru.Scorer(net).scores(texts)
+    monkeypatch.setattr(toxicity_gru, "CACHE_WORDS", 60)
+    monkeypatch.setattr(toxicity_gru, "AT_ONCE", 7)
+    scorer = toxicity_gru.Scorer(net)
+    assert np.allclose(scorer.scores(texts), expected, atol=1e-6)
+    assert np.allclose([scorer.scores([t])[0] for t in texts], expected, atol=1e-6)
+
+
+def test_kept_text_travels_once(frame):
+    docs = frame([(1, "a b", None, 7, 8), (None, None, "x", None, None), (2, "", "y", 1, 1)], DOCS)
+
+    def sizes(texts):
+        for column in texts:
+            yield pa.array([len(t or "") for t in column.to_pylist()], pa.int64())
+
+    made = beside_text(docs, "text", ("id", "text", "doc_id"), "n", "long", sizes)
+    assert made.columns == ["id", "text", "doc_id", "n"]
+    assert sorted(map(tuple, made.collect()), key=str) == sorted([(7, "a b", 1, 3), (None, None, None, 0), (1, "", 2, 0)], key=str)
+    sent = made._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1]
+    assert "_text#" in sent and "AS _1#" not in sent
+    numbers = beside_text(docs, "id", ("id",), "n", "long", sizes)  # no string: kept as it is
+    assert dict(numbers.dtypes)["id"] == "int" and sorted(r.n for r in numbers.collect()) == [0, 1, 1]
+
+
 def test_models_without_a_class():
     net = toxicity_gru.fit(["a b", "c"], np.array([0, 0]), {0: 2})
     assert np.allclose(toxicity_gru.Scorer(net).scores(["a", ""]), 0.25)
